@@ -17,6 +17,13 @@ are a greedy chain: ``a1`` = the first rise, ``a(m+1)`` = the first rise at
 or after ``a(m) + D``. Every armed timer fires except possibly the last, which
 the closing fall at ``tf`` deletes unless ``tf >= a + D``.
 
+A run whose rises all lie within ``D`` of the first arms once. A longer
+run with at most ``spark.tidemark.alarm.maxFoldRows`` rises (default
+10,000; counted per run first) is folded natively: its rise times are
+collected, sorted and walked by ``aggregate`` on the JVM. Only runs above
+that bound take the distributed path below, so no group larger than the
+bound is ever gathered.
+
 The chain is sequential, but each rise has one successor ``next(i)`` (an
 as-of lookup), so the chain is the path from the run's first rise in a
 forest. It is found by pointer jumping: ``J0 = next``,
@@ -39,6 +46,8 @@ from tidemark.operators import ordered
 
 ORDER = ("ts", "seq")
 US = 1_000_000
+MAX_FOLD_ROWS_CONF = "spark.tidemark.alarm.maxFoldRows"
+DEFAULT_MAX_FOLD_ROWS = 10_000
 
 # The alarm text of the reference, "<prefix><seconds><suffix>".
 ALARM_PREFIX = "温度连续上升"
@@ -77,13 +86,15 @@ def temp_jump_map(df: DataFrame, threshold: float = 10.0, key: str = "id",
 def _runs(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Rows with ``rise``/``fall`` flags (vs the last temp, 0.0 at first) and
     ``run`` = number of falls strictly before the row in its key."""
-    prev = ordered.previous(df.select(key, "temp", *order), [key], order, ["temp"], k=1,
-                            default=0.0, fmt="_last")
+    base = df.select(key, "temp", *order)
+    plain = ordered.fits_one_task(base, [key])
+    prev = ordered.previous(base, [key], order, ["temp"], k=1,
+                            default=0.0, fmt="_last", plain=plain)
     flagged = (prev.withColumn("rise", (F.col("temp") > F.col("_last")) & _not_nan("temp") & _not_nan("_last"))
                .withColumn("fall", (F.col("temp") < F.col("_last")) & _not_nan("temp") & _not_nan("_last"))
                .withColumn("_t", epoch_micros(order[0])))
     out = ordered.running(flagged, [key], order,
-                          {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False)
+                          {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False, plain=plain)
     return out.withColumn("run", F.coalesce(F.col("run"), F.lit(0).cast("bigint")))
 
 
@@ -103,34 +114,77 @@ def _arm_candidates(rows: DataFrame, key: str, timer_s: int) -> DataFrame:
     return rises.join(nxt, "seq", "left")
 
 
-def _chain(nodes: DataFrame, starts: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Seqs on the pointer path from each start (pointer jumping)."""
-    jump = nodes.select("seq", "nxt").checkpoint(eager=True)
-    reached = starts.select("seq").checkpoint(eager=True)
-    for _ in range(max_rounds):
+def _chain(nodes: DataFrame, starts: DataFrame, max_rounds: int = 64,
+           checkpoint_every: int = 4) -> DataFrame:
+    """Seqs on the pointer path from each start (pointer jumping).
+
+    Each round's frames are persisted (the next round and the emptiness test
+    read them); every ``checkpoint_every`` rounds the lineage is cut with a
+    reliable checkpoint so a lost executor never replays many rounds.
+    """
+    jump = nodes.select("seq", "nxt").persist()
+    reached = starts.select("seq").persist()
+    held = [jump, reached]
+    for r in range(1, max_rounds + 1):
         hop = (reached.join(jump, "seq").where(F.col("nxt").isNotNull())
-               .select(F.col("nxt").alias("seq")))
-        hop = hop.checkpoint(eager=True)
+               .select(F.col("nxt").alias("seq")).persist())
+        held.append(hop)
         if hop.isEmpty():
-            return reached
-        reached = reached.unionByName(hop).checkpoint(eager=True)
+            out = reached.checkpoint(eager=True)
+            for h in held:
+                h.unpersist()
+            return out
+        reached = reached.unionByName(hop)
         j2 = jump.select(F.col("seq").alias("_mid"), F.col("nxt").alias("_nxt2"))
         jump = (jump.join(j2, jump["nxt"] == j2["_mid"], "left")
-                .select("seq", F.col("_nxt2").alias("nxt"))
-                .checkpoint(eager=True))
+                .select("seq", F.col("_nxt2").alias("nxt")))
+        if r % checkpoint_every == 0:
+            reached, jump = reached.checkpoint(eager=True), jump.checkpoint(eager=True)
+        else:
+            reached, jump = reached.persist(), jump.persist()
+            held += [reached, jump]
     raise RuntimeError("rising alarm chain did not converge")
 
 
+def _fold_arms(rows: DataFrame, runs: DataFrame, key: str, d: int) -> DataFrame:
+    """Greedy chain of a bounded run, folded on the JVM: arms are the rise
+    times t with t >= previous arm + D, walking the sorted times."""
+    times = (rows.where("rise").join(runs.select(key, "run"), [key, "run"], "left_semi")
+             .groupBy(key, "run").agg(F.array_sort(F.collect_list("_t")).alias("_ts")))
+    start = F.struct(F.lit(None).cast("bigint").alias("last"),
+                     F.array().cast("array<bigint>").alias("arms"))
+    walk = F.aggregate("_ts", start, lambda acc, t: F.when(
+        acc["last"].isNull() | (t >= acc["last"] + F.lit(d)),
+        F.struct(t.alias("last"), F.array_append(acc["arms"], t).alias("arms"))).otherwise(acc))
+    return times.select(key, "run", F.explode(walk["arms"]).alias("_t"))
+
+
 def rising_alarm(df: DataFrame, timer_s: int, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
     """Every alarm of the rising-temperature timer: (id, alarm_ts, message)."""
-    rows = _runs(df, key, order).checkpoint(eager=True)
-    cands = _arm_candidates(rows, key, timer_s).checkpoint(eager=True)
-    starts = (rows.where("rise").groupBy(key, "run")
-              .agg(F.min_by("seq", F.struct(*[F.col(o) for o in order])).alias("seq")))
-    armed = _chain(cands, starts)
-    closing = rows.where("fall").groupBy(key, "run").agg(F.max("_t").alias("_tf"))
-    arms = cands.join(armed, "seq").join(closing, [key, "run"], "left")
+    spark = df.sparkSession
     d = timer_s * US
+    fold_max = int(spark.conf.get(MAX_FOLD_ROWS_CONF, str(DEFAULT_MAX_FOLD_ROWS)))
+    rows = _runs(df, key, order)
+    per_run = (rows.groupBy(key, "run")
+               .agg(F.min(F.when(F.col("rise"), F.col("_t"))).alias("_a"),
+                    F.max(F.when(F.col("rise"), F.col("_t"))).alias("_z"),
+                    F.count(F.when(F.col("rise"), F.lit(1))).alias("_nr"),
+                    F.max(F.when(F.col("fall"), F.col("_t"))).alias("_tf"))
+               .where(F.col("_a").isNotNull())
+               .persist())
+    spans = F.col("_z") - F.col("_a") >= F.lit(d)
+    arms = per_run.where(~spans).select(key, "run", F.col("_a").alias("_t"))
+    folded = per_run.where(spans & (F.col("_nr") <= F.lit(fold_max)))
+    arms = arms.unionByName(_fold_arms(rows, folded, key, d))
+    huge = per_run.where(spans & (F.col("_nr") > F.lit(fold_max))).select(key, "run")
+    if not huge.isEmpty():
+        lrows = rows.join(huge, [key, "run"], "left_semi").persist()
+        cands = _arm_candidates(lrows, key, timer_s).checkpoint(eager=True)
+        starts = (lrows.where("rise").groupBy(key, "run")
+                  .agg(F.min_by("seq", F.struct(*[F.col(o) for o in order])).alias("seq")))
+        armed = _chain(cands, starts)
+        arms = arms.unionByName(cands.join(armed, "seq").select(key, "run", "_t"))
+    arms = arms.join(per_run.select(key, "run", "_tf"), [key, "run"])
     fires = F.col("_tf").isNull() | (F.col("_tf") >= F.col("_t") + F.lit(d))
     return arms.where(fires).select(
         key, ntz_from_micros(F.col("_t") + F.lit(d)).alias("alarm_ts"),

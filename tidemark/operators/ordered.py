@@ -28,6 +28,13 @@ them instead of re-sampling. Callers pass only the columns they need.
 Cost: one range exchange (plus Spark's sampling pass), one checkpoint write
 and one hash exchange of the data; everything else touches only the
 per-bucket tables.
+
+Size check first. The largest group (rows of the heaviest key; all rows
+when there is no key) is measured with one map-side aggregate. When it is
+at most ``spark.tidemark.ordered.maxGroupRows`` (default 4,000,000: a sort
+one task does in seconds), a plain per-key window is used: one hash
+exchange, no sampling, no checkpoint. Above it, the bucketed path. Both give
+the same rows; tests run both.
 """
 
 from __future__ import annotations
@@ -41,6 +48,8 @@ from tidemark.session import checkpoint_dir, shuffle_partitions
 
 BUCKET = "_b"
 CTX = "_ctx"
+MAX_GROUP_ROWS_CONF = "spark.tidemark.ordered.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 4_000_000
 
 # running aggregate kinds: name -> (bucket summary, prefix over buckets, in-bucket window)
 _KINDS = {
@@ -55,6 +64,27 @@ def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in names]
 
 
+def max_group_rows(spark) -> int:
+    return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+
+
+def fits_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
+    """True when the heaviest key (or, with no key, the whole input) has at
+    most ``maxGroupRows`` rows. One aggregate over the key columns only."""
+    limit = max_group_rows(df.sparkSession)
+    if limit <= 0:
+        return False
+    if not keys:
+        return df.limit(limit + 1).count() <= limit
+    heaviest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                .agg(F.max("_n").alias("_m")).first())
+    return heaviest is None or heaviest["_m"] is None or heaviest["_m"] <= limit
+
+
+def _spec(keys: Sequence[str]):
+    return Window.partitionBy(*keys) if keys else Window
+
+
 def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   n: int | None = None) -> DataFrame:
     """Cut the (keys, order) sequence into ``n`` ranges; tag rows with ``_b``."""
@@ -68,20 +98,26 @@ def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: dict[str, tuple[str, Column | str | None]], inclusive: bool = True,
-            n: int | None = None) -> DataFrame:
+            n: int | None = None, plain: bool | None = None) -> DataFrame:
     """Add running aggregates per key along ``order``.
 
-    ``aggs`` maps an output name to ``(kind, value)`` with kind one of
-    ``sum count max min last``. ``inclusive=False`` aggregates the rows
-    strictly before each row (NULL for the first row of a key; 0 for count).
+    ``aggs`` maps an output name to ``(kind, value)`` or ``(kind, value,
+    inclusive)`` with kind one of ``sum count max min last``. Exclusive
+    aggregates cover the rows strictly before each row (NULL for the first
+    row of a key; 0 for count); ``inclusive`` is the default for all.
     ``order`` must be unique within a key.
     """
     keys, order = list(keys), list(order)
+    incl = {name: (spec[2] if len(spec) > 2 else inclusive) for name, spec in aggs.items()}
+    if plain is None:
+        plain = n is None and fits_one_task(df, keys)
+    if plain:
+        return _running_plain(df, keys, order, aggs, incl)
     r = range_buckets(df, keys, order, n)
     names = list(aggs)
     vcols = {}
     for i, name in enumerate(names):
-        kind, value = aggs[name]
+        kind, value = aggs[name][:2]
         v = f"_v{i}"
         if kind == "count":
             expr = F.lit(1).cast("bigint")
@@ -118,11 +154,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     # 3. one window per (key, bucket), context row first
     u = r.withColumn(CTX, F.lit(0)).unionByName(ctx, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(F.col(CTX).desc(), *_cols(order))
-    w = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    w0 = Window.partitionBy(*keys, BUCKET).orderBy(F.col(CTX).desc(), *_cols(order))
     out = u
     for name in names:
         kind, v = vcols[name]
+        w = w0.rowsBetween(Window.unboundedPreceding, 0 if incl[name] else -1)
         if kind == "last":
             col = F.last(F.col(v), ignorenulls=True).over(w).getField("x")
         else:
@@ -134,9 +170,27 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return out.where(F.col(CTX) == 0).drop(*drop)
 
 
+def _running_plain(df, keys, order, aggs, incl) -> DataFrame:
+    w0 = _spec(keys).orderBy(*_cols(order))
+    out = df
+    for name, spec in aggs.items():
+        kind, value = spec[:2]
+        w = w0.rowsBetween(Window.unboundedPreceding, 0 if incl[name] else -1)
+        if kind == "count":
+            col = F.count(F.lit(1)).over(w)
+        else:
+            v = F.col(value) if isinstance(value, str) else value
+            if kind == "last":
+                col = F.last(F.struct(v.alias("x")), ignorenulls=True).over(w).getField("x")
+            else:
+                col = _KINDS[kind][2](v).over(w)
+        out = out.withColumn(name, col)
+    return out
+
+
 def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
                   columns: dict[str, Callable[[WindowSpec], Column]],
-                  n: int | None = None) -> DataFrame:
+                  n: int | None = None, plain: bool | None = None) -> DataFrame:
     """Add columns computed over frames that reach at most ``k`` rows back.
 
     ``columns`` maps an output name to a function of the ordered window spec
@@ -147,6 +201,14 @@ def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
     a per-key window would. ``order`` must be unique within a key.
     """
     keys, order = list(keys), list(order)
+    if plain is None:
+        plain = n is None and fits_one_task(df, keys)
+    if plain:
+        w = _spec(keys).orderBy(*_cols(order))
+        out = df
+        for name, fn in columns.items():
+            out = out.withColumn(name, fn(w))
+        return out
     r = range_buckets(df, keys, order, n)
     kk = list(keys)
     desc = Window.partitionBy(*kk, BUCKET).orderBy(*[F.col(o).desc() for o in order])
@@ -174,10 +236,10 @@ def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              cols: Sequence[str], k: int = 1, default=None, n: int | None = None,
-             fmt: str = "prev{j}_{c}") -> DataFrame:
+             fmt: str = "prev{j}_{c}", plain: bool | None = None) -> DataFrame:
     """Add ``lag(c, j)`` for each column and ``j`` in ``1..k`` (skew-safe)."""
     spec = {}
     for c in cols:
         for j in range(1, k + 1):
             spec[fmt.format(j=j, c=c)] = (lambda w, c=c, j=j: F.lag(c, j, default).over(w))
-    return with_lookback(df, keys, order, k, spec, n)
+    return with_lookback(df, keys, order, k, spec, n, plain)

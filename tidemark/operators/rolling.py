@@ -75,6 +75,24 @@ def running_avg(df: DataFrame, key: str = "id", value: str = "temp",
     return out.withColumn(name, F.col("_s").cast("double") / F.col("_c")).drop("_s", "_c")
 
 
+def retract_avg(df: DataFrame, key: str = "id", value: str = "temp",
+                order: Sequence[str] = ORDER, name: str = "avg_temp") -> DataFrame:
+    """Retract changelog of the per-key running average, in one ordered pass.
+
+    Sums are exact decimals, so the sum over the rows before a row equals the
+    previous row's running sum bit for bit, and the old average is computed
+    from the exclusive sum and count in the same pass as the new one.
+    """
+    dec = F.col(value).cast("decimal(38,10)")
+    out = ordered.running(df.select(key, value, *order), [key], order,
+                          {"_s": ("sum", dec, True), "_c": ("count", None, True),
+                           "_ps": ("sum", dec, False), "_pc": ("count", None, False)})
+    avg = (out.withColumn(name, F.col("_s").cast("double") / F.col("_c"))
+           .withColumn("_prev", F.when(F.col("_pc") > 0, F.col("_ps").cast("double") / F.col("_pc")))
+           .drop("_s", "_c", "_ps", "_pc"))
+    return _changelog(avg, name, key, order)
+
+
 def retract_changelog(df: DataFrame, value: str, key: str = "id",
                       order: Sequence[str] = ORDER) -> DataFrame:
     """The retract stream of a per-key grouped value that changes per row.
@@ -86,6 +104,10 @@ def retract_changelog(df: DataFrame, value: str, key: str = "id",
     """
     prev = ordered.previous(df.select(key, value, *order), [key], order, [value], k=1,
                             fmt="_prev")
+    return _changelog(prev, value, key, order)
+
+
+def _changelog(prev: DataFrame, value: str, key: str, order: Sequence[str]) -> DataFrame:
     pairs = F.when(F.col("_prev").isNull(),
                    F.array(F.struct(F.lit(True).alias("is_add"), F.lit(1).alias("change"),
                                     F.col(value).alias(value))))

@@ -19,7 +19,11 @@ def jvm_split(c: Column | str, sep: str, regex: bool = False) -> Column:
     """
     c = col(c)
     pat = sep if regex else re.escape(sep)
-    stripped = F.regexp_replace(c, f"(?:{pat})+\\z", "")
+    if not regex and len(sep) == 1:
+        # one literal character: trimming it off the end is exact and cheap
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, f"(?:{pat})+\\z", "")
     return (F.when(c == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, pat, -1)))

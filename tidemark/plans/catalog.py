@@ -109,8 +109,7 @@ def q_group_count(spark, sf):
 
 
 def q_retract_avg(spark, sf):
-    avg = rolling.running_avg(_ev(spark, sf))
-    return rolling.retract_changelog(avg, "avg_temp")
+    return rolling.retract_avg(_ev(spark, sf))
 
 
 # ------------------------------------------------------------ routing

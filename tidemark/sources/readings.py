@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import epoch_micros
+from tidemark.functions.columns import epoch_micros, ntz_from_micros
 
 READING_SCHEMA = T.StructType([
     T.StructField("id", T.StringType(), False),
@@ -30,14 +30,14 @@ ARRIVAL_MULTIPLIER = 7919
 ARRIVAL_SPREAD_SECONDS = 21600
 
 
-def _event_time(ts_seconds: Column, unit: str) -> Column:
-    if unit == "s":
-        return F.timestamp_seconds(ts_seconds)
-    if unit == "ms":
-        return F.timestamp_millis(ts_seconds)
-    if unit == "us":
-        return F.timestamp_micros(ts_seconds)
-    raise ValueError(f"unknown time unit {unit!r}")
+_UNIT_MICROS = {"s": 1_000_000, "ms": 1_000, "us": 1}
+
+
+def _event_time(number: Column, unit: str) -> Column:
+    """Epoch number -> TIMESTAMP_NTZ holding the UTC wall clock."""
+    if unit not in _UNIT_MICROS:
+        raise ValueError(f"unknown time unit {unit!r}")
+    return ntz_from_micros(number.cast("bigint") * F.lit(_UNIT_MICROS[unit]))
 
 
 # ---------------------------------------------------------------- sources
@@ -132,8 +132,9 @@ def as_readings(df: DataFrame, id: str = "id", timestamp: str = "timestamp", tem
     """Rename to (id, ts, temp, seq) and add the event-time column.
 
     ``unit`` says what the number in ``timestamp`` counts: ``s``, ``ms`` or
-    ``us``. The event time is a session-zone TIMESTAMP, so it can carry a
-    watermark in a stream.
+    ``us``. The event time is a TIMESTAMP_NTZ holding the UTC wall clock, so
+    batch results do not depend on the session zone; ``with_event_time``
+    turns it into a TIMESTAMP for a streaming watermark.
     """
     cols = [F.col(id).alias("id"), F.col(timestamp).alias("timestamp"),
             _event_time(F.col(timestamp), unit).alias(ts_name), F.col(temp).alias("temp")]
