@@ -128,14 +128,16 @@ def foreach_batch_upsert(path: str, key_col: str, value_col: str, order: Sequenc
 def jdbc_upsert(df: DataFrame, url: str, table: str, key: str, value: str,
                 order: Sequence[str] = ("ts", "seq"), key_col: str = "sensor",
                 value_col: str = "tempu", properties: dict | None = None,
-                driver: str | None = None) -> None:
+                driver: str | None = None, quote: str = '"', key_type: str = "VARCHAR(256)") -> None:
     """Update-else-insert into a JDBC table, one write per key.
 
     The batch is reduced to the last row per key, written to a staging table
     by Spark's JDBC writer (in parallel, one connection per task), and one
     ``MERGE`` moves it into the target inside the database. The statement is
     run by the JDBC source's ``sessionInitStatement`` when a one-row probe
-    is read, so no client code runs on the driver.
+    is read, so no client code runs on the driver. Column names are quoted
+    with ``quote`` (Spark's writer creates quoted, case-kept names); the
+    staged key column is declared ``key_type`` so the database can compare it.
     """
     props = dict(properties or {})
     if driver:
@@ -143,10 +145,12 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, key: str, value: str,
     latest = keyed_latest(df, key, value, order).select(
         F.col("key").alias(key_col), F.col("value").alias(value_col))
     stage = f"{table}_stage"
-    latest.write.jdbc(url, stage, mode="overwrite", properties=props)
-    merge = (f"MERGE INTO {table} t USING {stage} s ON t.{key_col} = s.{key_col} "
-             f"WHEN MATCHED THEN UPDATE SET {value_col} = s.{value_col} "
-             f"WHEN NOT MATCHED THEN INSERT ({key_col}, {value_col}) VALUES (s.{key_col}, s.{value_col})")
+    latest.write.jdbc(url, stage, mode="overwrite",
+                      properties=dict(props, createTableColumnTypes=f"{key_col} {key_type}"))
+    k, v = f"{quote}{key_col}{quote}", f"{quote}{value_col}{quote}"
+    merge = (f"MERGE INTO {table} t USING {stage} s ON t.{k} = s.{k} "
+             f"WHEN MATCHED THEN UPDATE SET {v} = s.{v} "
+             f"WHEN NOT MATCHED THEN INSERT ({k}, {v}) VALUES (s.{k}, s.{v})")
     probe = dict(props, sessionInitStatement=merge)
     df.sparkSession.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {stage}) p", properties=probe).collect()
 
