@@ -108,7 +108,7 @@ def test_tumble_sql_equals_api(spark, sensor):
 
 
 def test_session(sensor):
-    got = windows.session_count(sensor, "1 minute")
+    got = windows.session_count(sensor, 60)
     assert got.count() == 4 and got.where("id = 'sensor1'").count() == 3
 
 

@@ -109,7 +109,7 @@ def test_tumble_and_session_stream(spark, sensor):
     table = windows.tumble(sensor, "10 seconds")
     assert rows(got.where("id <> 'zflush'")) == rows(table.select(*got.columns))
     ses = _drain(spark, runner.session_stream(s, "1 minute", "5 seconds"), "session_s")
-    assert rows(ses.where("id <> 'zflush'")) == rows(windows.session_count(sensor, "1 minute").select(*ses.columns))
+    assert rows(ses.where("id <> 'zflush'")) == rows(windows.session_count(sensor, 60).select(*ses.columns))
 
 
 def test_sliding_stream_unflushed_emits_closed_windows_only(spark):

@@ -55,8 +55,12 @@ def connect(warn: DataFrame, normal: DataFrame) -> DataFrame:
 
 
 def split_connect(df: DataFrame, threshold: float = 20.0) -> DataFrame:
-    """Split at the threshold, project the high side to (id, temp), connect."""
-    tagged = tag_split(df, threshold)
-    high = select_tag(tagged, HIGH).select("id", "temp", *[c for c in ("seq",) if c in df.columns])
-    low = select_tag(tagged, LOW)
-    return connect(high, low)
+    """Split at the threshold, project the high side to (id, temp), connect.
+
+    The two sides partition the input, so the union of their co-mapped rows
+    is one projection over one scan (``connect`` unions two real inputs).
+    """
+    hi = above("temp", threshold)
+    extra = [c for c in ("seq",) if c in df.columns]
+    return df.select("id", F.when(hi, F.col("temp")).alias("temp"),
+                     F.when(hi, F.lit("warn")).otherwise(F.lit("normal")).alias("status"), *extra)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros, exact_avg, exact_sum
+from tidemark.functions.columns import epoch_micros, exact_avg, exact_sum, ntz_from_micros
 from tidemark.operators import ordered
 
 ORDER = ("ts", "seq")
@@ -53,15 +53,28 @@ def window_reduce(df: DataFrame, size: str, slide: str | None = None, key: str =
             .select(key, F.col("w.start").alias("window_start"), "timestamp", "temp"))
 
 
-def session_count(df: DataFrame, gap: str, key: str = "id", ts: str = "ts") -> DataFrame:
-    """Session windows with an inactivity gap: (id, start, end, count).
+def session_count(df: DataFrame, gap_s: int, key: str = "id", ts: str = "ts",
+                  order: Sequence[str] = ORDER) -> DataFrame:
+    """Event-time session windows with an inactivity gap: (id, start, end, count).
 
-    The session ends ``gap`` after its last row. Spark merges sessions
-    map-side before the shuffle.
+    A row joins its key's session while it is at most ``gap`` after the
+    previous row (windows ``[t, t + gap)`` that touch are merged, as the
+    reference's session assigner does); the session ends ``gap`` after its
+    last row. Built on the ordered scan, not on ``session_window``, whose
+    batch plan sorts a whole key in one task: the previous time is an
+    exclusive running max, the session start a running max of session-opening
+    times, then one map-side aggregate per session.
     """
-    return (df.groupBy(key, F.session_window(ts, gap).alias("s"))
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "cnt"))
+    us = gap_s * 1_000_000
+    d = df.select(key, *order).withColumn("_t", epoch_micros(ts))
+    plain = ordered.fits_one_task(d, [key])
+    d = ordered.running(d, [key], order, {"_p": ("max", "_t", False)}, plain=plain)
+    opens = F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(us))
+    d = ordered.running(d.withColumn("_o", F.when(opens, F.col("_t"))), [key], order,
+                        {"_s": ("max", "_o")}, plain=plain)
+    return (d.groupBy(key, "_s").agg(F.max("_t").alias("_e"), F.count(F.lit(1)).alias("cnt"))
+            .select(key, ntz_from_micros("_s").alias("session_start"),
+                    ntz_from_micros(F.col("_e") + F.lit(us)).alias("session_end"), "cnt"))
 
 
 def processing_time_tumble(df: DataFrame, size: str, key: str = "id") -> DataFrame:

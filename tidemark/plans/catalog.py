@@ -24,7 +24,7 @@ from tidemark.sources import readings as rd
 TUMBLE = "1 hour"
 SLIDE_SIZE, SLIDE_STEP = "3 hours", "1 hour"
 SLIDE_SIZE_S, SLIDE_STEP_S = 3 * 3600, 3600
-SESSION_GAP = "30 minutes"
+SESSION_GAP_S = 30 * 60
 DELAY_S, LATENESS_S = 300, 3600
 SPLIT_T, SIDE_T, JUMP_T = 20.0, 30.0, 10.0
 RISING_TIMER_S = 12 * 3600
@@ -151,7 +151,7 @@ def q_window_reduce(spark, sf):
 
 
 def q_session_count(spark, sf):
-    return windows.session_count(_ev(spark, sf), SESSION_GAP)
+    return windows.session_count(_ev(spark, sf), SESSION_GAP_S)
 
 
 def q_count_window(spark, sf):

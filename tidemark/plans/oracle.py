@@ -143,7 +143,7 @@ ORACLE: dict[str, str] = {
         FROM w GROUP BY id, ws""",
     "session_count": R + f""", s AS (
             SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY id ORDER BY ts, seq) IS NULL
-                             OR ts - lag(ts) OVER (PARTITION BY id ORDER BY ts, seq) >= INTERVAL 30 MINUTE
+                             OR ts - lag(ts) OVER (PARTITION BY id ORDER BY ts, seq) > INTERVAL 30 MINUTE
                            THEN 1 ELSE 0 END AS new_session
             FROM readings),
         n AS (SELECT *, sum(new_session) OVER (PARTITION BY id ORDER BY ts, seq
