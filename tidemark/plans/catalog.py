@@ -18,6 +18,7 @@ from tidemark.functions import udfs
 from tidemark.functions.columns import epoch_micros
 from tidemark.operators import alerts, rolling, routing, text, watermark, windows
 from tidemark.sinks import writers
+from tidemark.session import spread
 from tidemark.sources import readings as rd
 
 # Test parameters (scaled reference values).
@@ -75,7 +76,7 @@ def q_sql_select_filter(spark, sf):
 # ------------------------------------------------------------ text
 
 def _docs(spark, sf):
-    return spark.read.parquet(f"{sf}/documents.parquet").select("text")
+    return spread(spark.read.parquet(f"{sf}/documents.parquet").select("text"))
 
 
 def q_word_count(spark, sf):

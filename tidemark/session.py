@@ -67,3 +67,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def spread(df):
+    """Round-robin a DataFrame whose input has fewer partitions than the
+    session can run at once (e.g. one large parquet row group), so CPU-heavy
+    per-row work (tokenising) uses every core. Inputs that already have
+    enough splits, as any large table does, are returned unchanged: no
+    extra shuffle at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -149,3 +149,46 @@ class LateRouter:
         if mx is not None:
             (spark.createDataFrame([(int(mx),)], "max_us bigint")
              .write.mode("overwrite").parquet(f"{self.state_dir}/batch={batch_id}"))
+
+
+class LatenessWindowCounts(LateRouter):
+    """Sliding-window counts with allowed lateness on a stream, exactly as the
+    reference keeps rows: a (row, window) pair counts while the window's
+    ``end - 1 ms + lateness`` is after the watermark before the batch, even
+    when the row itself is behind the watermark (Spark's own watermark drops
+    such rows, so this runs in ``foreachBatch`` instead of ``withWatermark``).
+
+    Each batch's partial counts are written under ``counts_dir/batch=<id>``
+    (overwrite: a replayed batch replaces itself); ``read_counts`` sums them,
+    and every batch refines the windows it touched.
+    """
+
+    def __init__(self, state_dir: str, counts_dir: str, size_s: int, slide_s: int,
+                 delay_s: int, lateness_s: int, key: str = "id"):
+        super().__init__(state_dir, "", "", size_s, slide_s, delay_s, lateness_s)
+        self.counts_dir, self.key = counts_dir, key
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        wm = self._watermark(spark, batch_id)
+        t = F.unix_micros("ts")
+        n = self.size_s // self.slide_s
+        tt = F.col("_t")
+        start = tt - F.pmod(tt, F.lit(self.slide_s * US)) - F.col("_j") * F.lit(self.slide_s * US)
+        pairs = (batch.select(self.key, t.alias("_t"))
+                 .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+                 .withColumn("_start", start))
+        if wm is not None:
+            pairs = pairs.where(F.col("_start") + F.lit(self.size_s * US) - F.lit(MS)
+                                + F.lit(self.lateness_s * US) > F.lit(wm))
+        counts = (pairs.groupBy(self.key, "_start").agg(F.count(F.lit(1)).alias("cnt"))
+                  .select(self.key, (F.col("_start") / MS).cast("bigint").alias("window_start_ms"), "cnt"))
+        counts.write.mode("overwrite").parquet(f"{self.counts_dir}/batch={batch_id}")
+        mx = batch.agg(F.max(t).alias("m")).first().m
+        if mx is not None:
+            (spark.createDataFrame([(int(mx),)], "max_us bigint")
+             .write.mode("overwrite").parquet(f"{self.state_dir}/batch={batch_id}"))
+
+    def read_counts(self, spark: SparkSession) -> DataFrame:
+        return (spark.read.parquet(self.counts_dir).groupBy(self.key, "window_start_ms")
+                .agg(F.sum("cnt").cast("int").alias("cnt")))
