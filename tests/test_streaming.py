@@ -225,3 +225,24 @@ def test_processing_time_alarm_fires(spark):
     # sensor1 rises and stays up, so its timer fires (sensor4 may too: batches
     # are wall-clock apart, so its fall can come after its 1 s timer)
     assert "sensor1" in {r.id for r in got} and all(r.message == "温度连续上升1秒" for r in got)
+
+
+def test_streaming_word_count_drops_empty_words(spark):
+    from tidemark.operators import text as tx
+    from conftest import HELLO_LINES
+    d = tempfile.mkdtemp(prefix="tidemark-words-")
+    for i, chunk in enumerate([HELLO_LINES[:3], HELLO_LINES[3:] + ["a  b "]]):
+        p = os.path.join(d, f"w{i}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(chunk) + "\n")
+        os.utime(p, (1_600_000_000 + i,) * 2)
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(d)
+    words = tx.tokens(lines, "value", drop_empty=True)
+    counts = _drain(spark, runner.running_count_stream(words, key="word"), "wc_stream", "complete")
+    got = dict(rows(counts))
+    assert got["hello"] == 3 and got["ha"] == 3 and got["a"] == 1 and "" not in got
+
+
+def test_labeled_lines(sensor):
+    first = writers.labeled(sensor.select("id", "temp").where("seq = 0"), "result").first().line
+    assert first == "result> sensor1,0.89"

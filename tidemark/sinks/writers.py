@@ -155,6 +155,19 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, key: str, value: str,
     df.sparkSession.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {stage}) p", properties=probe).collect()
 
 
+def labeled(df: DataFrame, label: str) -> DataFrame:
+    """Prefix rows with a label, as ``print("label")`` does: one ``line`` column
+    ``label> row`` for console or text sinks."""
+    row = F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns])
+    return df.select(F.concat(F.lit(f"{label}> "), row).alias("line"))
+
+
+def console_stream(df: DataFrame, label: str | None = None, mode: str = "append"):
+    """Start a console sink (the reference's ``print``), optionally labelled."""
+    out = labeled(df, label) if label else df
+    return out.writeStream.outputMode(mode).format("console").option("truncate", False).start()
+
+
 # ---------------------------------------------------------------- tables
 
 def insert_by_position(df: DataFrame, sink_columns: Sequence[str]) -> DataFrame:

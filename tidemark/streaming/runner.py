@@ -113,8 +113,9 @@ class LateRouter:
     still reach a sliding window and late rows (the late side output).
 
     The watermark for a batch is ``max(event time of earlier batches) -
-    delay``; each batch's max is written under ``state_dir/batch=<id>`` so
-    a replayed batch sees the same watermark. A row is late when even its
+    delay``. After each batch the running max so far is written under
+    ``state_dir/batch=<id>``, so a batch reads one small file (its
+    predecessor's) and a replayed batch sees the same watermark. A row is late when even its
     last window closed: ``end - 1 ms + lateness <= watermark``. On-time and
     late rows go to their own parquet folders, one ``batch=<id>`` folder per
     micro-batch written with overwrite, so a replayed batch replaces itself.
@@ -125,13 +126,25 @@ class LateRouter:
         self.state_dir, self.on_time_dir, self.late_dir = state_dir, on_time_dir, late_dir
         self.size_s, self.slide_s, self.delay_s, self.lateness_s = size_s, slide_s, delay_s, lateness_s
 
-    def _watermark(self, spark: SparkSession, batch_id: int):
+    def _max_before(self, spark: SparkSession, batch_id: int):
+        if batch_id == 0:
+            return None
         try:
-            state = spark.read.parquet(self.state_dir)
-        except AnalysisException:  # no batch written yet
+            row = spark.read.parquet(f"{self.state_dir}/batch={batch_id - 1}").first()
+        except AnalysisException:  # nothing seen yet
             return None
-        prev = state.where(F.col("batch") < batch_id).agg(F.max("max_us").alias("m")).first()
-        return None if prev is None or prev.m is None else prev.m - self.delay_s * US
+        return None if row is None else row.max_us
+
+    def _watermark(self, spark: SparkSession, batch_id: int):
+        m = self._max_before(spark, batch_id)
+        return None if m is None else m - self.delay_s * US
+
+    def _save_max(self, spark: SparkSession, batch_id: int, batch_max) -> None:
+        prev = self._max_before(spark, batch_id)
+        vals = [v for v in (prev, batch_max) if v is not None]
+        if vals:
+            (spark.createDataFrame([(int(max(vals)),)], "max_us bigint")
+             .write.mode("overwrite").parquet(f"{self.state_dir}/batch={batch_id}"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -146,9 +159,7 @@ class LateRouter:
             f"{self.late_dir}/batch={batch_id}")
         mx = tagged.agg(F.max(t).alias("max_us")).first().max_us
         tagged.unpersist()
-        if mx is not None:
-            (spark.createDataFrame([(int(mx),)], "max_us bigint")
-             .write.mode("overwrite").parquet(f"{self.state_dir}/batch={batch_id}"))
+        self._save_max(spark, batch_id, mx)
 
 
 class LatenessWindowCounts(LateRouter):
@@ -184,10 +195,7 @@ class LatenessWindowCounts(LateRouter):
         counts = (pairs.groupBy(self.key, "_start").agg(F.count(F.lit(1)).alias("cnt"))
                   .select(self.key, (F.col("_start") / MS).cast("bigint").alias("window_start_ms"), "cnt"))
         counts.write.mode("overwrite").parquet(f"{self.counts_dir}/batch={batch_id}")
-        mx = batch.agg(F.max(t).alias("m")).first().m
-        if mx is not None:
-            (spark.createDataFrame([(int(mx),)], "max_us bigint")
-             .write.mode("overwrite").parquet(f"{self.state_dir}/batch={batch_id}"))
+        self._save_max(spark, batch_id, batch.agg(F.max(t).alias("m")).first().m)
 
     def read_counts(self, spark: SparkSession) -> DataFrame:
         return (spark.read.parquet(self.counts_dir).groupBy(self.key, "window_start_ms")
