@@ -220,8 +220,8 @@ def q_rising_first_alarm(spark, sf):
 
 def _ev_user_ids(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet")
-    return ev.select(F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("id"),
-                     F.col("event_id").alias("seq"))
+    return spread(ev.select(F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("id"),
+                            F.col("event_id").alias("seq")))
 
 
 def q_udf_hash_code(spark, sf):
