@@ -84,20 +84,25 @@ def top2(df: DataFrame, key: str = "id", value: str = "temp", order_tie: str = "
     double are never taken. With ``sentinel`` every key yields ranks 1 and 2,
     filling a missing one with the most negative double.
 
-    ``row_number() <= 2`` lets Spark keep two rows per key in each task
-    before the shuffle, so a hot key ships two rows per task.
+    One shuffle: rows are ranked per key with eligible values first, and
+    ``row_number() <= 2`` makes Spark keep two rows per key in each task
+    before the shuffle (a partial ``WindowGroupLimit``), so a hot key ships
+    two rows per task. The at most two survivors per key are then gathered
+    (the window's partitioning already groups them) and the ranks filled.
     """
     v = F.col(value)
-    eligible = df.where((v > F.lit(DOUBLE_MIN)) & ~F.isnan(v))
-    w = Window.partitionBy(key).orderBy(v.desc(), F.col(order_tie))
-    ranked = (eligible.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 2)
-              .select(key, "rank", value))
+    eligible = (v > F.lit(DOUBLE_MIN)) & ~F.isnan(v)
+    w = Window.partitionBy(key).orderBy(eligible.desc(), v.desc(), F.col(order_tie))
+    top = (df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
+           .select(key, "_r", F.when(eligible, v).alias("_v")))
     if not sentinel:
-        return ranked.select(key, value, "rank")
-    slots = (df.select(key).distinct()
-             .withColumn("rank", F.explode(F.array(F.lit(1), F.lit(2)))))
-    return (slots.join(ranked, [key, "rank"], "left")
-            .select(key, F.coalesce(F.col(value), F.lit(DOUBLE_MIN)).alias(value), "rank"))
+        return top.where(F.col("_v").isNotNull()).select(key, F.col("_v").alias(value),
+                                                         F.col("_r").alias("rank"))
+    packed = top.groupBy(key).agg(F.collect_list(F.struct("_r", "_v")).alias("_a"))
+    slot = lambda i: F.struct(
+        F.coalesce(F.get(F.filter("_a", lambda x: x["_r"] == i), 0)["_v"], F.lit(DOUBLE_MIN)).alias(value),
+        i.alias("rank"))
+    return packed.select(key, F.inline(F.transform(F.array(F.lit(1), F.lit(2)), slot)))
 
 
 # ------------------------------------------------------------ Python forms
