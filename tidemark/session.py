@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.python.unix.domain.socket.enabled": "true",
+    # delete checkpoint files (range buckets, alarm rounds) once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
