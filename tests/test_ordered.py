@@ -78,3 +78,21 @@ def test_queries_agree_on_bucketed_path(spark):
             assert rows(qs[n](spark, SF)) == plain[n], n
     finally:
         spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
+
+
+def test_hot_key_is_cut_into_balanced_buckets(spark):
+    """A key holding a third of all rows is spread over many buckets of
+    about equal size; no bucket is much larger than an even share."""
+    ev = events_readings(spark, "/root/testdata/sf0.01")
+    skewed = ev.withColumn("id", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("id")))
+    n = 16
+    b = ordered.range_buckets(skewed.select("id", "ts", "seq"), ["id"], ["ts", "seq"], n)
+    sizes = [r["count"] for r in b.groupBy(ordered.BUCKET).count().collect()]
+    total = sum(sizes)
+    assert max(sizes) <= 2.0 * total / n
+    hot = b.where("id = 'hot'").groupBy(ordered.BUCKET).count().collect()
+    assert len(hot) >= n // 4 and max(r["count"] for r in hot) <= 0.4 * sum(r["count"] for r in hot)
+    # and the running count over the skewed key is still exact
+    got = ordered.running(skewed.select("id", "ts", "seq"), ["id"], ["ts", "seq"], {"c": ("count", None)}, n=n)
+    exp = skewed.select("seq", F.row_number().over(Window.partitionBy("id").orderBy("ts", "seq")).alias("c"))
+    assert rows(got, "seq", "c") == rows(exp.withColumn("c", F.col("c").cast("bigint")), "seq", "c")
