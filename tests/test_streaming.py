@@ -246,3 +246,16 @@ def test_streaming_word_count_drops_empty_words(spark):
 def test_labeled_lines(sensor):
     first = writers.labeled(sensor.select("id", "temp").where("seq = 0"), "result").first().line
     assert first == "result> sensor1,0.89"
+
+
+def test_upsert_rewrites_only_touched_buckets(spark):
+    base = tempfile.mkdtemp(prefix="tidemark-ups-")
+    t = f"{base}/t"
+    first = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "key string, value int")
+    v1 = writers.upsert_to_path(first, t, buckets=8)
+    second = spark.createDataFrame([("k3", -3), ("new", 1)], "key string, value int")
+    v2 = writers.upsert_to_path(second, t, buckets=8)
+    got = dict(rows(writers.read_upserted(spark, t)))
+    assert len(got) == 201 and got["k3"] == -3 and got["new"] == 1 and got["k4"] == 4
+    rewritten = {p for p in os.listdir(v2) if p.startswith("_bucket=")}
+    assert 1 <= len(rewritten) <= 2 and len({p for p in os.listdir(v1) if p.startswith("_bucket=")}) == 8

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
 
 # The record text of the reference's Kafka producer and the
 # document sink's index/type.
@@ -87,29 +86,58 @@ def merge_latest(existing: DataFrame | None, updates: DataFrame, key: str = "key
     return existing.join(updates.select(key), key, "left_anti").unionByName(updates)
 
 
-def upsert_to_path(batch: DataFrame, path: str, key: str = "key", fmt: str = "parquet") -> str:
+UPSERT_BUCKETS = 64
+
+
+def upsert_to_path(batch: DataFrame, path: str, key: str = "key", fmt: str = "parquet",
+                   buckets: int = UPSERT_BUCKETS) -> str:
     """Merge a batch of keyed rows into the table stored at ``path``.
 
-    Without a transactional table format, the merged table is written to a
-    new version folder and ``path/_current`` names it; readers use
-    ``read_upserted``. Old versions stay until removed by the user.
+    Without a transactional table format the table is kept as ``buckets``
+    hash buckets of the key. A batch rewrites only the buckets its keys fall
+    in: those buckets' current rows are read, rows whose key is in the batch
+    are replaced (anti-join + union), and the result is written to a new
+    version folder. A small manifest (bucket -> folder), written last and
+    named by ``path/_current``, makes the new version visible at once; a
+    replayed batch writes a fresh version and republishes. Cost per batch
+    grows with the touched buckets, not with the whole table.
     """
     spark = batch.sparkSession
-    existing = read_upserted(spark, path, fmt)
-    merged = merge_latest(existing, batch, key)
-    version = scratch_path(spark, "v") if not path else f"{path}/v-{_stamp()}"
-    merged.write.format(fmt).mode("overwrite").save(version)
-    spark.createDataFrame([(version,)], "current string").coalesce(1) \
+    b = F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("_bucket")
+    staged = batch.withColumn("_bucket", b)
+    touched = sorted(r[0] for r in staged.select("_bucket").distinct().collect())  # <= buckets values
+    manifest = _read_manifest(spark, path)
+    stamp = _stamp()
+    version = f"{path}/v-{stamp}"
+    old_dirs = [manifest[x] for x in touched if x in manifest]
+    merged = staged
+    if old_dirs:
+        existing = spark.read.format(fmt).load(old_dirs).withColumn("_bucket", b)
+        merged = existing.join(staged.select(key), key, "left_anti").unionByName(staged)
+    merged.write.format(fmt).mode("overwrite").partitionBy("_bucket").save(version)
+    for x in touched:
+        manifest[x] = f"{version}/_bucket={x}"
+    (spark.createDataFrame(sorted(manifest.items()), "bucket int, dir string").coalesce(1)
+     .write.mode("overwrite").parquet(f"{path}/_manifest/m-{stamp}"))
+    spark.createDataFrame([(f"{path}/_manifest/m-{stamp}",)], "current string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/_current")
     return version
 
 
-def read_upserted(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
+def _read_manifest(spark, path: str) -> dict[int, str]:
     try:
         cur = spark.read.text(f"{path}/_current").first()
     except Exception:  # no table yet
-        return None
-    return spark.read.format(fmt).load(cur[0]) if cur else None
+        return {}
+    if not cur:
+        return {}
+    return {r.bucket: r.dir for r in spark.read.parquet(cur[0]).collect()}  # <= buckets rows
+
+
+def read_upserted(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The current content of an ``upsert_to_path`` table."""
+    dirs = list(_read_manifest(spark, path).values())
+    return spark.read.format(fmt).load(dirs) if dirs else None
 
 
 def _stamp() -> str:
