@@ -259,3 +259,25 @@ def test_upsert_rewrites_only_touched_buckets(spark):
     assert len(got) == 201 and got["k3"] == -3 and got["new"] == 1 and got["k4"] == 4
     rewritten = {p for p in os.listdir(v2) if p.startswith("_bucket=")}
     assert 1 <= len(rewritten) <= 2 and len({p for p in os.listdir(v1) if p.startswith("_bucket=")}) == 8
+
+
+def test_reduce_and_min_by_streams(spark, sensor, stream_dir):
+    s = runner.readings_stream(spark, stream_dir)
+    red = _drain(spark, runner.reduce_stream(s), "reduce_s", "complete")
+    assert rows(red) == rows(rolling.reduce_final(sensor).select(*red.columns))
+    mb = _drain(spark, runner.min_by_stream(s), "minby_s", "complete")
+    assert rows(mb) == rows(rolling.min_by_record(sensor).select(*mb.columns))
+
+
+def test_grouped_documents_upserted_by_key(spark, stream_dir):
+    """A grouped count stream as JSON documents upserted by the grouping key."""
+    base = tempfile.mkdtemp(prefix="tidemark-docs-")
+    counts = rolling.group_count(runner.readings_stream(spark, stream_dir))
+    docs = counts.select(F.col("id").alias("key"),
+                         F.to_json(F.struct("id", F.col("count").cast("string").alias("count"))).alias("doc"))
+
+    def upsert(batch, batch_id):
+        writers.upsert_to_path(batch, f"{base}/docs", key="key")
+    runner.run(docs, "docs", _ckpt(), mode="update", foreach_batch=upsert)
+    got = dict(rows(writers.read_upserted(spark, f"{base}/docs")))
+    assert got == {"sensor1": '{"id":"sensor1","count":"3"}', "sensor4": '{"id":"sensor4","count":"5"}'}

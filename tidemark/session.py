@@ -77,7 +77,10 @@ def spread(df):
     per-row work (tokenising) uses every core. Inputs that already have
     enough splits, as any large table does, are returned unchanged: no
     extra shuffle at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. a Connect session): leave the plan as is
         return df
     return df.repartition(target)

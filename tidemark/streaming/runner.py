@@ -96,6 +96,19 @@ def running_count_stream(df: DataFrame, key: str = "id", name: str = "count") ->
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def reduce_stream(df: DataFrame, key: str = "id") -> DataFrame:
+    """The keyed reduce (max timestamp, min temp) on a stream, update mode:
+    one refined row per changed key and micro-batch."""
+    return df.groupBy(key).agg(F.max("timestamp").alias("timestamp"), F.min("temp").alias("temp"))
+
+
+def min_by_stream(df: DataFrame, key: str = "id") -> DataFrame:
+    """minBy on a stream: the record holding each key's minimum so far
+    (ties keep the earliest ``seq``), update mode."""
+    rec = F.min_by(F.struct("timestamp", "temp", "seq"), F.struct("temp", "seq"))
+    return df.groupBy(key).agg(rec.alias("r")).select(key, "r.*")
+
+
 def _add_delays(a: str, b: str) -> str:
     return f"{_seconds(a) + _seconds(b)} seconds"
 
