@@ -48,7 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is always used.
-    Only when it is unset (local runs, tests) is a private folder created.
+    Only a local-mode session without one (tests, a laptop) gets a private
+    folder; a cluster without one is an error, since executors cannot share
+    a folder on the driver's disk.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -56,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
