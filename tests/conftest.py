@@ -8,6 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tidemark.session import get_spark  # noqa: E402
 
+# The reference's two text fixtures and its in-code collection.
 SENSOR_LINES = [
     "sensor1,1547718199,0.89",
     "sensor1,1547719099,5.6",

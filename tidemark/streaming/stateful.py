@@ -118,17 +118,22 @@ class LastRows(StatefulProcessor):
         tail = list(self.buf.get()) if self.buf.exists() else []
         temps = [t for t, _ in tail] + pdf["temp"].tolist()
         stamps = [s for _, s in tail] + pdf["timestamp"].tolist()
-        k, out = len(tail), []
-        for i in range(k, len(temps)):
-            lo = max(0, i - self.n + 1)
-            window = temps[lo:i + 1]
-            s = sum((_dec(x) for x in window), Decimal(0))
-            out.append((len(window), float(s) / len(window), max(stamps[lo:i + 1]), min(window)))
-        keep = max(0, len(temps) - (self.n - 1))
+        k, n = len(tail), self.n
+        # exact DECIMAL(38,10) sums as scaled integers, then the double cast
+        scaled = np.array([int(_dec(x).scaleb(10)) for x in temps], dtype=object)
+        csum = np.concatenate([[0], np.cumsum(scaled)])
+        idx = np.arange(k, len(temps))
+        lo = np.maximum(0, idx - n + 1)
+        cnt = idx - lo + 1
+        sums = csum[idx + 1] - csum[lo]
+        avg = np.array([float(Decimal(int(x)).scaleb(-10)) for x in sums]) / cnt
+        roll_t = pd.Series(temps, dtype="float64").rolling(n, min_periods=1)
+        roll_s = pd.Series(stamps, dtype="int64").rolling(n, min_periods=1)
+        keep = max(0, len(temps) - (n - 1))
         self.buf.put(list(zip(temps[keep:], stamps[keep:])))
-        cnt, avg, mts, mtemp = zip(*out) if out else ((), (), (), ())
-        yield pd.DataFrame({"id": key[0], "seq": pdf["seq"].to_numpy(), "cnt": list(cnt), "avg_temp": list(avg),
-                            "max_timestamp": list(mts), "min_temp": list(mtemp)})
+        yield pd.DataFrame({"id": key[0], "seq": pdf["seq"].to_numpy(), "cnt": cnt.astype("int64"),
+                            "avg_temp": avg, "max_timestamp": roll_s.max().to_numpy()[k:].astype("int64"),
+                            "min_temp": roll_t.min().to_numpy()[k:]})
 
     def close(self) -> None:
         pass
