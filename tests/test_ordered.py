@@ -96,3 +96,16 @@ def test_hot_key_is_cut_into_balanced_buckets(spark):
     got = ordered.running(skewed.select("id", "ts", "seq"), ["id"], ["ts", "seq"], {"c": ("count", None)}, n=n)
     exp = skewed.select("seq", F.row_number().over(Window.partitionBy("id").orderBy("ts", "seq")).alias("c"))
     assert rows(got, "seq", "c") == rows(exp.withColumn("c", F.col("c").cast("bigint")), "seq", "c")
+
+
+def test_bucket_count_follows_data_size(spark, ev):
+    total = ev.count()
+    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "50")
+    try:
+        plain, n = ordered.plan_buckets(ev, ["id"])
+        assert not plain and n == max(4, -(-total // 50))
+        plain, n = ordered.plan_buckets(ev, [])
+        assert not plain and n == max(4, -(-total // 50))
+    finally:
+        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
+    assert ordered.plan_buckets(ev, ["id"]) == (True, 0)

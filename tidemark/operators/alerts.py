@@ -87,14 +87,15 @@ def _runs(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Rows with ``rise``/``fall`` flags (vs the last temp, 0.0 at first) and
     ``run`` = number of falls strictly before the row in its key."""
     base = df.select(key, "temp", *order)
-    plain = ordered.fits_one_task(base, [key])
+    plain, n = ordered.plan_buckets(base, [key])
     prev = ordered.previous(base, [key], order, ["temp"], k=1,
-                            default=0.0, fmt="_last", plain=plain)
+                            default=0.0, fmt="_last", plain=plain, n=n or None)
     flagged = (prev.withColumn("rise", (F.col("temp") > F.col("_last")) & _not_nan("temp") & _not_nan("_last"))
                .withColumn("fall", (F.col("temp") < F.col("_last")) & _not_nan("temp") & _not_nan("_last"))
                .withColumn("_t", epoch_micros(order[0])))
     out = ordered.running(flagged, [key], order,
-                          {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False, plain=plain)
+                          {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False, plain=plain,
+                          n=n or None)
     return out.withColumn("run", F.coalesce(F.col("run"), F.lit(0).cast("bigint")))
 
 

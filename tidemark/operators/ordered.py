@@ -33,7 +33,9 @@ Size check first. The largest group (rows of the heaviest key; all rows
 when there is no key) is measured with one map-side aggregate. When it is
 at most ``spark.tidemark.ordered.maxGroupRows`` (default 4,000,000: a sort
 one task does in seconds), a plain per-key window is used: one hash
-exchange, no sampling, no checkpoint. Above it, the bucketed path. Both give
+exchange, no sampling, no checkpoint. Above it, the bucketed path, with
+``total rows / maxGroupRows`` buckets (at least the shuffle partitions), so
+every bucket fits the same bound however large the input. Both paths give
 the same rows; tests run both.
 """
 
@@ -68,17 +70,36 @@ def max_group_rows(spark) -> int:
     return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
 
 
+def measure(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the heaviest key, all rows): one map-side aggregate over the
+    key columns only; with no key, a plain count."""
+    if not keys:
+        n = df.count()
+        return n, n
+    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+         .agg(F.max("_n").alias("_m"), F.sum("_n").alias("_t")).first())
+    return (r["_m"] or 0, r["_t"] or 0) if r is not None else (0, 0)
+
+
+def plan_buckets(df: DataFrame, keys: Sequence[str]) -> tuple[bool, int]:
+    """Choose the path: ``(True, 0)`` when the heaviest key fits one task,
+    else ``(False, n)`` with ``n`` buckets of about ``maxGroupRows`` rows
+    each (at least the session's shuffle partitions)."""
+    limit = max_group_rows(df.sparkSession)
+    if limit > 0 and not keys:  # cheap early exit for small inputs
+        if df.limit(limit + 1).count() <= limit:
+            return True, 0
+    heaviest, total = measure(df, keys)
+    if limit > 0 and heaviest <= limit:
+        return True, 0
+    per_bucket = limit if limit > 0 else DEFAULT_MAX_GROUP_ROWS
+    return False, max(shuffle_partitions(df.sparkSession), -(-total // per_bucket))
+
+
 def fits_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
     """True when the heaviest key (or, with no key, the whole input) has at
-    most ``maxGroupRows`` rows. One aggregate over the key columns only."""
-    limit = max_group_rows(df.sparkSession)
-    if limit <= 0:
-        return False
-    if not keys:
-        return df.limit(limit + 1).count() <= limit
-    heaviest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                .agg(F.max("_n").alias("_m")).first())
-    return heaviest is None or heaviest["_m"] is None or heaviest["_m"] <= limit
+    most ``maxGroupRows`` rows."""
+    return plan_buckets(df, keys)[0]
 
 
 def _spec(keys: Sequence[str]):
@@ -109,8 +130,8 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     incl = {name: (spec[2] if len(spec) > 2 else inclusive) for name, spec in aggs.items()}
-    if plain is None:
-        plain = n is None and fits_one_task(df, keys)
+    if plain is None and n is None:
+        plain, n = plan_buckets(df, keys)
     if plain:
         return _running_plain(df, keys, order, aggs, incl)
     r = range_buckets(df, keys, order, n)
@@ -201,8 +222,8 @@ def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
     a per-key window would. ``order`` must be unique within a key.
     """
     keys, order = list(keys), list(order)
-    if plain is None:
-        plain = n is None and fits_one_task(df, keys)
+    if plain is None and n is None:
+        plain, n = plan_buckets(df, keys)
     if plain:
         w = _spec(keys).orderBy(*_cols(order))
         out = df

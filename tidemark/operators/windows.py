@@ -67,11 +67,11 @@ def session_count(df: DataFrame, gap_s: int, key: str = "id", ts: str = "ts",
     """
     us = gap_s * 1_000_000
     d = df.select(key, *order).withColumn("_t", epoch_micros(ts))
-    plain = ordered.fits_one_task(d, [key])
-    d = ordered.running(d, [key], order, {"_p": ("max", "_t", False)}, plain=plain)
+    plain, n = ordered.plan_buckets(d, [key])
+    d = ordered.running(d, [key], order, {"_p": ("max", "_t", False)}, plain=plain, n=n or None)
     opens = F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(us))
     d = ordered.running(d.withColumn("_o", F.when(opens, F.col("_t"))), [key], order,
-                        {"_s": ("max", "_o")}, plain=plain)
+                        {"_s": ("max", "_o")}, plain=plain, n=n or None)
     return (d.groupBy(key, "_s").agg(F.max("_t").alias("_e"), F.count(F.lit(1)).alias("cnt"))
             .select(key, ntz_from_micros("_s").alias("session_start"),
                     ntz_from_micros(F.col("_e") + F.lit(us)).alias("session_end"), "cnt"))
