@@ -254,13 +254,12 @@ class Top2(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         hi, second = self.acc.get() if self.acc.exists() else (DOUBLE_MIN, DOUBLE_MIN)
-        for pdf in rows:
-            for t in pdf["temp"].to_numpy(dtype="float64"):
-                if t > hi:
-                    hi, second = t, hi
-                elif t > second:
-                    second = t
-        self.acc.update((float(hi), float(second)))
+        t = np.concatenate([pdf["temp"].to_numpy(dtype="float64") for pdf in rows] + [[hi, second]])
+        t = t[(t > DOUBLE_MIN) & ~np.isnan(t)]  # NaN and -inf are never taken
+        best = np.sort(t)[::-1][:2]
+        hi = float(best[0]) if len(best) > 0 else DOUBLE_MIN
+        second = float(best[1]) if len(best) > 1 else DOUBLE_MIN
+        self.acc.update((hi, second))
         yield pd.DataFrame({"id": [key[0], key[0]], "temp": [hi, second], "rank": [1, 2]})
 
     def close(self) -> None:
@@ -285,20 +284,24 @@ class RetractAvg(StatefulProcessor):
             s = Decimal(s_txt)
         else:
             s, n = Decimal(0), 0
-        out = []
-        for seq, t in zip(pdf["seq"].tolist(), pdf["temp"].tolist()):
-            old = float(s) / n if n else None
-            s += _dec(t)
-            n += 1
-            new = float(s) / n
-            if old is None:
-                out.append((seq, True, 1, new))
-            elif old != new:
-                out += [(seq, False, 0, old), (seq, True, 1, new)]
-        self.acc.update((str(s), n))
-        cols = list(zip(*out)) if out else [[], [], [], []]
-        yield pd.DataFrame({"id": key[0], "seq": list(cols[0]), "is_add": list(cols[1]),
-                            "change": list(cols[2]), "avg_temp": list(cols[3])})
+        # running sums as exact scaled integers (DECIMAL(38,10)), then the double cast
+        base = int(s.scaleb(10))
+        scaled = np.array([int(_dec(t).scaleb(10)) for t in pdf["temp"].tolist()], dtype=object)
+        sums = base + np.cumsum(scaled) if len(scaled) else np.array([], dtype=object)
+        counts = n + np.arange(1, len(scaled) + 1)
+        new = np.array([float(Decimal(int(x)).scaleb(-10)) for x in sums]) / counts
+        old = np.concatenate([[float(s) / n if n else np.nan], new[:-1]])
+        first = np.isnan(old)
+        changed = ~first & (old != new)
+        seq = pdf["seq"].to_numpy()
+        adds = pd.DataFrame({"seq": seq[first | changed], "is_add": True, "change": 1,
+                             "avg_temp": new[first | changed]})
+        retracts = pd.DataFrame({"seq": seq[changed], "is_add": False, "change": 0, "avg_temp": old[changed]})
+        if len(scaled):
+            self.acc.update((str(Decimal(int(sums[-1])).scaleb(-10)), int(counts[-1])))
+        out = pd.concat([retracts, adds], ignore_index=True)
+        out.insert(0, "id", key[0])
+        yield out
 
     def close(self) -> None:
         pass
