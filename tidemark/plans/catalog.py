@@ -87,6 +87,11 @@ def q_word_count_nonempty(spark, sf):
     return text.word_count(_docs(spark, sf), "text", " ", drop_empty=True)
 
 
+def q_rolling_word_count(spark, sf):
+    docs = spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    return text.rolling_word_count(docs, "text", ["doc_id"]).select("doc_id", "pos", "word", "count")
+
+
 # ------------------------------------------------------------ rolling / grouped
 
 def q_rolling_count(spark, sf):
@@ -105,6 +110,10 @@ def q_min_by(spark, sf):
     return rolling.min_by_record(_ev(spark, sf))
 
 
+def q_rolling_min_by(spark, sf):
+    return rolling.rolling_min_by(_ev(spark, sf))
+
+
 def q_group_count(spark, sf):
     return rolling.group_count(_ev(spark, sf))
 
@@ -292,10 +301,12 @@ QUERIES: dict[str, Query] = {
     "sql_select_filter": q_sql_select_filter,
     "word_count": q_word_count,
     "word_count_nonempty": q_word_count_nonempty,
+    "rolling_word_count": q_rolling_word_count,
     "rolling_count": q_rolling_count,
     "rolling_reduce": q_rolling_reduce,
     "reduce_final": q_reduce_final,
     "min_by": q_min_by,
+    "rolling_min_by": q_rolling_min_by,
     "group_count": q_group_count,
     "split_tags": q_split_tags,
     "side_output_main": q_side_output_main,

@@ -112,6 +112,18 @@ ORACLE: dict[str, str] = {
     "min_by": R + """SELECT id, timestamp, temp, seq FROM (
             SELECT *, row_number() OVER (PARTITION BY id ORDER BY temp, seq) AS rn FROM readings)
         WHERE rn = 1""",
+    "rolling_min_by": R + """SELECT id, ts, seq, m.timestamp AS min_timestamp, m.temp AS min_temp FROM (
+            SELECT id, ts, seq, arg_min({'timestamp': timestamp, 'temp': temp}, (temp, seq)) OVER (
+                PARTITION BY id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m
+            FROM readings)""",
+    "rolling_word_count": """WITH d AS (SELECT doc_id, text, rtrim(text, ' ') AS s FROM documents),
+        l AS (SELECT doc_id, CASE WHEN text = '' THEN [''] WHEN s = '' THEN [] ELSE string_split(s, ' ') END AS ws
+              FROM d),
+        t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS pos FROM l)
+        SELECT doc_id, CAST(pos AS INTEGER) AS pos, word,
+               count(*) OVER (PARTITION BY word ORDER BY doc_id, pos
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS count
+        FROM t WHERE word <> ''""",
     "group_count": R + "SELECT id, count(id) AS count FROM readings GROUP BY id",
     "split_tags": R + f"""SELECT seq, id, temp,
             CASE WHEN temp > {c.SPLIT_T} AND NOT isnan(temp) THEN 'high' ELSE 'low' END AS tag
