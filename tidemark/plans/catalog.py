@@ -288,6 +288,14 @@ def q_kafka_payload(spark, sf):
     return _ev(spark, sf).select("seq", writers.record_text().alias("value"))
 
 
+def q_console_lines(spark, sf):
+    return writers.labeled(_ev(spark, sf).select("id", "temp"), "result")
+
+
+def q_positional_insert(spark, sf):
+    return writers.insert_by_position(rolling.group_count(_ev(spark, sf)), ["id", "cnt"])
+
+
 def q_epoch_millis_text(spark, sf):
     ev = _ev(spark, sf)
     ms = F.floor(epoch_micros("ts") / F.lit(1000)).cast("bigint")
@@ -341,5 +349,7 @@ QUERIES: dict[str, Query] = {
     "document_json": q_document_json,
     "csv_payload": q_csv_payload,
     "kafka_payload": q_kafka_payload,
+    "console_lines": q_console_lines,
+    "positional_insert": q_positional_insert,
     "epoch_millis_text": q_epoch_millis_text,
 }

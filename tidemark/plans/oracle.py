@@ -245,5 +245,7 @@ ORACLE: dict[str, str] = {
     "csv_payload": R + "SELECT seq, id || ',' || CAST(temp AS VARCHAR) AS value FROM readings",
     "kafka_payload": R + """SELECT seq, 'SensorReading(' || id || ',' || CAST(timestamp AS VARCHAR) || ','
             || CAST(temp AS VARCHAR) || ')' AS value FROM readings""",
+    "console_lines": R + "SELECT 'result> ' || id || ',' || CAST(temp AS VARCHAR) AS line FROM readings",
+    "positional_insert": R + "SELECT id, count(id) AS cnt FROM readings GROUP BY id",
     "epoch_millis_text": R + "SELECT seq, strftime(ts, '%a %b %d %H:%M:%S UTC %Y') AS text FROM readings",
 }
