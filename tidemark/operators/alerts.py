@@ -83,7 +83,7 @@ def temp_jump_map(df: DataFrame, threshold: float = 10.0, key: str = "id",
                        F.when(jump, F.col("temp")).alias("jump_temp"))
 
 
-def _runs(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def _runs(df: DataFrame, key: str, order: Sequence[str], with_path: bool = False):
     """Rows with ``rise``/``fall`` flags (vs the last temp, 0.0 at first) and
     ``run`` = number of falls strictly before the row in its key."""
     base = df.select(key, "temp", *order)
@@ -96,7 +96,8 @@ def _runs(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     out = ordered.running(flagged, [key], order,
                           {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False, plain=plain,
                           n=n or None)
-    return out.withColumn("run", F.coalesce(F.col("run"), F.lit(0).cast("bigint")))
+    out = out.withColumn("run", F.coalesce(F.col("run"), F.lit(0).cast("bigint")))
+    return (out, plain) if with_path else out
 
 
 def _arm_candidates(rows: DataFrame, key: str, timer_s: int) -> DataFrame:
@@ -165,7 +166,12 @@ def rising_alarm(df: DataFrame, timer_s: int, key: str = "id", order: Sequence[s
     spark = df.sparkSession
     d = timer_s * US
     fold_max = int(spark.conf.get(MAX_FOLD_ROWS_CONF, str(DEFAULT_MAX_FOLD_ROWS)))
-    rows = _runs(df, key, order)
+    rows, plain = _runs(df, key, order, with_path=True)
+    if not plain:
+        # large input: every branch below reads the flagged rows, so write them
+        # once (reliable checkpoint) rather than re-run two ordered passes each
+        rows = rows.select(key, "seq", *[o for o in order if o != "seq"], "_t", "rise", "fall",
+                           "run").checkpoint(eager=True)
     per_run = (rows.groupBy(key, "run")
                .agg(F.min(F.when(F.col("rise"), F.col("_t"))).alias("_a"),
                     F.max(F.when(F.col("rise"), F.col("_t"))).alias("_z"),
