@@ -281,3 +281,18 @@ def test_grouped_documents_upserted_by_key(spark, stream_dir):
     runner.run(docs, "docs", _ckpt(), mode="update", foreach_batch=upsert)
     got = dict(rows(writers.read_upserted(spark, f"{base}/docs")))
     assert got == {"sensor1": '{"id":"sensor1","count":"3"}', "sensor4": '{"id":"sensor4","count":"5"}'}
+
+
+def test_late_router_punctuated(spark):
+    """Only marker rows advance the watermark (to their time - 1 s): rows of
+    other ids far ahead in time do not make anything late."""
+    lines = ["m,1000,1.0", "x,5000,1.0", "m,1010,1.0", "k,1002,1.0", "m,1100,1.0", "k,1003,1.0"]
+    d = _write_batches(lines, 1)
+    base = tempfile.mkdtemp(prefix="tidemark-punct-")
+    router = runner.LateRouter(f"{base}/state", f"{base}/on_time", f"{base}/late", 15, 5, 5, 60,
+                               marker_id="m", marker_minus_s=1)
+    runner.run(runner.readings_stream(spark, d), "punct", _ckpt(), foreach_batch=router)
+    # before the last row the watermark is 1099 (m at 1100 - 1): k at 1003 has last
+    # window [1000, 1015): 1015 - 0.001 + 60 = 1074.999 <= 1099, so it is late; k at
+    # 1002 came when the watermark was 1009: still on time
+    assert [r.seq for r in spark.read.parquet(f"{base}/late").collect()] == [5]

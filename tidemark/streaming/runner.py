@@ -128,16 +128,28 @@ class LateRouter:
     The watermark for a batch is ``max(event time of earlier batches) -
     delay``. After each batch the running max so far is written under
     ``state_dir/batch=<id>``, so a batch reads one small file (its
-    predecessor's) and a replayed batch sees the same watermark. A row is late when even its
-    last window closed: ``end - 1 ms + lateness <= watermark``. On-time and
+    predecessor's) and a replayed batch sees the same watermark. A row is
+    late when even its last window closed: ``end - 1 ms + lateness <= watermark``. On-time and
     late rows go to their own parquet folders, one ``batch=<id>`` folder per
     micro-batch written with overwrite, so a replayed batch replaces itself.
+
+    With ``marker_id`` the watermark is punctuated instead: only rows of that
+    id advance it, to their event time - ``marker_minus_s`` (and ``delay_s``
+    is not applied).
     """
 
     def __init__(self, state_dir: str, on_time_dir: str, late_dir: str,
-                 size_s: int, slide_s: int, delay_s: int, lateness_s: int):
+                 size_s: int, slide_s: int, delay_s: int, lateness_s: int,
+                 marker_id: str | None = None, marker_minus_s: int = 1, key: str = "id"):
         self.state_dir, self.on_time_dir, self.late_dir = state_dir, on_time_dir, late_dir
         self.size_s, self.slide_s, self.delay_s, self.lateness_s = size_s, slide_s, delay_s, lateness_s
+        self.marker_id, self.marker_minus_s, self.key = marker_id, marker_minus_s, key
+
+    def _advance(self, t):
+        """The per-row value whose running max drives the watermark."""
+        if self.marker_id is None:
+            return t
+        return F.when(F.col(self.key) == F.lit(self.marker_id), t - F.lit(self.marker_minus_s * US))
 
     def _max_before(self, spark: SparkSession, batch_id: int):
         if batch_id == 0:
@@ -150,7 +162,9 @@ class LateRouter:
 
     def _watermark(self, spark: SparkSession, batch_id: int):
         m = self._max_before(spark, batch_id)
-        return None if m is None else m - self.delay_s * US
+        if m is None:
+            return None
+        return m if self.marker_id is not None else m - self.delay_s * US
 
     def _save_max(self, spark: SparkSession, batch_id: int, batch_max) -> None:
         prev = self._max_before(spark, batch_id)
@@ -170,7 +184,7 @@ class LateRouter:
             f"{self.on_time_dir}/batch={batch_id}")
         tagged.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(
             f"{self.late_dir}/batch={batch_id}")
-        mx = tagged.agg(F.max(t).alias("max_us")).first().max_us
+        mx = tagged.agg(F.max(self._advance(t)).alias("max_us")).first().max_us
         tagged.unpersist()
         self._save_max(spark, batch_id, mx)
 
@@ -189,8 +203,8 @@ class LatenessWindowCounts(LateRouter):
 
     def __init__(self, state_dir: str, counts_dir: str, size_s: int, slide_s: int,
                  delay_s: int, lateness_s: int, key: str = "id"):
-        super().__init__(state_dir, "", "", size_s, slide_s, delay_s, lateness_s)
-        self.counts_dir, self.key = counts_dir, key
+        super().__init__(state_dir, "", "", size_s, slide_s, delay_s, lateness_s, key=key)
+        self.counts_dir = counts_dir
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -208,7 +222,7 @@ class LatenessWindowCounts(LateRouter):
         counts = (pairs.groupBy(self.key, "_start").agg(F.count(F.lit(1)).alias("cnt"))
                   .select(self.key, (F.col("_start") / MS).cast("bigint").alias("window_start_ms"), "cnt"))
         counts.write.mode("overwrite").parquet(f"{self.counts_dir}/batch={batch_id}")
-        self._save_max(spark, batch_id, batch.agg(F.max(t).alias("m")).first().m)
+        self._save_max(spark, batch_id, batch.agg(F.max(self._advance(t)).alias("m")).first().m)
 
     def read_counts(self, spark: SparkSession) -> DataFrame:
         return (spark.read.parquet(self.counts_dir).groupBy(self.key, "window_start_ms")
