@@ -109,3 +109,17 @@ def test_bucket_count_follows_data_size(spark, ev):
     finally:
         spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
     assert ordered.plan_buckets(ev, ["id"]) == (True, 0)
+
+
+def test_sampled_size_check_on_large_inputs(spark, monkeypatch):
+    ev10 = events_readings(spark, "/root/testdata/sf0.01")  # 10k rows, 5 keys of ~2k
+    monkeypatch.setattr(ordered, "SAMPLE_ROWS", 1000)
+    heaviest, total, estimated = ordered.measure(ev10, ["id"])
+    assert estimated and total == 10_000 and 1200 < heaviest < 3000
+    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "10000")
+    try:
+        assert ordered.plan_buckets(ev10, ["id"]) == (True, 0)  # ~2k < 10k / 2
+        spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "1000")
+        assert ordered.plan_buckets(ev10, ["id"]) == (False, 10)  # heavy: 10 buckets of <= 1k
+    finally:
+        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)

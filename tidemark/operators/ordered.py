@@ -70,27 +70,45 @@ def max_group_rows(spark) -> int:
     return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
 
 
-def measure(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the heaviest key, all rows): one map-side aggregate over the
-    key columns only; with no key, a plain count."""
+SAMPLE_ROWS = 2_000_000
+
+
+def measure(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, bool]:
+    """(rows of the heaviest key, all rows, estimated?).
+
+    Inputs of at most ``SAMPLE_ROWS`` rows are measured exactly with one
+    map-side aggregate over the key columns. Larger inputs are counted (no
+    columns read) and the heaviest key is estimated on a fixed-seed sample of
+    about ``SAMPLE_ROWS`` rows, so the check never aggregates the full input
+    by a high-cardinality key.
+    """
     if not keys:
         n = df.count()
-        return n, n
-    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        return n, n, False
+    small = df.limit(SAMPLE_ROWS + 1).count() <= SAMPLE_ROWS
+    total = None if small else df.count()
+    frac = 1.0 if small else min(1.0, SAMPLE_ROWS / total)
+    src = df if frac >= 1.0 else df.sample(fraction=frac, seed=29)
+    r = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
          .agg(F.max("_n").alias("_m"), F.sum("_n").alias("_t")).first())
-    return (r["_m"] or 0, r["_t"] or 0) if r is not None else (0, 0)
+    m = (r["_m"] or 0) if r is not None else 0
+    if frac >= 1.0:
+        return m, (r["_t"] or 0) if r is not None else 0, False
+    return int(m / frac) + 1, total, True
 
 
 def plan_buckets(df: DataFrame, keys: Sequence[str]) -> tuple[bool, int]:
     """Choose the path: ``(True, 0)`` when the heaviest key fits one task,
     else ``(False, n)`` with ``n`` buckets of about ``maxGroupRows`` rows
-    each (at least the session's shuffle partitions)."""
+    each (at least the session's shuffle partitions). An estimated heaviest
+    key must stay below half the bound. The choice only affects speed: both
+    paths give the same rows."""
     limit = max_group_rows(df.sparkSession)
     if limit > 0 and not keys:  # cheap early exit for small inputs
         if df.limit(limit + 1).count() <= limit:
             return True, 0
-    heaviest, total = measure(df, keys)
-    if limit > 0 and heaviest <= limit:
+    heaviest, total, estimated = measure(df, keys)
+    if limit > 0 and heaviest <= (limit // 2 if estimated else limit):
         return True, 0
     per_bucket = limit if limit > 0 else DEFAULT_MAX_GROUP_ROWS
     return False, max(shuffle_partitions(df.sparkSession), -(-total // per_bucket))
