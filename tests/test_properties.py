@@ -2,8 +2,6 @@
 import random
 import re
 
-from pyspark.sql import functions as F
-
 import __spark_entry__ as E
 from tidemark.functions import udfs
 from tidemark.operators import ordered, text

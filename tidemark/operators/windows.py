@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros, exact_avg, exact_sum, ntz_from_micros
+from tidemark.functions.columns import epoch_micros, exact_avg, ntz_from_micros
 from tidemark.operators import ordered
 
 ORDER = ("ts", "seq")
@@ -120,4 +120,4 @@ def over_rows_sql(spark: SparkSession, view: str, preceding: int = 2) -> DataFra
 
 
 __all__ = ["tumble", "tumble_sql", "sliding_count", "window_reduce", "session_count",
-           "processing_time_tumble", "count_window", "over_rows", "over_rows_sql", "exact_sum"]
+           "processing_time_tumble", "count_window", "over_rows", "over_rows_sql"]
