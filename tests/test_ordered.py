@@ -68,8 +68,10 @@ def test_size_check_routes_heavy_keys_to_buckets(spark, ev):
 
 def test_queries_agree_on_bucketed_path(spark):
     import __spark_entry__ as E
-    names = ["rolling_count", "temp_jump", "count_window", "retract_avg", "late_rows",
-             "watermark_punctuated", "rising_alarm", "over_rows"]
+    names = ["rolling_count", "rolling_reduce", "rolling_min_by", "rolling_word_count", "session_count",
+             "count_window", "over_rows", "retract_avg", "watermark_periodic", "watermark_punctuated",
+             "max_disorder", "late_rows", "sliding_count_lateness", "temp_jump", "temp_jump_zero_seed",
+             "temp_jump_map", "rising_alarm", "rising_first_alarm"]
     qs = E.queries()
     plain = {n: rows(qs[n](spark, SF)) for n in names}
     spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "0")
