@@ -50,3 +50,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["id", "cnt", "avg_temp", "window_end"]
     assert df.count() > 0
+
+
+def test_rising_alarm_fully_distributed_matches_oracle(spark, con):
+    """Bucketed scans and pointer jumping forced: still the oracle's alarms."""
+    spark.conf.set("spark.tidemark.ordered.maxGroupRows", "0")
+    spark.conf.set("spark.tidemark.alarm.maxFoldRows", "0")
+    try:
+        got = E.queries()["rising_alarm"](spark, SF).toPandas()
+    finally:
+        spark.conf.unset("spark.tidemark.ordered.maxGroupRows")
+        spark.conf.unset("spark.tidemark.alarm.maxFoldRows")
+    exp = con.execute(E.oracle_sql()["rising_alarm"]).df()
+    assert _rows(got) == _rows(exp) and len(got) > 0
