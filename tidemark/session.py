@@ -28,7 +28,16 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, partitions: int | None = None,
               app: str = "tidemark", extra: dict | None = None) -> SparkSession:
-    """Return a session with tidemark's defaults (local runs and tests)."""
+    """Return a session with tidemark's defaults (local runs and tests).
+
+    Python workers (stream processors, Python UDFs) import tidemark too: the
+    package root is put on their ``PYTHONPATH`` before the JVM starts. On a
+    cluster, ship the package with ``--py-files`` instead.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
