@@ -296,3 +296,18 @@ def test_late_router_punctuated(spark):
     # window [1000, 1015): 1015 - 0.001 + 60 = 1074.999 <= 1099, so it is late; k at
     # 1002 came when the watermark was 1009: still on time
     assert [r.seq for r in spark.read.parquet(f"{base}/late").collect()] == [5]
+
+
+def test_session_processor_merges_touching_windows(spark, sensor):
+    # gap 900 s: sensor1's rows 900 s apart touch and merge (the reference's
+    # rule); Spark's session_window would split them
+    d = _write_batches(SENSOR_LINES + [FLUSH], 1)
+    s = runner.readings_stream(spark, d).withWatermark("ts", "1 second")
+    out = stateful.apply(s, "id", stateful.Sessions(900), stateful.Sessions.SCHEMA, time_mode="EventTime")
+    got = sorted((r.id, r.session_start_ms, r.session_end_ms, r.cnt)
+                 for r in _drain(spark, out, "sessions_s").collect() if r.id != "zflush")
+    table = windows.session_count(sensor, 900).select(
+        "id", F.unix_millis(F.col("session_start").cast("timestamp")).alias("s"),
+        F.unix_millis(F.col("session_end").cast("timestamp")).alias("e"), "cnt")
+    assert got == rows(table, "id", "s", "e", "cnt")
+    assert ("sensor1", 1547718199000, 1547719999000, 2) in got

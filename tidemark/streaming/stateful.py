@@ -139,6 +139,66 @@ class LastRows(StatefulProcessor):
         pass
 
 
+# ------------------------------------------------------------------ sessions
+
+class Sessions(StatefulProcessor):
+    """Event-time session windows with the reference's merge rule: each row
+    opens ``[t, t + gap)`` and sessions whose windows touch are merged (Spark's
+    ``session_window`` splits at exactly the gap). Open sessions of a key are
+    kept in list state; they are disjoint, so a row's window merges in one
+    pass with every session it touches. A session is emitted when the
+    watermark passes its last instant (``end - 1 ms``); a row whose own window
+    already closed is dropped, as the reference drops it without lateness.
+    Output (id, session_start_ms, session_end_ms, cnt), end exclusive.
+    """
+
+    SCHEMA = "id string, session_start_ms bigint, session_end_ms bigint, cnt bigint"
+
+    def __init__(self, gap_s: int):
+        self.gap = gap_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "start bigint, last bigint, cnt bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows)
+        wm = timerValues.getCurrentWatermarkInMs()
+        sessions = [tuple(x) for x in self.open.get()] if self.open.exists() else []
+        for t in (_micros(pdf["ts"]) // 1000).tolist():
+            if wm is not None and wm > 0 and t + self.gap - 1 <= wm:
+                continue  # its window closed already
+            start, last, cnt, keep = t, t, 1, []
+            for s0, l0, c0 in sessions:
+                if s0 <= t + self.gap and l0 + self.gap >= t:  # touching windows merge
+                    self.handle.deleteTimer(l0 + self.gap - 1)
+                    start, last, cnt = min(start, s0), max(last, l0), cnt + c0
+                else:
+                    keep.append((s0, l0, c0))
+            self.handle.registerTimer(last + self.gap - 1)
+            sessions = keep + [(start, last, cnt)]
+        self.open.put(sessions)
+        yield pd.DataFrame({"id": pd.Series([], dtype="object"), "session_start_ms": pd.Series([], dtype="int64"),
+                            "session_end_ms": pd.Series([], dtype="int64"), "cnt": pd.Series([], dtype="int64")})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        sessions = [tuple(x) for x in self.open.get()] if self.open.exists() else []
+        done = [x for x in sessions if x[1] + self.gap - 1 == due]
+        rest = [x for x in sessions if x[1] + self.gap - 1 != due]
+        if rest:
+            self.open.put(rest)
+        else:
+            self.open.clear()
+        yield pd.DataFrame({"id": pd.Series([key[0]] * len(done), dtype="object"),
+                            "session_start_ms": pd.Series([x[0] for x in done], dtype="int64"),
+                            "session_end_ms": pd.Series([x[1] + self.gap for x in done], dtype="int64"),
+                            "cnt": pd.Series([x[2] for x in done], dtype="int64")})
+
+    def close(self) -> None:
+        pass
+
+
 # ------------------------------------------------------------------ alarm
 
 class RisingAlarm(StatefulProcessor):
