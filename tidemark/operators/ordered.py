@@ -194,7 +194,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # 3. one window per (key, bucket), context row first
     u = r.withColumn(CTX, F.lit(0)).unionByName(ctx, allowMissingColumns=True)
     w0 = Window.partitionBy(*keys, BUCKET).orderBy(F.col(CTX).desc(), *_cols(order))
-    out = u
+    cols = []  # one select: one Window operator for all aggregates
     for name in names:
         kind, v = vcols[name]
         w = w0.rowsBetween(Window.unboundedPreceding, 0 if incl[name] else -1)
@@ -204,14 +204,14 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             col = _KINDS[kind][2](F.col(v)).over(w)
             if kind == "count":
                 col = F.coalesce(col, F.lit(0).cast("bigint"))
-        out = out.withColumn(name, col)
+        cols.append(col.alias(name))
     drop = [BUCKET, CTX] + [v for _, v in vcols.values()]
-    return out.where(F.col(CTX) == 0).drop(*drop)
+    return u.select("*", *cols).where(F.col(CTX) == 0).drop(*drop)
 
 
 def _running_plain(df, keys, order, aggs, incl) -> DataFrame:
     w0 = _spec(keys).orderBy(*_cols(order))
-    out = df
+    cols = []
     for name, spec in aggs.items():
         kind, value = spec[:2]
         w = w0.rowsBetween(Window.unboundedPreceding, 0 if incl[name] else -1)
@@ -223,8 +223,8 @@ def _running_plain(df, keys, order, aggs, incl) -> DataFrame:
                 col = F.last(F.struct(v.alias("x")), ignorenulls=True).over(w).getField("x")
             else:
                 col = _KINDS[kind][2](v).over(w)
-        out = out.withColumn(name, col)
-    return out
+        cols.append(col.alias(name))
+    return df.select("*", *cols)
 
 
 def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
@@ -244,10 +244,7 @@ def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
         plain, n = plan_buckets(df, keys)
     if plain:
         w = _spec(keys).orderBy(*_cols(order))
-        out = df
-        for name, fn in columns.items():
-            out = out.withColumn(name, fn(w))
-        return out
+        return df.select("*", *[fn(w).alias(name) for name, fn in columns.items()])
     r = range_buckets(df, keys, order, n)
     kk = list(keys)
     desc = Window.partitionBy(*kk, BUCKET).orderBy(*[F.col(o).desc() for o in order])
@@ -267,9 +264,7 @@ def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
            .withColumn(CTX, F.lit(1)))
     u = r.withColumn(CTX, F.lit(0)).unionByName(ctx.select(*r.columns, CTX))
     w = Window.partitionBy(*kk, BUCKET).orderBy(*_cols(order))
-    out = u
-    for name, fn in columns.items():
-        out = out.withColumn(name, fn(w))
+    out = u.select("*", *[fn(w).alias(name) for name, fn in columns.items()])
     return out.where(F.col(CTX) == 0).drop(BUCKET, CTX)
 
 
