@@ -248,8 +248,10 @@ def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
     r = range_buckets(df, keys, order, n)
     kk = list(keys)
     desc = Window.partitionBy(*kk, BUCKET).orderBy(*[F.col(o).desc() for o in order])
-    # the last k rows of every bucket (Spark prunes them map-side)
-    tail = r.withColumn("_rd", F.row_number().over(desc)).where(F.col("_rd") <= k).drop("_rd")
+    # the last k rows of every bucket (Spark prunes them map-side); written
+    # once, as two branches read it and it is tiny (<= k rows per bucket)
+    tail = (r.withColumn("_rd", F.row_number().over(desc)).where(F.col("_rd") <= k).drop("_rd")
+            .checkpoint(eager=True))
     # number tail rows per key: the k tail rows before a bucket's first tail row
     # are exactly the k rows before the bucket
     wpos = (Window.partitionBy(*kk) if kk else Window).orderBy(BUCKET, *_cols(order))
