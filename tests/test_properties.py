@@ -60,3 +60,14 @@ def test_no_unkeyed_window_over_rows_when_bucketed(spark):
     finally:
         spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
     assert seen >= 4  # the prefix over buckets is there, and nothing else is unkeyed
+
+
+def test_spread_only_rebalances_narrow_inputs(spark):
+    from tidemark.session import spread
+    one = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    wide = spread(one)
+    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    already = one.repartition(spark.sparkContext.defaultParallelism + 3)
+    assert spread(already) is already
+    assert wide.count() == one.count()
