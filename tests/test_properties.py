@@ -71,3 +71,10 @@ def test_spread_only_rebalances_narrow_inputs(spark):
     already = one.repartition(spark.sparkContext.defaultParallelism + 3)
     assert spread(already) is already
     assert wide.count() == one.count()
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from tidemark.session import checkpoint_dir
+    named = spark.conf.get("spark.checkpoint.dir")
+    d = checkpoint_dir(spark)
+    assert named.rstrip("/").split("/")[-1] in d  # Spark adds a per-application sub-folder
