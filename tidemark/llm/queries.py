@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import merkle, mixing, sentencepiece_codec, token_counts
+from tidemark.llm import embedding_dedup, merkle, mixing, sentencepiece_codec, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,15 +30,23 @@ def op2_token_counts(spark, sf):
     return token_counts.token_counts(_table(spark, sf, "documents"), piece_model())
 
 
+def op4_simhash(spark, sf):
+    return simhash.simhash_groups(_table(spark, sf, "documents"))
+
+
 def op8_mixing(spark, sf):
     return mixing.mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_embedding_dedup(spark, sf):
+    return embedding_dedup.embedding_groups(_table(spark, sf, "embeddings"))
+
+
 def op10_fingerprints(spark, sf):
     return merkle.fingerprints(_table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_token_counts, op8_mixing, op10_fingerprints)}
+    op1_sentencepiece, op2_token_counts, op4_simhash, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
 
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_fingerprints": merkle.ORACLE}
