@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, merkle, mixing, sentencepiece_codec, simhash, token_counts
+from tidemark.llm import embedding_dedup, langid, merkle, mixing, sentencepiece_codec, simhash, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,14 @@ def op4_simhash(spark, sf):
     return simhash.simhash_groups(_table(spark, sf, "documents"))
 
 
+def op5_toxicity(spark, sf):
+    return toxicity.toxicity_query(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op6_language(spark, sf):
+    return langid.language_query(_table(spark, sf, "documents"))
+
+
 def op8_mixing(spark, sf):
     return mixing.mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,6 +55,6 @@ def op10_fingerprints(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_token_counts, op4_simhash, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
+    op1_sentencepiece, op2_token_counts, op4_simhash, op5_toxicity, op6_language, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
 
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_fingerprints": merkle.ORACLE}
