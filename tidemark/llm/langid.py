@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import chunks, id_text
 
@@ -174,9 +175,10 @@ def scorer(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in chunks(batches, 1_000_000):
-            out = predict(model, grams, [t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in out], pa.string()), pa.array([p for _, p in out], pa.float64())],
-                                             names=["doc_id", "lang_pred", "score"])
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            out = predict(model, grams, [t or "" for t in texts])
+            found = [pa.array([x for x, _ in out], pa.string()), pa.array([p for _, p in out], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "lang_pred", "score"])
 
     return run
 
@@ -192,15 +194,17 @@ def train(docs: DataFrame, folds: int = 3, held: int = 1) -> dict:
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, lang_pred, score of every whole text; ``und`` and 0 for null texts and texts without a letter.
+    """``docs`` with lang_pred and score of every whole text; ``und`` and 0 for null texts and texts without a letter.
 
-    Every row stands for itself; a null doc_id stays null. Other columns are
-    left out. One pass, no shuffle.
+    Every row stands for itself; columns of these names in ``docs`` are
+    replaced, others pass through. One pass, no shuffle.
     """
-    return id_text(docs).mapInArrow(scorer(model), "doc_id long, lang_pred string, score double")
+    docs = docs.drop("lang_pred", "score")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(scorer(model), schema)
 
 
 def language_query(docs: DataFrame) -> DataFrame:
     """The contract's columns: a model from two of three folds applied to all documents."""
-    found = identify(docs, train(docs))
+    found = identify(id_text(docs), train(docs)).drop("text")
     return found.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, langid, merkle, mixing, sentencepiece_codec, simhash, token_counts, toxicity
+from tidemark.llm import embedding_dedup, langid, merkle, mixing, pii, sentencepiece_codec, simhash, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op6_language(spark, sf):
     return langid.language_query(_table(spark, sf, "documents"))
 
 
+def op7_pii(spark, sf):
+    return pii.pii_query(_table(spark, sf, "documents"))
+
+
 def op8_mixing(spark, sf):
     return mixing.mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -55,6 +59,6 @@ def op10_fingerprints(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_token_counts, op4_simhash, op5_toxicity, op6_language, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
+    op1_sentencepiece, op2_token_counts, op4_simhash, op5_toxicity, op6_language, op7_pii, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
 
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_fingerprints": merkle.ORACLE}

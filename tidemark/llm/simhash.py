@@ -168,3 +168,19 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
     named = grouped.join(ids, "component").select("fp", "component_id")
     return rows.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``docs`` without copies: the row of each component's least doc_id stays, once.
+
+    Rows without a doc_id can't be named by a component and stay. The texts
+    move once, to meet the kept ids.
+    """
+    kept = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("times")).checkpoint()
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids.select("kept_id").hint("shuffle_hash"), docs["doc_id"] == F.col("kept_id"), "left_semi")
+
+    out = of(kept.where("times = 1")).union(docs.where("doc_id is null"))
+    repeated = kept.where("times > 1")
+    return out if repeated.isEmpty() else out.union(of(repeated).dropDuplicates(["doc_id"]))
