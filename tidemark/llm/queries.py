@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, langid, merkle, mixing, pii, sentencepiece_codec, simhash, token_counts, toxicity
+from tidemark.llm import embedding_dedup, langid, merkle, mixing, pii, sentencepiece_codec, simhash, substring_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op2_token_counts(spark, sf):
     return token_counts.token_counts(_table(spark, sf, "documents"), piece_model())
 
 
+def op3_substring_dedup(spark, sf):
+    return substring_dedup.substring_query(_table(spark, sf, "documents"))
+
+
 def op4_simhash(spark, sf):
     return simhash.simhash_groups(_table(spark, sf, "documents"))
 
@@ -59,6 +63,6 @@ def op10_fingerprints(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_token_counts, op4_simhash, op5_toxicity, op6_language, op7_pii, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
+    op1_sentencepiece, op2_token_counts, op3_substring_dedup, op4_simhash, op5_toxicity, op6_language, op7_pii, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
 
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_fingerprints": merkle.ORACLE}
