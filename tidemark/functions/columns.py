@@ -1,8 +1,8 @@
-"""Column helpers shared by operators: time arithmetic, exact sums, NaN-safe tests."""
+"""Column helpers shared by operators: time arithmetic, NaN rules."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -26,23 +26,29 @@ def ntz_from_micros(us: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", col(us), F.expr(EPOCH_NTZ))
 
 
-def exact_sum(c: Column | str) -> Column:
-    """Sum in DECIMAL(38,10): the result does not depend on summation order."""
-    return F.sum(col(c).cast("decimal(38,10)"))
+def nan_min(c: Column | str) -> Column:
+    """Minimum with the JVM's ``Math.min`` rule: NaN as soon as any value is NaN
+    (Spark's ``min`` orders NaN above everything)."""
+    c = col(c)
+    return F.when(F.max(F.isnan(c)), F.lit(float("nan"))).otherwise(F.min(c))
 
 
-def exact_avg(c: Column | str) -> Column:
-    """Average whose value is independent of partitioning and merge order."""
-    return exact_sum(c).cast("double") / F.count(col(c))
+def nan_min_over(c: Column | str, w: WindowSpec) -> Column:
+    """``nan_min`` over a window."""
+    c = col(c)
+    return F.when(F.max(F.isnan(c)).over(w), F.lit(float("nan"))).otherwise(F.min(c).over(w))
 
 
-def above(c: Column | str, threshold: float) -> Column:
-    """``c > threshold`` with JVM semantics: NaN is never above anything."""
+def steady(c: Column | str) -> Column:
+    """A double at six decimals, halves upwards within 1e-10: equal for sums taken in another order.
+
+    For comparing results; not a rounding mode for users.
+    """
     c = col(c)
-    return (c > F.lit(threshold)) & ~F.isnan(c)
+    return F.floor(c * F.lit(1e6) + F.lit(0.5001)) / F.lit(1e6)
 
 
-def below(c: Column | str, threshold: float) -> Column:
-    """``c < threshold``; NaN is never below anything."""
+def above(c: Column | str, threshold: float) -> Column:
+    """``c > threshold`` with JVM semantics: NaN is never above anything."""
     c = col(c)
-    return (c < F.lit(threshold)) & ~F.isnan(c)
+    return (c > F.lit(threshold)) & ~F.isnan(c)

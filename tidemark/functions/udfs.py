@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import exact_avg
 from tidemark.operators.text import jvm_split
 
 # The rank-2 filler of the top-2 aggregate is the most negative
@@ -33,7 +32,7 @@ _HASH_SQL = """
 CAST(
   (((IF(char_length({s}) = 0, 0L,
       aggregate(
-        transform(sequence(1, char_length({s})), i -> ascii(substring({s}, i, 1))),
+        transform(split({s}, ''), x -> ascii(x)),
         0L,
         (h, c) -> IF(c > 65535,
           (((h * 31 + (55296 + shiftright(c - 65536, 10))) & 4294967295L) * 31
@@ -57,9 +56,9 @@ def avg_temp(c: str = "temp") -> Column:
     """The average aggregate: accumulator (sum, count), result sum / count.
 
     Two-phase like any built-in aggregate: partial sums per task, merged
-    after the shuffle. Sums are exact decimals.
+    after the shuffle. NaN gives NaN.
     """
-    return exact_avg(c)
+    return F.avg(c)
 
 
 def split_udtf(df: DataFrame, c: str, sep: str = "_", keep: list[str] | None = None,
@@ -144,8 +143,8 @@ def register(spark: SparkSession) -> None:
     split_words_py(s, sep) (Python forms)."""
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION hash_code(s STRING, factor INT)
                   RETURNS INT RETURN {_hash_sql('s', 'factor')}""")
-    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION avg_temp_value(s DECIMAL(38,10), n BIGINT)
-                 RETURNS DOUBLE RETURN CAST(s AS DOUBLE) / n""")
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION avg_temp_value(s DOUBLE, n BIGINT)
+                 RETURNS DOUBLE RETURN s / n""")
     spark.sql(r"""CREATE OR REPLACE TEMPORARY FUNCTION split_words(s STRING, sep STRING)
                   RETURNS TABLE(word STRING, length INT)
                   RETURN SELECT w AS word,

@@ -1,8 +1,8 @@
 """Keyed alerts: temperature jumps and the rising-temperature alarm.
 
-Both are written as table operators over a readings frame ordered by
-``(ts, seq)`` inside each key (the stream forms live in
-``tidemark.streaming.stateful``).
+Jumps compare each reading with the one that arrived before it (order
+``seq``, the arrival number); the rising alarm works in event time (order
+``(ts, seq)``). The stream forms live in ``tidemark.streaming.stateful``.
 
 Rising alarm, event-time form. Per key the state is the last temperature
 (0.0 before the first row) and an optional timer. For each row at time
@@ -15,40 +15,33 @@ Cut the key's rows into *runs* at strict falls (the fall row closes its
 run). Inside a run only rises and equal values occur, so the timers armed
 are a greedy chain: ``a1`` = the first rise, ``a(m+1)`` = the first rise at
 or after ``a(m) + D``. Every armed timer fires except possibly the last, which
-the closing fall at ``tf`` deletes unless ``tf >= a + D``.
-
-A run whose rises all lie within ``D`` of the first arms once. A longer
-run with at most ``spark.tidemark.alarm.maxFoldRows`` rises (default
-10,000; counted per run first) is folded natively: its rise times are
-collected, sorted and walked by ``aggregate`` on the JVM. Only runs above
-that bound take the distributed path below, so no group larger than the
-bound is ever gathered.
+the closing fall at ``tf`` deletes unless ``tf >= a + D``. A run whose rises
+all lie within ``D`` of the first arms once and needs no chain.
 
 The chain is sequential, but each rise has one successor ``next(i)`` (an
 as-of lookup), so the chain is the path from the run's first rise in a
 forest. It is found by pointer jumping: ``J0 = next``,
 ``J(r+1) = J(r) o J(r)``, and the set of reached rises doubles its distance
-range each round, ``Q(r+1) = Q(r) + J(r)(Q(r))``. Each round is two
-equi-joins on the unique ``seq``; rounds stop when no chain reaches further,
-so there are about log2(longest chain) of them. No key or run is ever
-gathered into one task.
+range each round, ``Q(r+1) = Q(r) + J(r)(Q(r))``. A rise is named by (key,
+run, seq), a NULL key is a key of its own, and rounds stop when no chain
+reaches further, after about log2(longest chain) of them. The rule is the
+same at every size; no key or run is ever gathered into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import epoch_micros, ntz_from_micros
 from tidemark.operators import ordered
 from tidemark.session import checkpoint_dir
 
-ORDER = ("ts", "seq")
+ARRIVAL = ("seq",)
+EVENT_ORDER = ("ts", "seq")
 US = 1_000_000
-MAX_FOLD_ROWS_CONF = "spark.tidemark.alarm.maxFoldRows"
-DEFAULT_MAX_FOLD_ROWS = 10_000
 
 # The alarm text of the reference, "<prefix><seconds><suffix>".
 ALARM_PREFIX = "温度连续上升"
@@ -60,7 +53,7 @@ def _not_nan(c):
 
 
 def temp_jump(df: DataFrame, threshold: float = 10.0, seed_zero: bool = False, key: str = "id",
-              order: Sequence[str] = ORDER) -> DataFrame:
+              order: Sequence[str] = ARRIVAL) -> DataFrame:
     """(id, last temp, temp) where |temp - last temp| > threshold.
 
     The key's first row only seeds the state, unless ``seed_zero``: then the
@@ -73,7 +66,7 @@ def temp_jump(df: DataFrame, threshold: float = 10.0, seed_zero: bool = False, k
 
 
 def temp_jump_map(df: DataFrame, threshold: float = 10.0, key: str = "id",
-                  order: Sequence[str] = ORDER) -> DataFrame:
+                  order: Sequence[str] = ARRIVAL) -> DataFrame:
     """One output per input: the zero-seeded jump, or NULLs for a non-jump."""
     prev = ordered.previous(df.select(key, "temp", *order), [key], order, ["temp"], k=1,
                             default=0.0, fmt="_last")
@@ -84,117 +77,82 @@ def temp_jump_map(df: DataFrame, threshold: float = 10.0, key: str = "id",
                        F.when(jump, F.col("temp")).alias("jump_temp"))
 
 
-def _runs(df: DataFrame, key: str, order: Sequence[str], with_path: bool = False):
+def _runs(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Rows with ``rise``/``fall`` flags (vs the last temp, 0.0 at first) and
     ``run`` = number of falls strictly before the row in its key."""
     base = df.select(key, "temp", *order)
-    plain, n = ordered.plan_buckets(base, [key])
-    prev = ordered.previous(base, [key], order, ["temp"], k=1,
-                            default=0.0, fmt="_last", plain=plain, n=n or None)
+    by = ordered.buckets(base, order)
+    prev = ordered.previous(base, [key], order, ["temp"], k=1, default=0.0, fmt="_last", by=by)
     flagged = (prev.withColumn("rise", (F.col("temp") > F.col("_last")) & _not_nan("temp") & _not_nan("_last"))
                .withColumn("fall", (F.col("temp") < F.col("_last")) & _not_nan("temp") & _not_nan("_last"))
                .withColumn("_t", epoch_micros(order[0])))
     out = ordered.running(flagged, [key], order,
-                          {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False, plain=plain,
-                          n=n or None)
-    out = out.withColumn("run", F.coalesce(F.col("run"), F.lit(0).cast("bigint")))
-    return (out, plain) if with_path else out
+                          {"run": ("sum", F.col("fall").cast("bigint"))}, inclusive=False, by=by)
+    return out.withColumn("run", F.coalesce(F.col("run"), F.lit(0).cast("bigint")))
+
+
+def _join_runs(left: DataFrame, right: DataFrame, key: str, on: Sequence[tuple[str, str]] = (), how: str = "inner") -> DataFrame:
+    """Null-safe join on key and run (and further pairs); the right side's copies of key and run are dropped."""
+    right = right.withColumnsRenamed({key: "_rk", "run": "_rr"})
+    return left.join(right, ordered.same(left, right, [(key, "_rk"), ("run", "_rr"), *on]), how).drop("_rk", "_rr")
 
 
-def _arm_candidates(rows: DataFrame, key: str, timer_s: int) -> DataFrame:
-    """Rise rows with ``nxt``: the seq of the first rise of the same run at or
+def _arm_candidates(rises: DataFrame, key: str, d: int) -> DataFrame:
+    """Rises (key, run, seq, _t) with ``nxt``: the seq of the first rise of the same run at or
     after ``t + D`` (NULL if none). As-of lookup by a running min in reverse."""
-    d = timer_s * US
-    rises = rows.where("rise").select(key, "run", "_t", "seq")
-    targets = rises.select(key, "run", F.col("_t").alias("_time"), F.lit(1).alias("_kind"), "seq",
+    targets = rises.select(key, "run", F.col("_t").alias("_time"), F.lit(1).alias("_kind"), "seq", "_t",
                            F.struct(F.col("_t").alias("t"), F.col("seq").alias("s")).alias("_tgt"))
-    probes = rises.select(key, "run", (F.col("_t") + F.lit(d)).alias("_time"), F.lit(0).alias("_kind"), "seq",
+    probes = rises.select(key, "run", (F.col("_t") + F.lit(d)).alias("_time"), F.lit(0).alias("_kind"), "seq", "_t",
                           F.lit(None).cast("struct<t:bigint,s:bigint>").alias("_tgt"))
     u = (targets.unionByName(probes)
          .withColumn("_nt", -F.col("_time")).withColumn("_nk", -F.col("_kind")).withColumn("_ns", -F.col("seq")))
     found = ordered.running(u, [key, "run"], ["_nt", "_nk", "_ns"], {"_nx": ("min", "_tgt")})
-    nxt = found.where(F.col("_kind") == 0).select("seq", F.col("_nx.s").alias("nxt"))
-    return rises.join(nxt, "seq", "left")
+    return found.where(F.col("_kind") == 0).select(key, "run", "seq", "_t", F.col("_nx.s").alias("nxt"))
 
 
-def _chain(nodes: DataFrame, starts: DataFrame, max_rounds: int = 64,
-           checkpoint_every: int = 4) -> DataFrame:
-    """Seqs on the pointer path from each start (pointer jumping).
+def _chain(nodes: DataFrame, starts: DataFrame, key: str, max_rounds: int = 64) -> DataFrame:
+    """(key, run, seq) on the pointer path from each start (pointer jumping).
 
-    Each round's frames are persisted (the next round and the emptiness test
-    read them); every ``checkpoint_every`` rounds the lineage is cut with a
-    reliable checkpoint so a lost executor never replays many rounds.
+    Each round is cut with a reliable checkpoint, so a lost executor repeats one round at most.
     """
-    jump = nodes.select("seq", "nxt").persist()
-    reached = starts.select("seq").persist()
-    held = [jump, reached]
-    for r in range(1, max_rounds + 1):
-        hop = (reached.join(jump, "seq").where(F.col("nxt").isNotNull())
-               .select(F.col("nxt").alias("seq")).persist())
-        held.append(hop)
+    jump = nodes.select(key, "run", "seq", "nxt")
+    reached = starts.select(key, "run", "seq")
+    for _ in range(max_rounds):
+        steps = jump.where("nxt is not null").select(key, "run", F.col("seq").alias("_from"), "nxt")
+        hop = _join_runs(reached, steps, key, [("seq", "_from")]).select(key, "run", F.col("nxt").alias("seq")).checkpoint()
         if hop.isEmpty():
-            out = reached.checkpoint(eager=True)
-            for h in held:
-                h.unpersist()
-            return out
+            return reached
         reached = reached.unionByName(hop)
-        j2 = jump.select(F.col("seq").alias("_mid"), F.col("nxt").alias("_nxt2"))
-        jump = (jump.join(j2, jump["nxt"] == j2["_mid"], "left")
-                .select("seq", F.col("_nxt2").alias("nxt")))
-        if r % checkpoint_every == 0:
-            reached, jump = reached.checkpoint(eager=True), jump.checkpoint(eager=True)
-        else:
-            reached, jump = reached.persist(), jump.persist()
-            held += [reached, jump]
+        jump = _join_runs(jump, steps.withColumnRenamed("nxt", "_then"), key, [("nxt", "_from")], "left").select(
+            key, "run", "seq", F.col("_then").alias("nxt")).checkpoint()
     raise RuntimeError("rising alarm chain did not converge")
 
 
-def _fold_arms(rows: DataFrame, runs: DataFrame, key: str, d: int) -> DataFrame:
-    """Greedy chain of a bounded run, folded on the JVM: arms are the rise
-    times t with t >= previous arm + D, walking the sorted times."""
-    times = (rows.where("rise").join(runs.select(key, "run"), [key, "run"], "left_semi")
-             .groupBy(key, "run").agg(F.array_sort(F.collect_list("_t")).alias("_ts")))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"),
-                     F.array().cast("array<bigint>").alias("arms"))
-    walk = F.aggregate("_ts", start, lambda acc, t: F.when(
-        acc["last"].isNull() | (t >= acc["last"] + F.lit(d)),
-        F.struct(t.alias("last"), F.array_append(acc["arms"], t).alias("arms"))).otherwise(acc))
-    return times.select(key, "run", F.explode(walk["arms"]).alias("_t"))
-
+def rising_alarm(df: DataFrame, timer_s: int, key: str = "id", order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """Every alarm of the rising-temperature timer: (id, alarm_ts, message).
 
-def rising_alarm(df: DataFrame, timer_s: int, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
-    """Every alarm of the rising-temperature timer: (id, alarm_ts, message)."""
-    spark = df.sparkSession
+    ``seq`` must be unique within a key. The flagged rows are written once (a
+    reliable checkpoint), since every branch reads them.
+    """
+    checkpoint_dir(df.sparkSession)
     d = timer_s * US
-    fold_max = int(spark.conf.get(MAX_FOLD_ROWS_CONF, str(DEFAULT_MAX_FOLD_ROWS)))
-    rows, plain = _runs(df, key, order, with_path=True)
-    if not plain:
-        checkpoint_dir(spark)
-        # large input: every branch below reads the flagged rows, so write them
-        # once (reliable checkpoint) rather than re-run two ordered passes each
-        rows = rows.select(key, "seq", *[o for o in order if o != "seq"], "_t", "rise", "fall",
-                           "run").checkpoint(eager=True)
+    rows = _runs(df, key, order).where("rise or fall").select(key, "run", "seq", "_t", "rise", "fall").checkpoint()
     per_run = (rows.groupBy(key, "run")
                .agg(F.min(F.when(F.col("rise"), F.col("_t"))).alias("_a"),
                     F.max(F.when(F.col("rise"), F.col("_t"))).alias("_z"),
-                    F.count(F.when(F.col("rise"), F.lit(1))).alias("_nr"),
                     F.max(F.when(F.col("fall"), F.col("_t"))).alias("_tf"))
-               .where(F.col("_a").isNotNull())
-               .persist())
+               .where(F.col("_a").isNotNull()))
     spans = F.col("_z") - F.col("_a") >= F.lit(d)
-    arms = per_run.where(~spans).select(key, "run", F.col("_a").alias("_t"))
-    folded = per_run.where(spans & (F.col("_nr") <= F.lit(fold_max)))
-    arms = arms.unionByName(_fold_arms(rows, folded, key, d))
-    huge = per_run.where(spans & (F.col("_nr") > F.lit(fold_max))).select(key, "run")
-    if not huge.isEmpty():
-        checkpoint_dir(spark)
-        lrows = rows.join(huge, [key, "run"], "left_semi").persist()
-        cands = _arm_candidates(lrows, key, timer_s).checkpoint(eager=True)
-        starts = (lrows.where("rise").groupBy(key, "run")
-                  .agg(F.min_by("seq", F.struct(*[F.col(o) for o in order])).alias("seq")))
-        armed = _chain(cands, starts)
-        arms = arms.unionByName(cands.join(armed, "seq").select(key, "run", "_t"))
-    arms = arms.join(per_run.select(key, "run", "_tf"), [key, "run"])
+    once = per_run.where(~spans).select(key, "run", F.col("_a").alias("_t"), "_tf")
+    long = per_run.where(spans).select(key, "run", "_tf")
+    rises = _join_runs(rows.where("rise").select(key, "run", "seq", "_t"), long, key).checkpoint()
+    arms = once
+    if not rises.isEmpty():
+        cands = _arm_candidates(rises, key, d).checkpoint()
+        first = Window.partitionBy(key, "run").orderBy("_t", "seq")  # one row a run survives in each task
+        starts = rises.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+        armed = _chain(cands, starts, key).withColumnRenamed("seq", "_seq")
+        arms = arms.unionByName(_join_runs(rises, armed, key, [("seq", "_seq")]).select(key, "run", "_t", "_tf"))
     fires = F.col("_tf").isNull() | (F.col("_tf") >= F.col("_t") + F.lit(d))
     return arms.where(fires).select(
         key, ntz_from_micros(F.col("_t") + F.lit(d)).alias("alarm_ts"),
@@ -202,7 +160,7 @@ def rising_alarm(df: DataFrame, timer_s: int, key: str = "id", order: Sequence[s
 
 
 def rising_first_alarm(df: DataFrame, timer_s: int, key: str = "id",
-                       order: Sequence[str] = ORDER) -> DataFrame:
+                       order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """The first alarm of each run between strict falls, if it fires."""
     rows = _runs(df, key, order)
     d = timer_s * US

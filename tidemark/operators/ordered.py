@@ -3,55 +3,48 @@
 A plain ``Window.partitionBy(key).orderBy(...)`` sorts a whole key in one
 task; a key holding a third of the data would then run in a single task, and
 a window with no key (a global watermark) always does. Here every ordered
-operator is split into *buckets* instead:
-
-1. ``repartitionByRange(n, *keys, *order)`` cuts the total order into ``n``
-   ranges of about equal size (Spark samples the keys, so one hot key is cut
-   into many ranges); ``spark_partition_id()`` names the range: ``_b``.
-   Inside one key, rows of bucket ``b`` all precede rows of bucket ``b+1``.
-2. A small table describes what each bucket needs from the buckets before
-   it: a summary of each earlier bucket for running aggregates, or the
-   last ``k`` rows before the bucket for a ``k``-row frame. It has at most a
-   few rows per (key, bucket), so its size is bounded by ``n`` and the
-   number of keys, never by the size of one key.
+operator works in *buckets* of the order, at every input size:
+
+1. A row's bucket follows from the row alone: its place between the least
+   and the greatest first order column, looked up in a fixed table of cells.
+   The table comes from two aggregates over that one column (its range, then
+   a count per cell), so buckets hold about equal numbers of rows, nothing
+   is sampled, and every branch and every retry of a plan agrees.
+2. A small table describes what each (key, bucket) needs from the buckets
+   before it: a summary of each earlier bucket for running aggregates, or
+   the last ``k`` rows for a ``k``-row frame, of keys that cross a boundary.
 3. Those rows are added to their bucket as *context rows*, ordered first,
-   and one window partitioned by ``(keys, _b)`` does the work. Context rows
-   are dropped afterwards.
-
-Range bounds come from a random sample, so two plans of the same range
-exchange can cut differently; Spark does not reliably reuse the exchange
-when the branches prune different columns. The bucketed frame is therefore
-written once with a reliable ``checkpoint()`` into the shared checkpoint
-folder: every branch reads the same bucket ids, and a lost executor re-reads
-them instead of re-sampling. Callers pass only the columns they need.
-
-Cost: one range exchange (plus Spark's sampling pass), one checkpoint write
-and one hash exchange of the data; everything else touches only the
-per-bucket tables.
-
-Size check first. The largest group (rows of the heaviest key; all rows
-when there is no key) is measured with one map-side aggregate. When it is
-at most ``spark.tidemark.ordered.maxGroupRows`` (default 4,000,000: a sort
-one task does in seconds), a plain per-key window is used: one hash
-exchange, no sampling, no checkpoint. Above it, the bucketed path, with
-``total rows / maxGroupRows`` buckets (at least the shuffle partitions), so
-every bucket fits the same bound however large the input. Both paths give
-the same rows; tests run both.
+   and one window partitioned by ``(keys, bucket)`` does the work. Context
+   rows are dropped afterwards.
+
+A NULL key is a key of its own throughout. Rows whose first order column is
+NULL form a bucket before all others. The first order column must be a
+number, a date or a timestamp; ``order`` must be unique within a key.
+
+Cost: two aggregates over one column, one hash exchange of the data for the
+windows, and the small tables. One ``Buckets`` can be shared by all passes
+of an operator over the same order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import checkpoint_dir, shuffle_partitions
+from tidemark.functions.columns import epoch_micros
+from tidemark.session import shuffle_partitions
 
 BUCKET = "_b"
 CTX = "_ctx"
-MAX_GROUP_ROWS_CONF = "spark.tidemark.ordered.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 4_000_000
+ROWS_PER_BUCKET_CONF = "spark.tidemark.ordered.rowsPerBucket"
+DEFAULT_ROWS_PER_BUCKET = 1_000_000
+#: Resolution of the cell table; buckets are runs of cells.
+CELLS = 8_192
 
 # running aggregate kinds: name -> (bucket summary, prefix over buckets, in-bucket window)
 _KINDS = {
@@ -66,97 +59,76 @@ def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in names]
 
 
-def max_group_rows(spark) -> int:
-    return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+@dataclass(frozen=True)
+class Buckets:
+    """The bucket of a row as a column of its first order column, and how many there are."""
 
+    column: Column
+    count: int
 
-SAMPLE_ROWS = 2_000_000
 
+def _place(df: DataFrame, name: str) -> Column:
+    """The order column as a double (monotone, so equal places are all that can be lost)."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return epoch_micros(name).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    raise TypeError(f"first order column {name!r} must be a number, date or timestamp, not {kind.simpleString()}")
 
-def measure(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, bool]:
-    """(rows of the heaviest key, all rows, estimated?).
 
-    Inputs of at most ``SAMPLE_ROWS`` rows are measured exactly with one
-    map-side aggregate over the key columns. Larger inputs are counted (no
-    columns read) and the heaviest key is estimated on a fixed-seed sample of
-    about ``SAMPLE_ROWS`` rows, so the check never aggregates the full input
-    by a high-cardinality key.
+def buckets(df: DataFrame, order: Sequence[str], n: int | None = None) -> Buckets:
+    """Cut the range of ``order[0]`` into buckets of about equal row counts.
+
+    ``n`` buckets, by default one for each ``rowsPerBucket`` rows and at least
+    the session's shuffle partitions. What reaches the driver is one count per
+    cell (at most ``CELLS``).
     """
-    if not keys:
-        n = df.count()
-        return n, n, False
-    small = df.limit(SAMPLE_ROWS + 1).count() <= SAMPLE_ROWS
-    total = None if small else df.count()
-    frac = 1.0 if small else min(1.0, SAMPLE_ROWS / total)
-    src = df if frac >= 1.0 else df.sample(fraction=frac, seed=29)
-    r = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-         .agg(F.max("_n").alias("_m"), F.sum("_n").alias("_t")).first())
-    m = (r["_m"] or 0) if r is not None else 0
-    if frac >= 1.0:
-        return m, (r["_t"] or 0) if r is not None else 0, False
-    return int(m / frac) + 1, total, True
-
-
-def plan_buckets(df: DataFrame, keys: Sequence[str]) -> tuple[bool, int]:
-    """Choose the path: ``(True, 0)`` when the heaviest key fits one task,
-    else ``(False, n)`` with ``n`` buckets of about ``maxGroupRows`` rows
-    each (at least the session's shuffle partitions). An estimated heaviest
-    key must stay below half the bound. The choice only affects speed: both
-    paths give the same rows."""
-    limit = max_group_rows(df.sparkSession)
-    if limit > 0 and not keys:  # cheap early exit for small inputs
-        if df.limit(limit + 1).count() <= limit:
-            return True, 0
-    heaviest, total, estimated = measure(df, keys)
-    if limit > 0 and heaviest <= (limit // 2 if estimated else limit):
-        return True, 0
-    per_bucket = limit if limit > 0 else DEFAULT_MAX_GROUP_ROWS
-    return False, max(shuffle_partitions(df.sparkSession), -(-total // per_bucket))
-
-
-def fits_one_task(df: DataFrame, keys: Sequence[str]) -> bool:
-    """True when the heaviest key (or, with no key, the whole input) has at
-    most ``maxGroupRows`` rows."""
-    return plan_buckets(df, keys)[0]
-
-
-def _spec(keys: Sequence[str]):
-    return Window.partitionBy(*keys) if keys else Window
-
-
-def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  n: int | None = None) -> DataFrame:
-    """Cut the (keys, order) sequence into ``n`` ranges; tag rows with ``_b``."""
+    place = _place(df, order[0])
+    ends = df.agg(F.min(place).alias("lo"), F.max(place).alias("hi")).first()
+    lo, hi = ends["lo"], ends["hi"]
+    if lo is None or not hi > lo:
+        return Buckets(F.when(place.isNull(), F.lit(-1)).otherwise(F.lit(0)), 1)
+    cell = F.least(F.floor((place - F.lit(lo)) / F.lit((hi - lo) / CELLS)).cast("int"), F.lit(CELLS - 1))
+    counts = {r["cell"]: r["n"] for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counts.values())
     spark = df.sparkSession
-    n = n or shuffle_partitions(spark)
-    checkpoint_dir(spark)
-    return (df.repartitionByRange(n, *_cols(keys), *_cols(order))
-            .withColumn(BUCKET, F.spark_partition_id())
-            .checkpoint(eager=True))
+    per = int(spark.conf.get(ROWS_PER_BUCKET_CONF, str(DEFAULT_ROWS_PER_BUCKET)))
+    n = n or max(shuffle_partitions(spark), -(-total // max(per, 1)))
+    ids, before = [], 0
+    for i in range(CELLS):
+        ids.append(min(n - 1, before * n // total))
+        before += counts.get(i, 0)
+    table = F.split(F.lit(",".join(map(str, ids))), ",").cast("array<int>")  # folded to one literal
+    return Buckets(F.coalesce(F.element_at(table, cell + 1), F.lit(-1)), n)
+
+
+def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Null-safe equality of column pairs, as one join condition."""
+    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: dict[str, tuple[str, Column | str | None]], inclusive: bool = True,
-            n: int | None = None, plain: bool | None = None) -> DataFrame:
+            n: int | None = None, by: Buckets | None = None) -> DataFrame:
     """Add running aggregates per key along ``order``.
 
     ``aggs`` maps an output name to ``(kind, value)`` or ``(kind, value,
     inclusive)`` with kind one of ``sum count max min last``. Exclusive
     aggregates cover the rows strictly before each row (NULL for the first
     row of a key; 0 for count); ``inclusive`` is the default for all.
-    ``order`` must be unique within a key.
     """
     keys, order = list(keys), list(order)
     incl = {name: (spec[2] if len(spec) > 2 else inclusive) for name, spec in aggs.items()}
-    if plain is None and n is None:
-        plain, n = plan_buckets(df, keys)
-    if plain:
-        return _running_plain(df, keys, order, aggs, incl)
-    r = range_buckets(df, keys, order, n)
-    names = list(aggs)
+    by = by or buckets(df, order, n)
+    r = df.withColumn(BUCKET, by.column)
     vcols = {}
-    for i, name in enumerate(names):
-        kind, value = aggs[name][:2]
+    for i, (name, spec) in enumerate(aggs.items()):
+        kind, value = spec[:2]
         v = f"_v{i}"
         if kind == "count":
             expr = F.lit(1).cast("bigint")
@@ -167,20 +139,17 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         vcols[name] = (kind, v)
         r = r.withColumn(v, expr)
 
-    # 2. per-bucket summaries and their exclusive prefix within the key
+    # per-bucket summaries and their exclusive prefix within the key
     summary = []
-    for name in names:
-        kind, v = vcols[name]
+    for kind, v in vcols.values():
         if kind == "last":
             summary.append(F.max_by(F.col(v), F.struct(*_cols(order))).alias(v))
         else:
             summary.append(_KINDS[kind][0](F.col(v)).alias(v))
     b = r.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"), *summary)
-    wb = (Window.partitionBy(*keys) if keys else Window).orderBy(BUCKET) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     prefix = [F.sum("_n").over(wb).alias("_n")]
-    for name in names:
-        kind, v = vcols[name]
+    for kind, v in vcols.values():
         if kind == "last":
             prefix.append(F.last(F.col(v), ignorenulls=True).over(wb).alias(v))
         else:
@@ -191,12 +160,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     for o in order:
         ctx = ctx.withColumn(o, F.lit(None).cast(df.schema[o].dataType))
 
-    # 3. one window per (key, bucket), context row first
+    # one window per (key, bucket), context row first
     u = r.withColumn(CTX, F.lit(0)).unionByName(ctx, allowMissingColumns=True)
     w0 = Window.partitionBy(*keys, BUCKET).orderBy(F.col(CTX).desc(), *_cols(order))
     cols = []  # one select: one Window operator for all aggregates
-    for name in names:
-        kind, v = vcols[name]
+    for name, (kind, v) in vcols.items():
         w = w0.rowsBetween(Window.unboundedPreceding, 0 if incl[name] else -1)
         if kind == "last":
             col = F.last(F.col(v), ignorenulls=True).over(w).getField("x")
@@ -209,73 +177,55 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return u.select("*", *cols).where(F.col(CTX) == 0).drop(*drop)
 
 
-def _running_plain(df, keys, order, aggs, incl) -> DataFrame:
-    w0 = _spec(keys).orderBy(*_cols(order))
-    cols = []
-    for name, spec in aggs.items():
-        kind, value = spec[:2]
-        w = w0.rowsBetween(Window.unboundedPreceding, 0 if incl[name] else -1)
-        if kind == "count":
-            col = F.count(F.lit(1)).over(w)
-        else:
-            v = F.col(value) if isinstance(value, str) else value
-            if kind == "last":
-                col = F.last(F.struct(v.alias("x")), ignorenulls=True).over(w).getField("x")
-            else:
-                col = _KINDS[kind][2](v).over(w)
-        cols.append(col.alias(name))
-    return df.select("*", *cols)
+def bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
+             n: int | None = None, by: Buckets | None = None) -> DataFrame:
+    """Rows with their bucket, and before each bucket of a key the key's last
+    ``k`` rows as context (``_ctx`` = 1): a window over (keys, bucket) with
+    frames of at most ``k`` rows back then sees what one over the key would."""
+    keys, order = list(keys), list(order)
+    by = by or buckets(df, order, n)
+    r = df.withColumn(BUCKET, by.column)
+    # the next buckets of each (key, bucket), and how many rows lie between:
+    # only keys that cross a boundary have any
+    ahead = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(1, k)
+    edges = (r.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_next", F.collect_list(F.struct(F.col(BUCKET).alias("t"), F.col("_n").alias("n"))).over(ahead))
+             .where(F.size("_next") > 0))
+    targets = F.transform("_next", lambda x, i: F.struct(
+        x["t"].alias("t"),
+        F.aggregate(F.slice("_next", F.lit(1), i), F.lit(0).cast("bigint"), lambda s, y: s + y["n"]).alias("between")))
+    edges = edges.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col(BUCKET).alias("_eb"), targets.alias("_targets"))
+    # the last k rows of every (key, bucket), pruned before the shuffle
+    desc = Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(o).desc() for o in order])
+    tail = r.withColumn("_rd", F.row_number().over(desc)).where(F.col("_rd") <= k)
+    ctx = (tail.join(edges, same(tail, edges, [*((c, f"_k{i}") for i, c in enumerate(keys)), (BUCKET, "_eb")]))
+           .withColumn("_to", F.explode("_targets")).where(F.col("_to.between") + F.col("_rd") <= k)
+           .withColumn(BUCKET, F.col("_to.t")).withColumn(CTX, F.lit(1)))
+    return r.withColumn(CTX, F.lit(0)).unionByName(ctx.select(*r.columns, CTX))
 
 
 def with_lookback(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
                   columns: dict[str, Callable[[WindowSpec], Column]],
-                  n: int | None = None, plain: bool | None = None) -> DataFrame:
+                  n: int | None = None, by: Buckets | None = None) -> DataFrame:
     """Add columns computed over frames that reach at most ``k`` rows back.
 
     ``columns`` maps an output name to a function of the ordered window spec
     (partitioned per bucket, ordered by ``order``), e.g.
     ``lambda w: F.lag("temp", 1).over(w)`` or
-    ``lambda w: F.avg("temp").over(w.rowsBetween(-2, 0))``. The ``k`` rows
-    before each bucket are added to it, so such frames see exactly the rows
-    a per-key window would. ``order`` must be unique within a key.
+    ``lambda w: F.avg("temp").over(w.rowsBetween(-2, 0))``.
     """
-    keys, order = list(keys), list(order)
-    if plain is None and n is None:
-        plain, n = plan_buckets(df, keys)
-    if plain:
-        w = _spec(keys).orderBy(*_cols(order))
-        return df.select("*", *[fn(w).alias(name) for name, fn in columns.items()])
-    r = range_buckets(df, keys, order, n)
-    kk = list(keys)
-    desc = Window.partitionBy(*kk, BUCKET).orderBy(*[F.col(o).desc() for o in order])
-    # the last k rows of every bucket (Spark prunes them map-side); written
-    # once, as two branches read it and it is tiny (<= k rows per bucket)
-    tail = (r.withColumn("_rd", F.row_number().over(desc)).where(F.col("_rd") <= k).drop("_rd")
-            .checkpoint(eager=True))
-    # number tail rows per key: the k tail rows before a bucket's first tail row
-    # are exactly the k rows before the bucket
-    wpos = (Window.partitionBy(*kk) if kk else Window).orderBy(BUCKET, *_cols(order))
-    tail = tail.withColumn("_pos", F.row_number().over(wpos))
-    firsts = tail.groupBy(*kk, BUCKET).agg(F.min("_pos").alias("_first"))
-    req = (firsts.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(k))))
-           .withColumn("_pos", F.col("_first") - F.col("_j"))
-           .where(F.col("_pos") >= 1)
-           .select(*kk, F.col(BUCKET).alias("_target"), "_pos"))
-    ctx = (tail.join(req, on=[*kk, "_pos"], how="inner")
-           .drop(BUCKET, "_pos").withColumnRenamed("_target", BUCKET)
-           .withColumn(CTX, F.lit(1)))
-    u = r.withColumn(CTX, F.lit(0)).unionByName(ctx.select(*r.columns, CTX))
-    w = Window.partitionBy(*kk, BUCKET).orderBy(*_cols(order))
+    u = bucketed(df, keys, order, k, n, by)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*_cols(list(order)))
     out = u.select("*", *[fn(w).alias(name) for name, fn in columns.items()])
     return out.where(F.col(CTX) == 0).drop(BUCKET, CTX)
 
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              cols: Sequence[str], k: int = 1, default=None, n: int | None = None,
-             fmt: str = "prev{j}_{c}", plain: bool | None = None) -> DataFrame:
+             fmt: str = "prev{j}_{c}", by: Buckets | None = None) -> DataFrame:
     """Add ``lag(c, j)`` for each column and ``j`` in ``1..k`` (skew-safe)."""
     spec = {}
     for c in cols:
         for j in range(1, k + 1):
             spec[fmt.format(j=j, c=c)] = (lambda w, c=c, j=j: F.lag(c, j, default).over(w))
-    return with_lookback(df, keys, order, k, spec, n, plain)
+    return with_lookback(df, keys, order, k, spec, n, by)

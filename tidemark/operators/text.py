@@ -52,10 +52,11 @@ def word_count(df: DataFrame, c: str, sep: str = " ", drop_empty: bool = False)
 def rolling_word_count(df: DataFrame, c: str, order: list[str], sep: str = " ") -> DataFrame:
     """The streaming word count's per-record output: after every non-empty
     token, the running count of that word, in arrival order (``order`` of
-    the line, then the token's position). Frequent words are hot keys; the
-    ordered scan splits them when they outgrow one task."""
-    from tidemark.operators import ordered  # local: ordered imports session only
+    the line, then the token's position). Frequent words are hot keys, which
+    the ordered scan cuts; its buckets come from the lines, before tokenising."""
+    from tidemark.operators import ordered
 
+    by = ordered.buckets(df, order)
     toks = (df.select(*order, F.posexplode(jvm_split(c, sep)).alias("pos", "word"))
             .where(F.col("word") != F.lit("")))
-    return ordered.running(toks, ["word"], [*order, "pos"], {"count": ("count", None)})
+    return ordered.running(toks, ["word"], [*order, "pos"], {"count": ("count", None)}, by=by)

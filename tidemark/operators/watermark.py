@@ -3,8 +3,8 @@
 The reference runs its watermark with parallelism 1, so it covers all keys:
 the watermark before a row is ``max(event time of earlier arrivals) - delay``.
 That is a running max with no partition key; ``ordered.running`` with no
-keys computes it in range buckets (a per-bucket max, a prefix over the
-bucket table, then a window per bucket), never in one task.
+keys computes it in buckets of the order (a per-bucket max, a prefix over
+the bucket table, then a window per bucket), never in one task.
 
 Times are handled as epoch microseconds of the UTC wall clock, so results do
 not depend on the session zone. The reference's unit is the millisecond: a
@@ -80,21 +80,41 @@ def late_rows(df: DataFrame, size_s: int, slide_s: int, delay_s: int, lateness_s
             .drop("_t", "_wm"))
 
 
+def _reached(df: DataFrame, size_s: int, slide_s: int, delay_s: int, lateness_s: int, key: str, ts: str,
+             order: Sequence[str]) -> DataFrame:
+    """One row for each (row, window) that the row reaches before the window is dropped, with ``_start`` and ``_wm``."""
+    if size_s % slide_s:
+        raise ValueError("size must be a multiple of slide")
+    w = watermark_before(df.select(key, ts, *order), delay_s, ts, order)
+    start = (F.col("_t") - F.pmod(F.col("_t"), F.lit(slide_s * US)) - F.col("_j") * F.lit(slide_s * US))
+    pairs = (w.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1))))
+             .withColumn("_start", start))
+    return pairs.where(F.col("_wm").isNull() | (F.col("_start") + F.lit(size_s * US - MS + lateness_s * US) > F.col("_wm")))
+
+
+def window_firings(df: DataFrame, size_s: int, slide_s: int, delay_s: int, lateness_s: int,
+                   key: str = "id", ts: str = "ts", order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+    """Every firing of the sliding counts under allowed lateness: (id, window start, count, late).
+
+    A window fires when the watermark reaches its end (at the end of the
+    input at the latest) with the rows it has by then, and once more, with
+    the count so far, for each later row that still reaches it.
+    """
+    reached = _reached(df, size_s, slide_s, delay_s, lateness_s, key, ts, order)
+    late = F.coalesce(F.col("_start") + F.lit(size_s * US - MS) <= F.col("_wm"), F.lit(False))
+    counted = ordered.running(reached.withColumn("late", late).select(key, "_start", "late", *order),
+                              [key, "_start"], order, {"cnt": ("count", None)})
+    on_time = counted.where(~F.col("late")).groupBy(key, "_start", "late").agg(F.max("cnt").alias("cnt"))
+    out = on_time.unionByName(counted.where("late").select(key, "_start", "late", "cnt"))
+    return out.select(key, (F.col("_start") / MS).cast("bigint").alias("window_start_ms"), F.col("cnt").cast("int").alias("cnt"), "late")
+
+
 def sliding_count_lateness(df: DataFrame, size_s: int, slide_s: int, delay_s: int, lateness_s: int,
                            key: str = "id", ts: str = "ts",
                            order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
     """Sliding event-time window counts with allowed lateness: the final
     count of each (id, window) over the rows that reached it in time."""
-    if size_s % slide_s:
-        raise ValueError("size must be a multiple of slide")
-    w = watermark_before(df.select(key, ts, *order), delay_s, ts, order)
-    n = size_s // slide_s
-    start = (F.col("_t") - F.pmod(F.col("_t"), F.lit(slide_s * US))
-             - F.col("_j") * F.lit(slide_s * US))
-    pairs = (w.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-             .withColumn("_start", start))
-    ok = F.col("_wm").isNull() | (
-        (F.col("_start") + F.lit(size_s * US) - F.lit(MS) + F.lit(lateness_s * US)) > F.col("_wm"))
-    return (pairs.where(ok).groupBy(key, "_start")
+    reached = _reached(df, size_s, slide_s, delay_s, lateness_s, key, ts, order)
+    return (reached.groupBy(key, "_start")
             .agg(F.count(F.lit(1)).cast("int").alias("cnt"))
             .select(key, (F.col("_start") / MS).cast("bigint").alias("window_start_ms"), "cnt"))

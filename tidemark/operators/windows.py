@@ -10,19 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import epoch_micros, exact_avg, ntz_from_micros
+from tidemark.functions.columns import epoch_micros, nan_min, nan_min_over, ntz_from_micros
 from tidemark.operators import ordered
 
 ORDER = ("ts", "seq")
+ARRIVAL = ("seq",)
 
 
 def tumble(df: DataFrame, size: str, key: str = "id", ts: str = "ts") -> DataFrame:
     """Tumbling window: (id, count, avg temp, window end); end is exclusive."""
     return (df.groupBy(key, F.window(ts, size).alias("w"))
-            .agg(F.count(key).alias("cnt"), exact_avg("temp").alias("avg_temp"))
+            .agg(F.count(key).alias("cnt"), F.avg("temp").alias("avg_temp"))
             .select(key, "cnt", "avg_temp", F.col("w.end").alias("window_end")))
 
 
@@ -31,26 +32,34 @@ def tumble_sql(spark: SparkSession, view: str, size_sql: str) -> DataFrame:
     ``'1 hour'``. ``window(...).end`` plays ``tumble_end``."""
     return spark.sql(f"""
         SELECT id, count(id) AS cnt,
-               CAST(sum(CAST(temp AS DECIMAL(38,10))) AS DOUBLE) / count(temp) AS avg_temp,
+               avg(temp) AS avg_temp,
                window(ts, {size_sql}).end AS window_end
         FROM {view}
         GROUP BY id, window(ts, {size_sql})""")
 
 
+def window_aggregate(df: DataFrame, body: Sequence[Column], size: str, slide: str | None = None,
+                     key: str = "id", ts: str = "ts") -> DataFrame:
+    """A user's body over time windows: (id, window start, the aggregates of ``body``)."""
+    w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    return (df.groupBy(key, w.alias("w")).agg(*body)
+            .select(key, F.col("w.start").alias("window_start"), *_names(df, body)))
+
+
+def _names(df: DataFrame, body: Sequence[Column]) -> list[str]:
+    return df.limit(0).agg(*body).columns
+
+
 def sliding_count(df: DataFrame, size: str, slide: str, key: str = "id", ts: str = "ts") -> DataFrame:
     """Full-window function (id, window start in ms, row count as int)."""
-    return (df.groupBy(key, F.window(ts, size, slide).alias("w"))
-            .agg(F.count(F.lit(1)).cast("int").alias("cnt"))
-            .select(key, (epoch_micros("w.start") / 1000).cast("bigint").alias("window_start_ms"), "cnt"))
+    out = window_aggregate(df, [F.count(F.lit(1)).cast("int").alias("cnt")], size, slide, key, ts)
+    return out.select(key, (epoch_micros("window_start") / 1000).cast("bigint").alias("window_start_ms"), "cnt")
 
 
 def window_reduce(df: DataFrame, size: str, slide: str | None = None, key: str = "id",
                   ts: str = "ts") -> DataFrame:
-    """Incremental window reduce: (id, window start, max timestamp, min temp)."""
-    w = F.window(ts, size, slide) if slide else F.window(ts, size)
-    return (df.groupBy(key, w.alias("w"))
-            .agg(F.max("timestamp").alias("timestamp"), F.min("temp").alias("temp"))
-            .select(key, F.col("w.start").alias("window_start"), "timestamp", "temp"))
+    """Incremental window reduce: (id, window start, max timestamp, min temp; NaN if any is)."""
+    return window_aggregate(df, [F.max("timestamp").alias("timestamp"), nan_min("temp").alias("temp")], size, slide, key, ts)
 
 
 def session_count(df: DataFrame, gap_s: int, key: str = "id", ts: str = "ts",
@@ -67,11 +76,11 @@ def session_count(df: DataFrame, gap_s: int, key: str = "id", ts: str = "ts",
     """
     us = gap_s * 1_000_000
     d = df.select(key, *order).withColumn("_t", epoch_micros(ts))
-    plain, n = ordered.plan_buckets(d, [key])
-    d = ordered.running(d, [key], order, {"_p": ("max", "_t", False)}, plain=plain, n=n or None)
+    by = ordered.buckets(d, order)  # one bucketing for both passes
+    d = ordered.running(d, [key], order, {"_p": ("max", "_t", False)}, by=by)
     opens = F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.lit(us))
     d = ordered.running(d.withColumn("_o", F.when(opens, F.col("_t"))), [key], order,
-                        {"_s": ("max", "_o")}, plain=plain, n=n or None)
+                        {"_s": ("max", "_o")}, by=by)
     return (d.groupBy(key, "_s").agg(F.max("_t").alias("_e"), F.count(F.lit(1)).alias("cnt"))
             .select(key, ntz_from_micros("_s").alias("session_start"),
                     ntz_from_micros(F.col("_e") + F.lit(us)).alias("session_end"), "cnt"))
@@ -85,39 +94,47 @@ def processing_time_tumble(df: DataFrame, size: str, key: str = "id") -> DataFra
             .select(key, F.col("w.start").alias("window_start"), "cnt"))
 
 
-def count_window(df: DataFrame, size: int, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
+def count_window(df: DataFrame, size: int, key: str = "id", order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Sliding count window (size rows, slide 1) with the reduce function:
-    after each row, over the key's last <= ``size`` rows: row count, max
-    timestamp, min temp."""
+    after each arrival, over the key's last <= ``size`` rows: row count, max
+    timestamp, min temp (NaN if any is)."""
     k = size - 1
     cols = {
         "cnt": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-k, 0)),
         "max_timestamp": lambda w: F.max("timestamp").over(w.rowsBetween(-k, 0)),
-        "min_temp": lambda w: F.min("temp").over(w.rowsBetween(-k, 0)),
+        "min_temp": lambda w: nan_min_over("temp", w.rowsBetween(-k, 0)),
     }
-    out = ordered.with_lookback(df.select(key, "timestamp", "temp", *order), [key], order, k, cols)
+    keep = list(dict.fromkeys([key, "timestamp", "temp", *order]))
+    out = ordered.with_lookback(df.select(*keep), [key], order, k, cols)
     return out.select(key, *order, "cnt", "max_timestamp", "min_temp")
 
 
 def over_rows(df: DataFrame, preceding: int = 2, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
     """OVER (PARTITION BY id ORDER BY ts ROWS n PRECEDING): count and avg temp."""
-    dec = F.col("temp").cast("decimal(38,10)")
     cols = {
         "cnt": lambda w: F.count("temp").over(w.rowsBetween(-preceding, 0)),
-        "_s": lambda w: F.sum(dec).over(w.rowsBetween(-preceding, 0)),
+        "avg_temp": lambda w: F.avg("temp").over(w.rowsBetween(-preceding, 0)),
     }
     out = ordered.with_lookback(df.select(key, "temp", *order), [key], order, preceding, cols)
-    return out.select(key, *order, "cnt", (F.col("_s").cast("double") / F.col("cnt")).alias("avg_temp"))
+    return out.select(key, *order, "cnt", "avg_temp")
 
 
 def over_rows_sql(spark: SparkSession, view: str, preceding: int = 2) -> DataFrame:
-    """The same through a SQL named window (WINDOW ow AS (...))."""
+    """The same through a SQL named window (WINDOW ow AS (...)).
+
+    The statement runs over a view whose rows carry their bucket and the
+    context rows of the bucket, so no key is one window partition:
+    ``PARTITION BY id, _b``.
+    """
+    name = f"{view}_bucketed"
+    ordered.bucketed(spark.table(view).select("id", "ts", "seq", "temp"), ["id"], ORDER, preceding).createOrReplaceTempView(name)
     return spark.sql(f"""
-        SELECT id, ts, seq, count(temp) OVER ow AS cnt,
-               CAST(sum(CAST(temp AS DECIMAL(38,10))) OVER ow AS DOUBLE) / count(temp) OVER ow AS avg_temp
-        FROM {view}
-        WINDOW ow AS (PARTITION BY id ORDER BY ts, seq ROWS BETWEEN {preceding} PRECEDING AND CURRENT ROW)""")
+        SELECT id, ts, seq, cnt, avg_temp FROM (
+            SELECT id, ts, seq, {ordered.CTX}, count(temp) OVER ow AS cnt, avg(temp) OVER ow AS avg_temp
+            FROM {name}
+            WINDOW ow AS (PARTITION BY id, {ordered.BUCKET} ORDER BY ts, seq ROWS BETWEEN {preceding} PRECEDING AND CURRENT ROW))
+        WHERE {ordered.CTX} = 0""")
 
 
-__all__ = ["tumble", "tumble_sql", "sliding_count", "window_reduce", "session_count",
+__all__ = ["tumble", "tumble_sql", "window_aggregate", "sliding_count", "window_reduce", "session_count",
            "processing_time_tumble", "count_window", "over_rows", "over_rows_sql"]

@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import udfs
-from tidemark.functions.columns import epoch_micros
+from tidemark.functions.columns import epoch_micros, steady
 from tidemark.operators import alerts, rolling, routing, text, watermark, windows
 from tidemark.sinks import writers
-from tidemark.session import spread
 from tidemark.sources import readings as rd
 
 # Test parameters (scaled reference values).
@@ -36,6 +35,9 @@ MARKER_ID = "click"
 PUNCT_MINUS_S = 1
 HASH_FACTOR = udfs.HASH_FACTOR
 
+#: Arrival order of the disordered view: keyed reduces, state and counts see rows as they come.
+ARRIVAL = ("arrival", "seq")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -76,7 +78,7 @@ def q_sql_select_filter(spark, sf):
 # ------------------------------------------------------------ text
 
 def _docs(spark, sf):
-    return spread(spark.read.parquet(f"{sf}/documents.parquet").select("text"))
+    return spark.read.parquet(f"{sf}/documents.parquet").select("text")
 
 
 def q_word_count(spark, sf):
@@ -88,18 +90,18 @@ def q_word_count_nonempty(spark, sf):
 
 
 def q_rolling_word_count(spark, sf):
-    docs = spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     return text.rolling_word_count(docs, "text", ["doc_id"]).select("doc_id", "pos", "word", "count")
 
 
 # ------------------------------------------------------------ rolling / grouped
 
 def q_rolling_count(spark, sf):
-    return rolling.rolling_count(_ev(spark, sf).select("id", "ts", "seq")).select("id", "ts", "seq", "count")
+    return rolling.rolling_count(_arrivals(spark, sf).select("id", "arrival", "seq"), order=ARRIVAL)
 
 
 def q_rolling_reduce(spark, sf):
-    return rolling.rolling_reduce(_ev(spark, sf))
+    return rolling.rolling_reduce(_arrivals(spark, sf), order=ARRIVAL)
 
 
 def q_reduce_final(spark, sf):
@@ -107,11 +109,11 @@ def q_reduce_final(spark, sf):
 
 
 def q_min_by(spark, sf):
-    return rolling.min_by_record(_ev(spark, sf))
+    return rolling.min_by_record(_arrivals(spark, sf), order=ARRIVAL)
 
 
 def q_rolling_min_by(spark, sf):
-    return rolling.rolling_min_by(_ev(spark, sf))
+    return rolling.rolling_min_by(_arrivals(spark, sf), order=ARRIVAL)
 
 
 def q_group_count(spark, sf):
@@ -119,7 +121,16 @@ def q_group_count(spark, sf):
 
 
 def q_retract_avg(spark, sf):
-    return rolling.retract_avg(_ev(spark, sf))
+    out = rolling.retract_avg(_arrivals(spark, sf), order=ARRIVAL)
+    return out.withColumn("avg_temp", steady("avg_temp"))
+
+
+def q_retract_min(spark, sf):
+    return rolling.retract_changelog(rolling.rolling_reduce(_arrivals(spark, sf), order=ARRIVAL), "temp", order=ARRIVAL)
+
+
+def q_top2_retract(spark, sf):
+    return rolling.top2_retract(rd.with_arrival(_ev(spark, sf, "user_id")), order=ARRIVAL)
 
 
 # ------------------------------------------------------------ routing
@@ -145,11 +156,11 @@ def q_split_connect(spark, sf):
 # ------------------------------------------------------------ windows
 
 def q_tumble_table(spark, sf):
-    return windows.tumble(_ev(spark, sf), TUMBLE)
+    return windows.tumble(_ev(spark, sf), TUMBLE).withColumn("avg_temp", steady("avg_temp"))
 
 
 def q_tumble_sql(spark, sf):
-    return windows.tumble_sql(spark, _view(spark, sf), f"'{TUMBLE}'")
+    return windows.tumble_sql(spark, _view(spark, sf), f"'{TUMBLE}'").withColumn("avg_temp", steady("avg_temp"))
 
 
 def q_sliding_count(spark, sf):
@@ -165,15 +176,15 @@ def q_session_count(spark, sf):
 
 
 def q_count_window(spark, sf):
-    return windows.count_window(_ev(spark, sf), COUNT_WINDOW)
+    return windows.count_window(_arrivals(spark, sf), COUNT_WINDOW, order=ARRIVAL)
 
 
 def q_over_rows(spark, sf):
-    return windows.over_rows(_ev(spark, sf), OVER_PRECEDING)
+    return windows.over_rows(_ev(spark, sf), OVER_PRECEDING).withColumn("avg_temp", steady("avg_temp"))
 
 
 def q_over_rows_sql(spark, sf):
-    return windows.over_rows_sql(spark, _view(spark, sf), OVER_PRECEDING)
+    return windows.over_rows_sql(spark, _view(spark, sf), OVER_PRECEDING).withColumn("avg_temp", steady("avg_temp"))
 
 
 # ------------------------------------------------------------ watermarks
@@ -203,18 +214,22 @@ def q_sliding_count_lateness(spark, sf):
                                             DELAY_S, LATENESS_S)
 
 
+def q_window_firings(spark, sf):
+    return watermark.window_firings(_arrivals(spark, sf), SLIDE_SIZE_S, SLIDE_STEP_S, DELAY_S, LATENESS_S)
+
+
 # ------------------------------------------------------------ alerts
 
 def q_temp_jump(spark, sf):
-    return alerts.temp_jump(_ev(spark, sf), JUMP_T)
+    return alerts.temp_jump(_arrivals(spark, sf), JUMP_T, order=ARRIVAL)
 
 
 def q_temp_jump_zero_seed(spark, sf):
-    return alerts.temp_jump(_ev(spark, sf), JUMP_T, seed_zero=True)
+    return alerts.temp_jump(_arrivals(spark, sf), JUMP_T, seed_zero=True, order=ARRIVAL)
 
 
 def q_temp_jump_map(spark, sf):
-    return alerts.temp_jump_map(_ev(spark, sf), JUMP_T)
+    return alerts.temp_jump_map(_arrivals(spark, sf), JUMP_T, order=ARRIVAL)
 
 
 def q_rising_alarm(spark, sf):
@@ -229,8 +244,8 @@ def q_rising_first_alarm(spark, sf):
 
 def _ev_user_ids(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet")
-    return spread(ev.select(F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("id"),
-                            F.col("event_id").alias("seq")))
+    return ev.select(F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("id"),
+                     F.col("event_id").alias("seq"))
 
 
 def q_udf_hash_code(spark, sf):
@@ -238,14 +253,14 @@ def q_udf_hash_code(spark, sf):
 
 
 def q_udaf_avg(spark, sf):
-    return _ev(spark, sf).groupBy("id").agg(udfs.avg_temp("temp").alias("avg_temp"))
+    return _ev(spark, sf).groupBy("id").agg(steady(udfs.avg_temp("temp")).alias("avg_temp"))
 
 
 def q_udaf_avg_sql(spark, sf):
     udfs.register(spark)
     v = _view(spark, sf)
-    return spark.sql(f"""SELECT id, avg_temp_value(sum(CAST(temp AS DECIMAL(38,10))), count(temp)) AS avg_temp
-                         FROM {v} GROUP BY id""")
+    return spark.sql(f"""SELECT id, avg_temp_value(sum(temp), count(temp)) AS avg_temp
+                         FROM {v} GROUP BY id""").withColumn("avg_temp", steady("avg_temp"))
 
 
 def _part(spark, sf):
@@ -263,6 +278,19 @@ def q_udtf_split_sql(spark, sf):
                         FROM part_types, LATERAL split_words(p_type, ' ')""")
 
 
+def _edge_lines(spark, sf):
+    """Types with empty text and leading, trailing, doubled and lone separators."""
+    t = F.col("p_type")
+    line = (F.when(F.col("p_partkey") % 5 == 0, F.lit("")).when(F.col("p_partkey") % 5 == 1, F.concat(F.lit(" "), t))
+            .when(F.col("p_partkey") % 5 == 2, F.concat(t, F.lit("  ")))
+            .when(F.col("p_partkey") % 5 == 3, F.replace(t, F.lit(" "), F.lit("  "))).otherwise(F.lit("   ")))
+    return _part(spark, sf).select("p_partkey", line.alias("line"))
+
+
+def q_split_edges(spark, sf):
+    return udfs.split_udtf(_edge_lines(spark, sf), "line", " ")
+
+
 def q_top2(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select(
         F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("temp"), F.col("o_orderkey").alias("seq"))
@@ -272,8 +300,7 @@ def q_top2(spark, sf):
 # ------------------------------------------------------------ sinks
 
 def q_keyed_latest(spark, sf):
-    ev = _ev(spark, sf)
-    return writers.keyed_latest(ev, F.col("temp").cast("string"), "id")
+    return writers.keyed_latest(_arrivals(spark, sf), F.col("temp").cast("string"), "id", order=ARRIVAL)
 
 
 def q_document_json(spark, sf):
@@ -333,17 +360,21 @@ QUERIES: dict[str, Query] = {
     "max_disorder": q_max_disorder,
     "late_rows": q_late_rows,
     "sliding_count_lateness": q_sliding_count_lateness,
+    "window_firings": q_window_firings,
     "temp_jump": q_temp_jump,
     "temp_jump_zero_seed": q_temp_jump_zero_seed,
     "temp_jump_map": q_temp_jump_map,
     "rising_alarm": q_rising_alarm,
     "rising_first_alarm": q_rising_first_alarm,
     "retract_avg": q_retract_avg,
+    "retract_min": q_retract_min,
+    "top2_retract": q_top2_retract,
     "udf_hash_code": q_udf_hash_code,
     "udaf_avg": q_udaf_avg,
     "udaf_avg_sql": q_udaf_avg_sql,
     "udtf_split": q_udtf_split,
     "udtf_split_sql": q_udtf_split_sql,
+    "split_edges": q_split_edges,
     "top2": q_top2,
     "keyed_latest": q_keyed_latest,
     "document_json": q_document_json,

@@ -36,7 +36,14 @@ _FOLD = ("list_reduce(list_transform(string_split(id, ''), lambda x: CAST(unicod
 _U32 = f"((({_FOLD}) * {c.HASH_FACTOR} - {HASH_OFFSET}) % 4294967296 + 4294967296) % 4294967296"
 _HASH = f"CAST(({_U32} + 2147483648) % 4294967296 - 2147483648 AS INTEGER)"
 
-_AVG = "CAST(sum(CAST(temp AS DECIMAL(38,10))) AS DOUBLE) / count(temp)"
+def _steady(x: str) -> str:
+    """A double at six decimals, halves upwards, as ``columns.steady``."""
+    return f"floor(({x}) * 1e6::DOUBLE + 0.5001::DOUBLE) / 1e6::DOUBLE"
+
+
+_AVG = _steady("avg(temp)")
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_BY_ARRIVAL = f"(PARTITION BY id ORDER BY arrival, seq {_SO_FAR})"
 
 _WM_BEFORE = f"""wm AS (
     SELECT *, max(t) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -95,6 +102,28 @@ w AS (SELECT unnest(CASE WHEN text = '' THEN [''] WHEN s = '' THEN [] ELSE strin
       FROM d)
 """
 
+_OVER = R + f"""SELECT id, ts, seq, count(temp) OVER ow AS cnt, {_steady("avg(temp) OVER ow")} AS avg_temp
+        FROM readings WINDOW ow AS (PARTITION BY id ORDER BY ts, seq
+                                    ROWS BETWEEN {c.OVER_PRECEDING} PRECEDING AND CURRENT ROW)"""
+
+# Row by row: the two highest values a key has seen before and after each arrival.
+_TOP2_SEEN = f"""WITH r AS (
+    SELECT CAST(user_id AS VARCHAR) AS id, ts + to_seconds((event_id * 7919) % 21600) AS arrival, event_id AS seq, value AS temp
+    FROM events),
+s AS (SELECT *, list_reverse_sort(list(temp) OVER {_BY_ARRIVAL}) AS seen,
+             list_reverse_sort(list(temp) OVER (PARTITION BY id ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS old FROM r),
+v AS (SELECT *, unnest([1, 2]) AS rank FROM s
+      WHERE old IS NULL OR len(old) = 0 OR seen[1:2] <> old[1:2])
+SELECT id, arrival, seq, false AS is_add, 0 AS change, coalesce(old[rank], {DOUBLE_MIN!r}) AS temp, rank FROM v WHERE len(old) > 0
+UNION ALL
+SELECT id, arrival, seq, true AS is_add, 1 AS change, coalesce(seen[rank], {DOUBLE_MIN!r}) AS temp, rank FROM v"""
+
+_EDGES = """WITH p AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN ' ' || p_type WHEN 2 THEN p_type || '  '
+                                      WHEN 3 THEN replace(p_type, ' ', '  ') ELSE '   ' END AS line FROM part),
+w AS (SELECT p_partkey, line, unnest(CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN []
+                                          ELSE string_split(rtrim(line, ' '), ' ') END) AS word FROM p)
+SELECT p_partkey, line, word, CAST(length(word) AS INTEGER) AS length FROM w"""
+
 ORACLE: dict[str, str] = {
     "parse_reading": R + "SELECT seq, id, timestamp, temp FROM readings",
     "select_filter": R + f"SELECT id, temp FROM readings WHERE id = '{c.FILTER_ID}'",
@@ -102,20 +131,17 @@ ORACLE: dict[str, str] = {
     "sql_select_filter": R + f"SELECT id, temp FROM readings WHERE id = '{c.FILTER_ID}'",
     "word_count": _WORDS + "SELECT word, count(*) AS count FROM w GROUP BY word",
     "word_count_nonempty": _WORDS + "SELECT word, count(*) AS count FROM w WHERE word <> '' GROUP BY word",
-    "rolling_count": R + """SELECT id, ts, seq, count(*) OVER (PARTITION BY id ORDER BY ts, seq
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS count FROM readings""",
-    "rolling_reduce": R + """SELECT id, ts, seq,
+    "rolling_count": RA + f"SELECT id, arrival, seq, count(*) OVER {_BY_ARRIVAL} AS count FROM arrivals",
+    "rolling_reduce": RA + f"""SELECT id, arrival, seq,
             max(timestamp) OVER w AS timestamp, min(temp) OVER w AS temp
-        FROM readings WINDOW w AS (PARTITION BY id ORDER BY ts, seq
-                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        FROM arrivals WINDOW w AS {_BY_ARRIVAL}""",
     "reduce_final": R + "SELECT id, max(timestamp) AS timestamp, min(temp) AS temp FROM readings GROUP BY id",
-    "min_by": R + """SELECT id, timestamp, temp, seq FROM (
-            SELECT *, row_number() OVER (PARTITION BY id ORDER BY temp, seq) AS rn FROM readings)
+    "min_by": RA + """SELECT id, timestamp, temp, seq FROM (
+            SELECT *, row_number() OVER (PARTITION BY id ORDER BY temp, arrival, seq) AS rn FROM arrivals)
         WHERE rn = 1""",
-    "rolling_min_by": R + """SELECT id, ts, seq, m.timestamp AS min_timestamp, m.temp AS min_temp FROM (
-            SELECT id, ts, seq, arg_min({'timestamp': timestamp, 'temp': temp}, (temp, seq)) OVER (
-                PARTITION BY id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m
-            FROM readings)""",
+    "rolling_min_by": RA + f"""SELECT id, arrival, seq, m.timestamp AS min_timestamp, m.temp AS min_temp FROM (
+            SELECT id, arrival, seq, arg_min({{'timestamp': timestamp, 'temp': temp}}, (temp, arrival, seq)) OVER {_BY_ARRIVAL} AS m
+            FROM arrivals)""",
     "rolling_word_count": """WITH d AS (SELECT doc_id, text, rtrim(text, ' ') AS s FROM documents),
         l AS (SELECT doc_id, CASE WHEN text = '' THEN [''] WHEN s = '' THEN [] ELSE string_split(s, ' ') END AS ws
               FROM d),
@@ -162,18 +188,12 @@ ORACLE: dict[str, str] = {
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM s)
         SELECT id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS cnt
         FROM n GROUP BY id, sid""",
-    "count_window": R + f"""SELECT id, ts, seq, count(*) OVER w AS cnt, max(timestamp) OVER w AS max_timestamp,
+    "count_window": RA + f"""SELECT id, arrival, seq, count(*) OVER w AS cnt, max(timestamp) OVER w AS max_timestamp,
             min(temp) OVER w AS min_temp
-        FROM readings WINDOW w AS (PARTITION BY id ORDER BY ts, seq
+        FROM arrivals WINDOW w AS (PARTITION BY id ORDER BY arrival, seq
                                    ROWS BETWEEN {c.COUNT_WINDOW - 1} PRECEDING AND CURRENT ROW)""",
-    "over_rows": R + f"""SELECT id, ts, seq, count(temp) OVER ow AS cnt,
-            CAST(sum(CAST(temp AS DECIMAL(38,10))) OVER ow AS DOUBLE) / count(temp) OVER ow AS avg_temp
-        FROM readings WINDOW ow AS (PARTITION BY id ORDER BY ts, seq
-                                    ROWS BETWEEN {c.OVER_PRECEDING} PRECEDING AND CURRENT ROW)""",
-    "over_rows_sql": R + f"""SELECT id, ts, seq, count(temp) OVER ow AS cnt,
-            CAST(sum(CAST(temp AS DECIMAL(38,10))) OVER ow AS DOUBLE) / count(temp) OVER ow AS avg_temp
-        FROM readings WINDOW ow AS (PARTITION BY id ORDER BY ts, seq
-                                    ROWS BETWEEN {c.OVER_PRECEDING} PRECEDING AND CURRENT ROW)""",
+    "over_rows": _OVER,
+    "over_rows_sql": _OVER,
     "watermark_periodic": RA + f"""SELECT seq, make_timestamp(max(t) OVER (ORDER BY arrival, seq
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - {c.DELAY_S * 1000000}) AS watermark
         FROM arrivals""",
@@ -196,38 +216,52 @@ ORACLE: dict[str, str] = {
         FROM p
         WHERE wm IS NULL OR ws + {c.SLIDE_SIZE_S * 1000000} - 1000 + {c.LATENESS_S * 1000000} > wm
         GROUP BY id, ws""",
-    "temp_jump": R + f"""SELECT id, ts, seq, last_temp, temp FROM (
-            SELECT *, lag(temp) OVER (PARTITION BY id ORDER BY ts, seq) AS last_temp FROM readings)
+    "window_firings": _with(READINGS, ARRIVALS, _WM_BEFORE) + f""", p AS (
+            SELECT id, wm, arrival, seq, t - (t % {c.SLIDE_STEP_S * 1000000}) - k * {c.SLIDE_STEP_S * 1000000} AS ws
+            FROM wm, (SELECT unnest(range(0, {c.SLIDE_SIZE_S // c.SLIDE_STEP_S})) AS k) ks),
+        q AS (SELECT *, wm IS NOT NULL AND ws + {c.SLIDE_SIZE_S * 1000000} - 1000 <= wm AS late FROM p
+              WHERE wm IS NULL OR ws + {c.SLIDE_SIZE_S * 1000000} - 1000 + {c.LATENESS_S * 1000000} > wm),
+        n AS (SELECT *, count(*) OVER (PARTITION BY id, ws ORDER BY arrival, seq {_SO_FAR}) AS cnt FROM q)
+        SELECT id, CAST(ws / 1000 AS BIGINT) AS window_start_ms, CAST(cnt AS INTEGER) AS cnt, late FROM n WHERE late
+        UNION ALL
+        SELECT id, CAST(ws / 1000 AS BIGINT), CAST(count(*) AS INTEGER), false FROM n WHERE NOT late GROUP BY id, ws""",
+    "temp_jump": RA + f"""SELECT id, arrival, seq, last_temp, temp FROM (
+            SELECT *, lag(temp) OVER (PARTITION BY id ORDER BY arrival, seq) AS last_temp FROM arrivals)
         WHERE abs(temp - last_temp) > {c.JUMP_T}""",
-    "temp_jump_zero_seed": R + f"""SELECT id, ts, seq, last_temp, temp FROM (
-            SELECT *, coalesce(lag(temp) OVER (PARTITION BY id ORDER BY ts, seq), 0.0) AS last_temp
-            FROM readings)
+    "temp_jump_zero_seed": RA + f"""SELECT id, arrival, seq, last_temp, temp FROM (
+            SELECT *, coalesce(lag(temp) OVER (PARTITION BY id ORDER BY arrival, seq), 0.0) AS last_temp
+            FROM arrivals)
         WHERE abs(temp - last_temp) > {c.JUMP_T}""",
-    "temp_jump_map": R + f"""SELECT ts, seq,
+    "temp_jump_map": RA + f"""SELECT arrival, seq,
             CASE WHEN abs(temp - l) > {c.JUMP_T} THEN id END AS jump_id,
             CASE WHEN abs(temp - l) > {c.JUMP_T} THEN l END AS jump_last_temp,
             CASE WHEN abs(temp - l) > {c.JUMP_T} THEN temp END AS jump_temp
-        FROM (SELECT *, coalesce(lag(temp) OVER (PARTITION BY id ORDER BY ts, seq), 0.0) AS l
-              FROM readings)""",
+        FROM (SELECT *, coalesce(lag(temp) OVER (PARTITION BY id ORDER BY arrival, seq), 0.0) AS l
+              FROM arrivals)""",
     "rising_alarm": _RISING,
     "rising_first_alarm": _RUNS,
-    "retract_avg": R + """, a AS (
-            SELECT id, ts, seq,
-                   CAST(sum(CAST(temp AS DECIMAL(38,10))) OVER w AS DOUBLE) / count(*) OVER w AS new_avg
-            FROM readings WINDOW w AS (PARTITION BY id ORDER BY ts, seq
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-        b AS (SELECT *, lag(new_avg) OVER (PARTITION BY id ORDER BY ts, seq) AS old_avg FROM a)
-        SELECT id, ts, seq, true AS is_add, 1 AS change, new_avg AS avg_temp FROM b
-            WHERE old_avg IS NULL OR old_avg <> new_avg
+    "retract_avg": RA + f""", a AS (
+            SELECT id, arrival, seq, sum(CAST(temp AS DECIMAL(18, 2))) OVER w AS s, count(*) OVER w AS n
+            FROM arrivals WINDOW w AS {_BY_ARRIVAL}),
+        b AS (SELECT *, lag(s) OVER w AS ps, lag(n) OVER w AS pn FROM a WINDOW w AS (PARTITION BY id ORDER BY arrival, seq)),
+        d AS (SELECT *, CAST(s AS DOUBLE) / n AS new_avg, CAST(ps AS DOUBLE) / pn AS old_avg FROM b
+              WHERE ps IS NULL OR ps * n <> s * pn)
+        SELECT id, arrival, seq, true AS is_add, 1 AS change, {_steady("new_avg")} AS avg_temp FROM d
+        UNION ALL
+        SELECT id, arrival, seq, false AS is_add, 0 AS change, {_steady("old_avg")} AS avg_temp FROM d WHERE ps IS NOT NULL""",
+    "retract_min": RA + f""", a AS (SELECT id, arrival, seq, min(temp) OVER {_BY_ARRIVAL} AS m FROM arrivals),
+        b AS (SELECT *, lag(m) OVER (PARTITION BY id ORDER BY arrival, seq) AS p FROM a)
+        SELECT id, arrival, seq, true AS is_add, 1 AS change, m AS temp FROM b WHERE p IS NULL OR p <> m
         UNION ALL
-        SELECT id, ts, seq, false AS is_add, 0 AS change, old_avg AS avg_temp FROM b
-            WHERE old_avg IS NOT NULL AND old_avg <> new_avg""",
+        SELECT id, arrival, seq, false AS is_add, 0 AS change, p AS temp FROM b WHERE p <> m""",
+    "top2_retract": _TOP2_SEEN,
     "udf_hash_code": f"""SELECT seq, id, {_HASH} AS hash_code FROM (
             SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS id, event_id AS seq FROM events)""",
     "udaf_avg": R + f"SELECT id, {_AVG} AS avg_temp FROM readings GROUP BY id",
     "udaf_avg_sql": R + f"SELECT id, {_AVG} AS avg_temp FROM readings GROUP BY id",
     "udtf_split": _SPLIT_PARTS,
     "udtf_split_sql": _SPLIT_PARTS,
+    "split_edges": _EDGES,
     "top2": f"""WITH e AS (SELECT o_custkey AS id, o_totalprice AS temp, o_orderkey AS seq FROM orders),
         ranked AS (
             SELECT id, temp, CAST(row_number() OVER (PARTITION BY id ORDER BY temp DESC, seq) AS INTEGER) AS rank
@@ -236,10 +270,10 @@ ORACLE: dict[str, str] = {
                   CROSS JOIN (SELECT CAST(unnest([1, 2]) AS INTEGER) AS rank) r)
         SELECT s.id, coalesce(ranked.temp, {DOUBLE_MIN!r}) AS temp, s.rank
         FROM slots s LEFT JOIN ranked ON ranked.id = s.id AND ranked.rank = s.rank AND ranked.rank <= 2""",
-    "keyed_latest": R + """SELECT key, value FROM (
+    "keyed_latest": RA + """SELECT key, value FROM (
             SELECT CAST(temp AS VARCHAR) AS key, id AS value,
-                   row_number() OVER (PARTITION BY CAST(temp AS VARCHAR) ORDER BY ts DESC, seq DESC) AS rn
-            FROM readings) WHERE rn = 1""",
+                   row_number() OVER (PARTITION BY CAST(temp AS VARCHAR) ORDER BY arrival DESC, seq DESC) AS rn
+            FROM arrivals) WHERE rn = 1""",
     "document_json": R + """SELECT seq, '{"id":"' || id || '","temp":"' || CAST(temp AS VARCHAR)
             || '","time":"' || CAST(timestamp AS VARCHAR) || '"}' AS doc FROM readings""",
     "csv_payload": R + "SELECT seq, id || ',' || CAST(temp AS VARCHAR) AS value FROM readings",

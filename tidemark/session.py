@@ -16,12 +16,14 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # more, smaller splits, so that tokenising a few large files uses every core
+    "spark.sql.files.maxPartitionBytes": "32m",
     # transformWithState needs the RocksDB store; a unix socket avoids a TCP
     # state server between the JVM and the Python worker.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.python.unix.domain.socket.enabled": "true",
-    # delete checkpoint files (range buckets, alarm rounds) once unreferenced
+    # delete checkpoint files (alarm rounds, corpus stages) once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -49,7 +51,6 @@ def get_spark(master: str | None = None, partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
@@ -76,24 +77,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
-
-
-def spread(df):
-    """Round-robin a DataFrame whose input has fewer partitions than the
-    session can run at once (e.g. one large parquet row group), so CPU-heavy
-    per-row work (tokenising) uses every core. Inputs that already have
-    enough splits, as any large table does, are returned unchanged: no
-    extra shuffle at scale."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view (e.g. a Connect session): leave the plan as is
-        return df
-    return df.repartition(target)

@@ -2,7 +2,7 @@
 
 Payload builders return a column, so one function serves a batch write, a
 ``writeStream`` and a Kafka ``value``. Keyed sinks first reduce each key to
-its last row (``max_by`` aggregates map-side, so a hot key ships one row per
+its last row (a group limit in each task, so a hot key ships one row per
 task) and then write every key once: no two tasks ever hold one key.
 """
 
@@ -10,15 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# The record text of the reference's Kafka producer and the
-# document sink's index/type.
+# Fixed value: the record text of the reference's Kafka producer.
 RECORD_NAME = "SensorReading"
-DOC_INDEX = "sensor"
-DOC_TYPE = "readingdata"
 
 
 # ---------------------------------------------------------------- payloads
@@ -71,12 +68,16 @@ def read_kafka_stream(spark, brokers: str, topic: str) -> DataFrame:
 # ---------------------------------------------------------------- keyed
 
 def keyed_latest(df: DataFrame, key: Column | str, value: Column | str,
-                 order: Sequence[str] = ("ts", "seq")) -> DataFrame:
-    """Last writer wins per key: (key, value) of the latest row by ``order``."""
+                 order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Last writer wins per key: (key, value) of the last arrival (by ``order``).
+
+    Each task keeps one row per key before the shuffle (a partial group limit).
+    """
     k = F.col(key) if isinstance(key, str) else key
     v = F.col(value) if isinstance(value, str) else value
-    return (df.select(k.alias("key"), v.alias("value"), F.struct(*[F.col(o) for o in order]).alias("_o"))
-            .groupBy("key").agg(F.max_by("value", "_o").alias("value")))
+    rows = df.select(k.alias("key"), v.alias("value"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
+    w = Window.partitionBy("key").orderBy(*[F.col(f"_o{i}").desc() for i in range(len(order))])
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select("key", "value")
 
 
 def merge_latest(existing: DataFrame | None, updates: DataFrame, key: str = "key") -> DataFrame:
@@ -146,7 +147,7 @@ def _stamp() -> str:
     return f"{int(time.time() * 1000)}-{os.urandom(3).hex()}"
 
 
-def foreach_batch_upsert(path: str, key_col: str, value_col: str, order: Sequence[str] = ("ts", "seq")):
+def foreach_batch_upsert(path: str, key_col: str, value_col: str, order: Sequence[str] = ("seq",)):
     """A ``foreachBatch`` function: reduce the micro-batch per key, then upsert."""
     def run(batch: DataFrame, batch_id: int) -> None:
         upsert_to_path(keyed_latest(batch, key_col, value_col, order), path)
@@ -154,7 +155,7 @@ def foreach_batch_upsert(path: str, key_col: str, value_col: str, order: Sequenc
 
 
 def jdbc_upsert(df: DataFrame, url: str, table: str, key: str, value: str,
-                order: Sequence[str] = ("ts", "seq"), key_col: str = "sensor",
+                order: Sequence[str] = ("seq",), key_col: str = "sensor",
                 value_col: str = "tempu", properties: dict | None = None,
                 driver: str | None = None, quote: str = '"', key_type: str = "VARCHAR(256)") -> None:
     """Update-else-insert into a JDBC table, one write per key.

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import exact_avg
 from tidemark.sources import readings as rd
 
 US = 1_000_000
@@ -67,7 +66,7 @@ def tumble_stream(df: DataFrame, size: str, delay: str, key: str = "id") -> Data
     """Tumbling event-time window on a stream with a bounded-disorder watermark
     (append mode emits each window once, when the watermark passes its end)."""
     return (df.withWatermark("ts", delay).groupBy(key, F.window("ts", size).alias("w"))
-            .agg(F.count(key).alias("cnt"), exact_avg("temp").alias("avg_temp"))
+            .agg(F.count(key).alias("cnt"), F.avg("temp").alias("avg_temp"))
             .select(key, "cnt", "avg_temp", F.col("w.end").cast("timestamp_ntz").alias("window_end")))
 
 
