@@ -157,16 +157,80 @@ def test_rising_alarm_edges(spark):
                    ("b", e + dt.timedelta(seconds=41))]
 
 
-def test_rising_alarm_distributed_chain_matches_fold(spark):
-    rows_ = [("k", t, float(t)) for t in range(0, 400, 3)]  # one long strictly rising run
-    df = rd.as_readings(rd.from_rows(spark, rows_))
-    folded = rows(alerts.rising_alarm(df, 10), "id", "alarm_ts")
-    spark.conf.set("spark.tidemark.alarm.maxFoldRows", "0")
-    try:
-        chained = rows(alerts.rising_alarm(df, 10), "id", "alarm_ts")
-    finally:
-        spark.conf.unset("spark.tidemark.alarm.maxFoldRows")
-    assert folded == chained and len(folded) == 34
+def test_rising_alarm_long_chain(spark):
+    df = rd.as_readings(rd.from_rows(spark, [("k", t, float(t)) for t in range(0, 400, 3)]))  # one strictly rising run
+    at, exp = None, []
+    for t in range(3, 400, 3):  # t = 0 does not rise above the initial 0.0
+        if at is None or t >= at:
+            at = t + 10
+            exp.append(at)
+    e = dt.datetime(1970, 1, 1)
+    assert rows(alerts.rising_alarm(df, 10), "alarm_ts") == [(e + dt.timedelta(seconds=t),) for t in exp]
+
+
+def test_rising_alarm_null_key_and_shared_seq(spark):
+    """Two keys with the same arrival numbers, one of them NULL: each has its own chain."""
+    data = [(k, t, float(t + 1), i) for k in (None, "a") for i, t in enumerate(range(0, 240, 4))]
+    df = rd.as_readings(spark.createDataFrame(data, "id string, timestamp long, temp double, seq long"))
+    got = [r.id for r in alerts.rising_alarm(df, 15).collect()]
+    assert got.count(None) == got.count("a") == 15
+    assert sorted(str(r.id) for r in alerts.rising_first_alarm(df, 15).collect()) == ["None", "a"]
+
+
+def test_arrival_order_decides(spark):
+    """Rows out of time order: keyed state sees them as they came."""
+    df = rd.as_readings(rd.from_rows(spark, [("a", 100, 0.0), ("a", 50, 50.0), ("a", 200, 5.0)]))
+    assert rows(alerts.temp_jump(df, 10.0), "last_temp", "temp") == [(0.0, 50.0), (50.0, 5.0)]
+    assert rows(writers.keyed_latest(df, "id", "temp")) == [("a", 5.0)]
+    assert [r.avg_temp for r in rolling.retract_avg(df).where("is_add").orderBy("seq").collect()] == [0.0, 25.0, 55.0 / 3]
+    tie = rd.as_readings(rd.from_rows(spark, [("a", 9, 1.0), ("a", 3, 1.0)]))
+    assert rolling.min_by_record(tie).first().timestamp == 9
+
+
+def test_averages_and_nan(spark):
+    nan = float("nan")
+    df = rd.as_readings(rd.from_rows(spark, [("t", 1, 1e-11), ("t", 2, 3e-11), ("b", 1, 1e30), ("n", 1, 1.0), ("n", 2, nan)]))
+    got = dict(rows(df.groupBy("id").agg(udfs.avg_temp("temp"))))
+    assert got["t"] == pytest.approx(2e-11) and got["b"] == 1e30 and got["n"] != got["n"]
+    red = dict((i, t) for i, _, t in rows(rolling.reduce_final(df)))
+    assert red["n"] != red["n"] and red["t"] == 1e-11
+    roll = [r.temp for r in rolling.rolling_reduce(df).where("id = 'n'").orderBy("seq").collect()]
+    assert roll[0] == 1.0 and roll[1] != roll[1]
+    win = windows.window_reduce(df, "1 hour").where("id = 'n'").first().temp
+    assert win != win
+    assert rolling.min_by_record(df).where("id = 'n'").first().temp == 1.0  # NaN orders last, final and rolling
+    assert [r.min_temp for r in rolling.rolling_min_by(df).where("id = 'n'").orderBy("seq").collect()] == [1.0, 1.0]
+
+
+def test_strict_parse_survives_pruning(spark):
+    bad = spark.createDataFrame([("x,notanumber,1.0",), ("a,1,2.0",)], "value string")
+    for use in (lambda d: d.select("id").collect(), lambda d: d.select("temp").collect(), lambda d: d.count(),
+                lambda d: rolling.group_count(d).collect()):
+        with pytest.raises(Exception, match="malformed reading"):
+            use(rd.parse_reading(bad))
+    piped = spark.createDataFrame([("a|1|2.5",)], "value string")
+    assert rows(rd.parse_reading(piped, sep="|")) == [("a", 1, 2.5)]
+
+
+def test_lines_are_numbered_in_file_order(spark, tmp_path):
+    (tmp_path / "part-0").write_text("first\n")
+    (tmp_path / "part-1").write_text("".join(f"line {i}\n" for i in range(500)))
+    got = [r.value for r in rd.read_lines(spark, str(tmp_path)).orderBy("seq").collect()]
+    assert got == ["first"] + [f"line {i}" for i in range(500)]
+
+
+def test_user_bodies(sensor):
+    got = windows.window_aggregate(sensor, [F.max("temp").alias("hi"), F.count(F.lit(1)).alias("n")], "1 hour")
+    assert got.columns == ["id", "window_start", "hi", "n"] and got.count() > 0
+    assert dict(rows(rolling.reduce_final(sensor, body=[F.sum("temp").alias("s")])))["sensor1"] == pytest.approx(85.09)
+
+
+def test_window_firings(spark):
+    """Counts of one window by hand: on time with two rows, then once for each late row within the lateness."""
+    df = rd.as_readings(rd.from_rows(spark, [("a", 1, 1.0), ("a", 4, 1.0), ("a", 40, 1.0), ("a", 2, 1.0), ("a", 3, 1.0), ("a", 500, 1.0), ("a", 5, 1.0)]))
+    df = df.withColumn("arrival", F.col("seq"))
+    got = sorted((r.window_start_ms, r.late, r.cnt) for r in watermark.window_firings(df, 10, 10, 5, 60).collect())
+    assert got == [(0, False, 2), (0, True, 3), (0, True, 4), (40000, False, 1), (500000, False, 1)]
 
 
 def test_hash_code(spark, sensor):

@@ -1,14 +1,15 @@
-"""The range-bucketed path of the ordered scans equals a plain per-key window.
+"""The bucketed ordered scans equal a plain per-key window.
 
 Bucket counts are forced (``n``) so that keys are cut into many buckets,
-some smaller than the look-back, and the global (no key) form is covered.
+some smaller than the look-back; the global (no key) form, NULL keys, NULL
+order values and hot keys are covered.
 """
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators import ordered
+from tidemark.operators import alerts, ordered, rolling, windows
 from tidemark.sources.readings import events_readings
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def ev(spark):
     return events_readings(spark, SF).cache()
 
 
-@pytest.mark.parametrize("n", [3, 16, 64])
+@pytest.mark.parametrize("n", [None, 3, 64])
 def test_running_matches_window(ev, n):
     aggs = {"c": ("count", None), "mx": ("max", "temp"), "mn": ("min", "temp"),
             "s": ("sum", F.col("temp").cast("decimal(38,10)")), "l": ("last", "temp")}
@@ -30,8 +31,6 @@ def test_running_matches_window(ev, n):
                     F.sum(F.col("temp").cast("decimal(38,10)")).over(w).alias("s"),
                     F.lag("temp").over(Window.partitionBy("id").orderBy("ts", "seq")).alias("l"))
     assert rows(got, "seq", "c", "mx", "mn", "s", "l") == rows(exp, "seq", "c", "mx", "mn", "s", "l")
-    plain = ordered.running(ev, ["id"], ["ts", "seq"], aggs, inclusive=False)
-    assert rows(plain, "seq", "c", "mx", "mn", "s", "l") == rows(exp, "seq", "c", "mx", "mn", "s", "l")
 
 
 @pytest.mark.parametrize("n", [2, 40])
@@ -51,77 +50,87 @@ def test_lookback_matches_window(ev, n, k):
     w = Window.partitionBy("id").orderBy("ts", "seq")
     exp = ev.select("seq", F.count(F.lit(1)).over(w.rowsBetween(-k, 0)).alias("cnt"),
                     F.min("temp").over(w.rowsBetween(-k, 0)).alias("mn"), F.lag("temp", k).over(w).alias("p"))
-    assert rows(got, "seq", "cnt", "mn", "p") == rows(exp, "seq", "cnt", "mn", "p")
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got.select("seq", "cnt", "mn", "p").collect()), key=key) == \
+        sorted(map(tuple, exp.collect()), key=key)
 
 
-def test_size_check_routes_heavy_keys_to_buckets(spark, ev):
-    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "10")
-    try:
-        assert not ordered.fits_one_task(ev, ["id"])
-        got = ordered.running(ev, ["id"], ["ts", "seq"], {"c": ("count", None)})
-        plan = got._jdf.queryExecution().analyzed().toString()
-        assert "_b" in plan  # the bucketed path ran
-    finally:
-        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
-    assert ordered.fits_one_task(ev, ["id"])
-
-
-def test_queries_agree_on_bucketed_path(spark):
-    import __spark_entry__ as E
-    names = ["rolling_count", "rolling_reduce", "rolling_min_by", "rolling_word_count", "session_count",
-             "count_window", "over_rows", "retract_avg", "watermark_periodic", "watermark_punctuated",
-             "max_disorder", "late_rows", "sliding_count_lateness", "temp_jump", "temp_jump_zero_seed",
-             "temp_jump_map", "rising_alarm", "rising_first_alarm"]
-    qs = E.queries()
-    plain = {n: rows(qs[n](spark, SF)) for n in names}
-    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "0")
-    try:
-        for n in names:
-            assert rows(qs[n](spark, SF)) == plain[n], n
-    finally:
-        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
+def test_null_keys_and_null_order_keep_their_context(spark):
+    data = [(None, i, float(i * 37 % 11)) for i in range(40)] + [("a", i, float(i * 17 % 7)) for i in range(40)]
+    df = spark.createDataFrame(data, "id string, seq long, temp double")
+    got = ordered.previous(df, ["id"], ["seq"], ["temp"], k=2, n=9)
+    w = Window.partitionBy("id").orderBy("seq")
+    exp = df.select("id", "seq", "temp", F.lag("temp", 1).over(w).alias("prev1_temp"), F.lag("temp", 2).over(w).alias("prev2_temp"))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, exp.collect()), key=key)
+    late = spark.createDataFrame([("a", None, 1.0), ("a", 5, 2.0), ("a", 6, 3.0)], "id string, seq long, temp double")
+    got = ordered.running(late, ["id"], ["seq"], {"c": ("count", None)}, n=4)
+    assert sorted((r.temp, r.c) for r in got.collect()) == [(1.0, 1), (2.0, 2), (3.0, 3)]
+
+
+def test_null_key_jumps_and_frames(spark):
+    data = [(None, i, float((i % 3) * 20), 100 + i) for i in range(40)]
+    df = spark.createDataFrame(data, "id string, seq long, temp double, timestamp long")
+    jumps = [(a, b) for a, b in zip([r[2] for r in data], [r[2] for r in data][1:]) if abs(a - b) > 10]
+    assert len(alerts.temp_jump(df, 10.0).collect()) == len(jumps)
+    assert sorted(r.cnt for r in windows.count_window(df, 3).collect())[:3] == [1, 2, 3]
 
 
 def test_hot_key_is_cut_into_balanced_buckets(spark):
-    """A key holding a third of all rows is spread over many buckets of
-    about equal size; no bucket is much larger than an even share."""
+    """A key holding a third of all rows is spread over many buckets of about equal size."""
     ev = events_readings(spark, "/root/testdata/sf0.01")
-    skewed = ev.withColumn("id", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("id")))
+    skewed = ev.withColumn("id", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("id"))).select("id", "ts", "seq")
     n = 16
-    b = ordered.range_buckets(skewed.select("id", "ts", "seq"), ["id"], ["ts", "seq"], n)
-    sizes = [r["count"] for r in b.groupBy(ordered.BUCKET).count().collect()]
-    total = sum(sizes)
-    assert max(sizes) <= 2.0 * total / n
-    hot = b.where("id = 'hot'").groupBy(ordered.BUCKET).count().collect()
-    assert len(hot) >= n // 4 and max(r["count"] for r in hot) <= 0.4 * sum(r["count"] for r in hot)
-    # and the running count over the skewed key is still exact
-    got = ordered.running(skewed.select("id", "ts", "seq"), ["id"], ["ts", "seq"], {"c": ("count", None)}, n=n)
-    exp = skewed.select("seq", F.row_number().over(Window.partitionBy("id").orderBy("ts", "seq")).alias("c"))
-    assert rows(got, "seq", "c") == rows(exp.withColumn("c", F.col("c").cast("bigint")), "seq", "c")
+    by = ordered.buckets(skewed, ["ts"], n)
+    b = skewed.withColumn("b", by.column)
+    sizes = [r["count"] for r in b.groupBy("b").count().collect()]
+    assert len(sizes) == n and max(sizes) <= 2.0 * sum(sizes) / n
+    hot = [r["count"] for r in b.where("id = 'hot'").groupBy("b").count().collect()]
+    assert len(hot) == n and max(hot) <= 0.2 * sum(hot)
+    got = ordered.running(skewed, ["id"], ["ts", "seq"], {"c": ("count", None)}, n=n)
+    exp = skewed.select("seq", F.row_number().over(Window.partitionBy("id").orderBy("ts", "seq")).cast("bigint").alias("c"))
+    assert rows(got, "seq", "c") == rows(exp, "seq", "c")
+
+
+def test_uneven_order_still_gives_even_buckets(spark):
+    """Nine tenths of the rows in a hundredth of the range: buckets follow the counts, not the range."""
+    df = spark.range(10_000).select((F.when(F.col("id") % 10 == 0, F.col("id") * 100).otherwise(F.col("id"))).alias("seq"))
+    by = ordered.buckets(df, ["seq"], 10)
+    sizes = [r["count"] for r in df.groupBy(by.column.alias("b")).count().collect()]
+    assert max(sizes) <= 2.5 * 1000
+
+
+def test_no_plan_gathers_base_rows_in_one_task(ev):
+    """Only per-bucket tables may meet in a single partition, and nothing is limited or sampled."""
+    for df in (rolling.rolling_count(ev), ordered.running(ev, [], ["ts", "seq"], {"m": ("max", "temp")}),
+               windows.over_rows(ev), alerts.temp_jump(ev)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Limit" not in plan.replace("WindowGroupLimit", "") and "Sample" not in plan
+        for at in [i for i in range(len(plan)) if plan.startswith("Exchange SinglePartition", i)]:
+            below = plan[at:].split("\n")[1]
+            assert "Aggregate" in below or "Project" in below  # the per-bucket summary
 
 
 def test_bucket_count_follows_data_size(spark, ev):
     total = ev.count()
-    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "50")
+    spark.conf.set(ordered.ROWS_PER_BUCKET_CONF, "50")
     try:
-        plain, n = ordered.plan_buckets(ev, ["id"])
-        assert not plain and n == max(4, -(-total // 50))
-        plain, n = ordered.plan_buckets(ev, [])
-        assert not plain and n == max(4, -(-total // 50))
+        assert ordered.buckets(ev, ["ts"]).count == max(4, -(-total // 50))
     finally:
-        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
-    assert ordered.plan_buckets(ev, ["id"]) == (True, 0)
+        spark.conf.unset(ordered.ROWS_PER_BUCKET_CONF)
+    assert ordered.buckets(ev, ["ts"]).count == 4
 
 
-def test_sampled_size_check_on_large_inputs(spark, monkeypatch):
-    ev10 = events_readings(spark, "/root/testdata/sf0.01")  # 10k rows, 5 keys of ~2k
-    monkeypatch.setattr(ordered, "SAMPLE_ROWS", 1000)
-    heaviest, total, estimated = ordered.measure(ev10, ["id"])
-    assert estimated and total == 10_000 and 1200 < heaviest < 3000
-    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "10000")
-    try:
-        assert ordered.plan_buckets(ev10, ["id"]) == (True, 0)  # ~2k < 10k / 2
-        spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "1000")
-        assert ordered.plan_buckets(ev10, ["id"]) == (False, 10)  # heavy: 10 buckets of <= 1k
-    finally:
-        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
+def test_text_order_is_refused(ev):
+    with pytest.raises(TypeError):
+        ordered.buckets(ev, ["id"])
+
+
+def test_top2_retract_follows_arrival(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 3.0), ("a", 3, 4.0), ("a", 4, 1.0), ("a", 5, 5.0), ("a", 6, float("nan"))],
+                               "id string, seq long, temp double")
+    low = -1.7976931348623157e308
+    got = sorted((r.seq, r.change, r["rank"], r.temp) for r in rolling.top2_retract(df).collect())
+    assert got == [(1, 1, 1, 5.0), (1, 1, 2, low), (2, 0, 1, 5.0), (2, 0, 2, low), (2, 1, 1, 5.0), (2, 1, 2, 3.0),
+                   (3, 0, 1, 5.0), (3, 0, 2, 3.0), (3, 1, 1, 5.0), (3, 1, 2, 4.0),
+                   (5, 0, 1, 5.0), (5, 0, 2, 4.0), (5, 1, 1, 5.0), (5, 1, 2, 5.0)]

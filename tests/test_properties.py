@@ -4,7 +4,7 @@ import re
 
 import __spark_entry__ as E
 from tidemark.functions import udfs
-from tidemark.operators import ordered, text
+from tidemark.operators import text
 
 
 def java_split(s: str, sep: str) -> list[str]:
@@ -40,37 +40,29 @@ def test_split_and_hash_match_models(spark):
         assert got[i][2] == java_hash(s), s
 
 
-def test_no_unkeyed_window_over_rows_when_bucketed(spark):
-    """With the bucketed path forced, a window without a partition key may
-    only run over the per-bucket table (ordered by the bucket id)."""
-    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "0")
+def test_no_unkeyed_window_over_rows(spark):
+    """A window without a partition key may only run over the per-bucket table (ordered by the bucket id)."""
     seen = 0
-    try:
-        for name in ["watermark_periodic", "late_rows", "max_disorder", "sliding_count_lateness"]:
-            df = E.queries()[name](spark, "/root/testdata/sf0.001")
-            df.collect()
-            plan = df._jdf.queryExecution().executedPlan().toString()
-            for line in plan.splitlines():
-                if "Window [" not in line:
-                    continue
-                tail = line[line.rfind(" AS "):]  # "... AS x], [partition], [order]" or "... AS x], [order]"
-                if tail.count("], [") == 1:  # no partition key
-                    assert tail.split("], [")[1].startswith("_b"), line
-                    seen += 1
-    finally:
-        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
-    assert seen >= 4  # the prefix over buckets is there, and nothing else is unkeyed
+    for name in ["watermark_periodic", "late_rows", "max_disorder", "sliding_count_lateness", "window_firings"]:
+        df = E.queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for line in plan.splitlines():
+            if "Window [" not in line:
+                continue
+            tail = line[line.rfind(" AS "):]  # "... AS x], [partition], [order]" or "... AS x], [order]"
+            if tail.count("], [") == 1:  # no partition key
+                assert tail.split("], [")[1].startswith("_b"), line
+                seen += 1
+    assert seen >= 5  # the prefix over buckets is there, and nothing else is unkeyed
 
 
-def test_spread_only_rebalances_narrow_inputs(spark):
-    from tidemark.session import spread
-    one = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    wide = spread(one)
-    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    already = one.repartition(spark.sparkContext.defaultParallelism + 3)
-    assert spread(already) is already
-    assert wide.count() == one.count()
+def test_sql_row_frames_split_the_key(spark):
+    df = E.queries()["over_rows_sql"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Window [" in line and ("avg(" in line or "count(temp" in line):
+            assert "_b" in line[line.rfind(" AS "):], line
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

@@ -5,6 +5,7 @@ lines carry ``seq`` as a fourth field. Watermark-driven outputs get a
 far-future flush row so every window and timer closes.
 """
 import os
+import sqlite3
 import tempfile
 
 import pytest
@@ -14,6 +15,7 @@ from conftest import SENSOR_LINES, rows
 from tidemark.operators import alerts, rolling, windows
 from tidemark.functions import udfs
 from tidemark.sinks import writers
+from tidemark.sources import readings as rd
 from tidemark.streaming import runner, stateful
 
 FLUSH = "zflush,1900000000,0.0"
@@ -108,7 +110,7 @@ def test_tumble_and_session_stream(spark, sensor):
     got = _drain(spark, runner.tumble_stream(s, "10 seconds", "1 second"), "tumble_s")
     table = windows.tumble(sensor, "10 seconds")
     assert rows(got.where("id <> 'zflush'")) == rows(table.select(*got.columns))
-    ses = _drain(spark, runner.session_stream(s, "1 minute", "5 seconds"), "session_s")
+    ses = _drain(spark, runner.session_stream(s, 60, "5 seconds"), "session_s")
     assert rows(ses.where("id <> 'zflush'")) == rows(windows.session_count(sensor, 60).select(*ses.columns))
 
 
@@ -158,16 +160,41 @@ def test_file_sinks_and_upsert(spark, sensor, stream_dir):
     assert rows(writers.read_upserted(spark, f"{base}/upsert")) == [("sensor1", 78.6), ("sensor4", 55.0)]
 
 
-def test_jdbc_upsert_embedded_derby(spark, sensor):
-    url = "jdbc:derby:memory:tidemark_test;create=true"
-    drv = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    props = {"driver": drv}
-    spark.createDataFrame([("sensor1", 1.0), ("other", 2.0)], "sensor string, tempu double") \
-        .write.jdbc(url, "temp", mode="overwrite",
-                    properties=dict(props, createTableColumnTypes="sensor VARCHAR(64)"))
-    writers.jdbc_upsert(sensor, url, "temp", "id", "temp", properties=props)
-    got = rows(spark.read.jdbc(url, "temp", properties=props))
-    assert got == [("other", 2.0), ("sensor1", 78.6), ("sensor4", 55.0)]
+def test_database_upsert(spark, sensor, tmp_path):
+    """Update, else insert, one write per key; a second run (a retry) changes nothing."""
+    db = str(tmp_path / "t.db")
+    con = sqlite3.connect(db)
+    con.execute("CREATE TABLE temp (sensor TEXT, tempu REAL)")
+    con.execute("INSERT INTO temp VALUES ('sensor1', 1.0), ('other', 2.0)")
+    con.commit()
+    for _ in range(2):
+        writers.dbapi_upsert(sensor, lambda: sqlite3.connect(db, timeout=60), "temp", "id", "temp")
+        assert sorted(con.execute("SELECT * FROM temp")) == [("other", 2.0), ("sensor1", 78.6), ("sensor4", 55.0)]
+    con.close()
+
+
+def test_three_field_lines_as_a_stream(spark, sensor):
+    d = tempfile.mkdtemp(prefix="tidemark-three-")
+    for i in range(0, len(SENSOR_LINES), 3):
+        with open(os.path.join(d, f"part-{i:04d}.txt"), "w") as f:
+            f.write("\n".join(SENSOR_LINES[i:i + 3]) + "\n")
+        os.utime(f.name, (1_600_000_000 + i, 1_600_000_000 + i))
+    out = stateful.apply(runner.readings_stream(spark, d), "id", stateful.TempJump(10.0), stateful.TempJump.SCHEMA)
+    got = rows(_drain(spark, out, "jumps3"), "id", "last_temp", "temp")
+    assert got == rows(alerts.temp_jump(sensor, 10.0), "id", "last_temp", "temp")
+
+
+def test_disordered_stream_does_not_depend_on_batch_cuts(spark):
+    """Arrival order decides, so two cuts of the same lines and the table form agree."""
+    lines = ["k,100,0.0", "k,50,50.0", "k,200,5.0", "k,10,90.0", "k,300,88.0", "k,20,1.0"]
+    table = rd.as_readings(rd.from_rows(spark, [(p[0], int(p[1]), float(p[2])) for p in (x.split(",") for x in lines)]))
+    for n, per in enumerate((1, 2, 6)):
+        s = runner.readings_stream(spark, _write_batches(lines, per))
+        jumps = stateful.apply(s, "id", stateful.TempJump(10.0), stateful.TempJump.SCHEMA)
+        assert rows(_drain(spark, jumps, f"cut_j{n}"), "last_temp", "temp") == rows(alerts.temp_jump(table, 10.0), "last_temp", "temp")
+        frames = stateful.apply(s, "id", stateful.LastRows(3), stateful.LastRows.SCHEMA)
+        assert rows(_drain(spark, frames, f"cut_f{n}"), "seq", "cnt", "min_temp") == \
+            rows(windows.count_window(table, 3).withColumnRenamed("min_temp", "m").select("seq", "cnt", "m"), "seq", "cnt", "m")
 
 
 def test_csv_table_stream(spark):
@@ -248,17 +275,23 @@ def test_labeled_lines(sensor):
     assert first == "result> sensor1,0.89"
 
 
-def test_upsert_rewrites_only_touched_buckets(spark):
-    base = tempfile.mkdtemp(prefix="tidemark-ups-")
-    t = f"{base}/t"
-    first = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "key string, value int")
-    v1 = writers.upsert_to_path(first, t, buckets=8)
-    second = spark.createDataFrame([("k3", -3), ("new", 1)], "key string, value int")
-    v2 = writers.upsert_to_path(second, t, buckets=8)
-    got = dict(rows(writers.read_upserted(spark, t)))
-    assert len(got) == 201 and got["k3"] == -3 and got["new"] == 1 and got["k4"] == 4
-    rewritten = {p for p in os.listdir(v2) if p.startswith("_bucket=")}
-    assert 1 <= len(rewritten) <= 2 and len({p for p in os.listdir(v1) if p.startswith("_bucket=")}) == 8
+def test_upsert_batches_replay_and_null_keys(spark):
+    t = f"{tempfile.mkdtemp(prefix='tidemark-ups-')}/t"
+    first = spark.createDataFrame([(f"k{i}", i) for i in range(200)] + [(None, 7)], "key string, value int")
+    second = spark.createDataFrame([("k3", -3), ("new", 1), (None, 8)], "key string, value int")
+    writers.upsert_to_path(first, t, 0)
+    for _ in range(2):  # the second time is a replay after a crash
+        writers.upsert_to_path(second, t, 1)
+        got = {r.key: r.value for r in writers.read_upserted(spark, t).collect()}
+        assert len(got) == 202 and got["k3"] == -3 and got["new"] == 1 and got["k4"] == 4 and got[None] == 8
+    assert writers.read_upserted(spark, t).count() == 202
+
+
+def test_documents_upserted_by_key(spark, stream_dir):
+    base = tempfile.mkdtemp(prefix="tidemark-doc-")
+    runner.run(runner.readings_stream(spark, stream_dir), "docup", _ckpt(), foreach_batch=writers.foreach_batch_documents(f"{base}/d"))
+    got = dict(rows(writers.read_upserted(spark, f"{base}/d")))
+    assert got["sensor4"] == '{"id":"sensor4","temp":"55.0","time":"1547740199"}' and len(got) == 2
 
 
 def test_reduce_and_min_by_streams(spark, sensor, stream_dir):
@@ -277,7 +310,7 @@ def test_grouped_documents_upserted_by_key(spark, stream_dir):
                          F.to_json(F.struct("id", F.col("count").cast("string").alias("count"))).alias("doc"))
 
     def upsert(batch, batch_id):
-        writers.upsert_to_path(batch, f"{base}/docs", key="key")
+        writers.upsert_to_path(batch, f"{base}/docs", batch_id)
     runner.run(docs, "docs", _ckpt(), mode="update", foreach_batch=upsert)
     got = dict(rows(writers.read_upserted(spark, f"{base}/docs")))
     assert got == {"sensor1": '{"id":"sensor1","count":"3"}', "sensor4": '{"id":"sensor4","count":"5"}'}

@@ -104,7 +104,7 @@ def buckets(df: DataFrame, order: Sequence[str], n: int | None = None) -> Bucket
         ids.append(min(n - 1, before * n // total))
         before += counts.get(i, 0)
     table = F.split(F.lit(",".join(map(str, ids))), ",").cast("array<int>")  # folded to one literal
-    return Buckets(F.coalesce(F.element_at(table, cell + 1), F.lit(-1)), n)
+    return Buckets(F.when(place.isNull(), F.lit(-1)).otherwise(F.element_at(table, cell + 1)), n)
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:

@@ -1,4 +1,4 @@
-"""Sinks: message payloads, keyed-latest upserts, JDBC upsert, files, positional insert.
+"""Sinks: message payloads, keyed-latest upserts, database upsert, files, positional insert.
 
 Payload builders return a column, so one function serves a batch write, a
 ``writeStream`` and a Kafka ``value``. Keyed sinks first reduce each key to
@@ -9,6 +9,7 @@ task) and then write every key once: no two tasks ever hold one key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,14 +45,6 @@ def parse_csv_payload(value: Column | str, schema: str) -> Column:
     return F.from_csv(v.cast("string"), schema)
 
 
-def kafka_value(df: DataFrame, payload: Column, key: Column | None = None) -> DataFrame:
-    """Shape rows for the Kafka sink: string ``value`` (and ``key``)."""
-    cols = [payload.cast("string").alias("value")]
-    if key is not None:
-        cols.insert(0, key.cast("string").alias("key"))
-    return df.select(*cols)
-
-
 def write_kafka_stream(df: DataFrame, brokers: str, topic: str, checkpoint: str):
     """Start a Kafka sink (needs the Kafka connector on the classpath)."""
     return (df.writeStream.format("kafka").option("kafka.bootstrap.servers", brokers)
@@ -80,108 +73,73 @@ def keyed_latest(df: DataFrame, key: Column | str, value: Column | str,
     return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select("key", "value")
 
 
-def merge_latest(existing: DataFrame | None, updates: DataFrame, key: str = "key") -> DataFrame:
-    """Upsert: rows of ``updates`` replace rows of ``existing`` with the same key."""
-    if existing is None:
-        return updates
-    return existing.join(updates.select(key), key, "left_anti").unionByName(updates)
-
+def upsert_to_path(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Add a batch of rows, one per key, to the keyed table at ``path``.
 
-UPSERT_BUCKETS = 64
+    Each batch is a folder of its own that a replay overwrites with the same
+    rows; nothing that is already there is read or rewritten, so a crash
+    leaves either the batch or its former state. ``read_upserted`` takes the
+    last batch of each key.
+    """
+    batch.write.format(fmt).mode("overwrite").save(f"{path}/batch={batch_id}")
 
 
-def upsert_to_path(batch: DataFrame, path: str, key: str = "key", fmt: str = "parquet",
-                   buckets: int = UPSERT_BUCKETS) -> str:
-    """Merge a batch of keyed rows into the table stored at ``path``.
+def read_upserted(spark, path: str, key: str = "key", fmt: str = "parquet") -> DataFrame:
+    """The current content of a keyed table: each key's row of the last batch that has it.
 
-    Without a transactional table format the table is kept as ``buckets``
-    hash buckets of the key. A batch rewrites only the buckets its keys fall
-    in: those buckets' current rows are read, rows whose key is in the batch
-    are replaced (anti-join + union), and the result is written to a new
-    version folder. A small manifest (bucket -> folder), written last and
-    named by ``path/_current``, makes the new version visible at once; a
-    replayed batch writes a fresh version and republishes. Cost per batch
-    grows with the touched buckets, not with the whole table.
+    A NULL key is a key. Each task keeps one row per key before the shuffle.
     """
-    spark = batch.sparkSession
-    b = F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("_bucket")
-    staged = batch.withColumn("_bucket", b)
-    touched = sorted(r[0] for r in staged.select("_bucket").distinct().collect())  # <= buckets values
-    manifest = _read_manifest(spark, path)
-    stamp = _stamp()
-    version = f"{path}/v-{stamp}"
-    old_dirs = [manifest[x] for x in touched if x in manifest]
-    merged = staged
-    if old_dirs:
-        existing = spark.read.format(fmt).load(old_dirs).withColumn("_bucket", b)
-        merged = existing.join(staged.select(key), key, "left_anti").unionByName(staged)
-    merged.write.format(fmt).mode("overwrite").partitionBy("_bucket").save(version)
-    for x in touched:
-        manifest[x] = f"{version}/_bucket={x}"
-    (spark.createDataFrame(sorted(manifest.items()), "bucket int, dir string").coalesce(1)
-     .write.mode("overwrite").parquet(f"{path}/_manifest/m-{stamp}"))
-    spark.createDataFrame([(f"{path}/_manifest/m-{stamp}",)], "current string").coalesce(1) \
-        .write.mode("overwrite").text(f"{path}/_current")
-    return version
-
-
-def _read_manifest(spark, path: str) -> dict[int, str]:
-    try:
-        cur = spark.read.text(f"{path}/_current").first()
-    except Exception:  # no table yet
-        return {}
-    if not cur:
-        return {}
-    return {r.bucket: r.dir for r in spark.read.parquet(cur[0]).collect()}  # <= buckets rows
-
-
-def read_upserted(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The current content of an ``upsert_to_path`` table."""
-    dirs = list(_read_manifest(spark, path).values())
-    return spark.read.format(fmt).load(dirs) if dirs else None
-
-
-def _stamp() -> str:
-    import os
-    import time
-    return f"{int(time.time() * 1000)}-{os.urandom(3).hex()}"
-
-
-def foreach_batch_upsert(path: str, key_col: str, value_col: str, order: Sequence[str] = ("seq",)):
-    """A ``foreachBatch`` function: reduce the micro-batch per key, then upsert."""
+    rows = spark.read.format(fmt).load(path)
+    w = Window.partitionBy(key).orderBy(F.col("batch").desc())
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r", "batch")
+
+
+def foreach_batch_upsert(path: str, key_col: str, value_col: Column | str, order: Sequence[str] = ("seq",)):
+    """A ``foreachBatch`` function: reduce the micro-batch to each key's last arrival, then upsert."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_to_path(keyed_latest(batch, key_col, value_col, order), path)
+        upsert_to_path(keyed_latest(batch, key_col, value_col, order), path, batch_id)
     return run
 
 
-def jdbc_upsert(df: DataFrame, url: str, table: str, key: str, value: str,
-                order: Sequence[str] = ("seq",), key_col: str = "sensor",
-                value_col: str = "tempu", properties: dict | None = None,
-                driver: str | None = None, quote: str = '"', key_type: str = "VARCHAR(256)") -> None:
-    """Update-else-insert into a JDBC table, one write per key.
+def foreach_batch_documents(path: str, key_col: str = "id", temp: str = "temp", time: str = "timestamp",
+                            order: Sequence[str] = ("seq",)):
+    """A ``foreachBatch`` function: JSON documents upserted by key, each key's
+    last document by arrival (the document index keyed by id)."""
+    return foreach_batch_upsert(path, key_col, document_json(key_col, temp, time), order)
 
-    The batch is reduced to the last row per key, written to a staging table
-    by Spark's JDBC writer (in parallel, one connection per task), and one
-    ``MERGE`` moves it into the target inside the database. The statement is
-    run by the JDBC source's ``sessionInitStatement`` when a one-row probe
-    is read, so no client code runs on the driver. Column names are quoted
-    with ``quote`` (Spark's writer creates quoted, case-kept names); the
-    staged key column is declared ``key_type`` so the database can compare it.
+
+def dbapi_upsert(df: DataFrame, connect, table: str, key: str, value: str, order: Sequence[str] = ("seq",),
+                 key_col: str = "sensor", value_col: str = "tempu", mark: str = "?", quote: str = "") -> None:
+    """Update, else insert, into a database table: one write per key.
+
+    Rows are reduced to one per key first, so no two tasks hold one key. Each
+    task opens a connection with ``connect()`` (a DB-API 2 factory that
+    executors can reach), updates every key and inserts those that were not
+    there, in one transaction. A retried task finds its keys and updates them
+    again. ``mark`` is the driver's parameter mark, ``quote`` the database's
+    identifier quote.
     """
-    props = dict(properties or {})
-    if driver:
-        props["driver"] = driver
-    latest = keyed_latest(df, key, value, order).select(
-        F.col("key").alias(key_col), F.col("value").alias(value_col))
-    stage = f"{table}_stage"
-    latest.write.jdbc(url, stage, mode="overwrite",
-                      properties=dict(props, createTableColumnTypes=f"{key_col} {key_type}"))
-    k, v = f"{quote}{key_col}{quote}", f"{quote}{value_col}{quote}"
-    merge = (f"MERGE INTO {table} t USING {stage} s ON t.{k} = s.{k} "
-             f"WHEN MATCHED THEN UPDATE SET {v} = s.{v} "
-             f"WHEN NOT MATCHED THEN INSERT ({k}, {v}) VALUES (s.{k}, s.{v})")
-    probe = dict(props, sessionInitStatement=merge)
-    df.sparkSession.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {stage}) p", properties=probe).collect()
+    k, v, t = (f"{quote}{c}{quote}" for c in (key_col, value_col, table))
+    update = f"UPDATE {t} SET {v} = {mark} WHERE {k} = {mark}"
+    insert = f"INSERT INTO {t} ({k}, {v}) VALUES ({mark}, {mark})"
+
+    def write(rows) -> None:
+        rows = iter(rows)
+        first = next(rows, None)
+        if first is None:
+            return
+        con = connect()
+        try:
+            cur = con.cursor()
+            for r in chain([first], rows):
+                cur.execute(update, (r["value"], r["key"]))
+                if cur.rowcount == 0:
+                    cur.execute(insert, (r["key"], r["value"]))
+            con.commit()
+        finally:
+            con.close()
+
+    keyed_latest(df, key, value, order).foreachPartition(write)
 
 
 def labeled(df: DataFrame, label: str) -> DataFrame:
@@ -206,15 +164,6 @@ def insert_by_position(df: DataFrame, sink_columns: Sequence[str]) -> DataFrame:
     return df.toDF(*sink_columns)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).csv(path)
-
-
-def write_text_lines(df: DataFrame, line: Column, path: str, mode: str = "append") -> None:
-    """Row-format file sink: one UTF-8 line per row."""
-    df.select(line.alias("value")).write.mode(mode).text(path)
-
-
 def foreach_batch_overwrite(path: str, fmt: str = "csv"):
     """A ``foreachBatch`` function writing the complete result each batch:
     how a grouped (updating) table reaches an append-only file sink."""

@@ -8,23 +8,54 @@ interval) so a restart on the same location continues where it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import nan_min
 from tidemark.sources import readings as rd
+from tidemark.streaming import stateful
 
 US = 1_000_000
 MS = 1_000
 
 
+def _line_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, second, file, start) to (value, place): second * 2**32 + the line's
+    byte place in its file. A piece of a file is read in order, by one task."""
+    piece, at = None, 0
+    for batch in batches:
+        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(0)), 0)) + 1
+        seconds, starts = np.asarray(batch.column(1)), np.asarray(batch.column(3))
+        files = np.asarray(batch.column(2).dictionary_encode().indices)
+        names = batch.column(2)
+        heads = np.flatnonzero(np.append(True, (files[1:] != files[:-1]) | (starts[1:] != starts[:-1]))) if len(files) else []
+        place = np.zeros(len(sizes), np.int64)
+        for i, j in zip(heads, [*heads[1:], len(sizes)]):
+            own = (names[int(i)].as_py(), int(starts[i]))
+            at = at if own == piece else own[1]
+            piece = own
+            ends = at + np.cumsum(sizes[i:j])
+            place[i:j] = (seconds[i:j].astype(np.int64) << 32) + ends - sizes[i:j]
+            at = int(ends[-1])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place)], names=["value", "place"])
+
+
 def readings_stream(spark: SparkSession, directory: str, fmt: str = "text",
                     files_per_trigger: int | None = 1, unit: str = "s",
                     schema: T.StructType | None = None) -> DataFrame:
-    """Readings from a folder: CSV lines (``fmt="text"``, seq = the line's
-    ``seq`` field if present, else taken from the file name and position is
-    not kept) or a table with (id, timestamp, temp, seq) columns.
+    """Readings from a folder: CSV lines (``fmt="text"``) or a table with
+    (id, timestamp, temp, seq) columns.
+
+    A line's arrival number ``seq`` is its fourth field; of a line with three
+    it is the second at which its file was written and the line's byte place
+    in the file, so files arrive in turn and lines in file order.
 
     The event time ``ts`` is a TIMESTAMP so it can carry a watermark.
     """
@@ -32,8 +63,12 @@ def readings_stream(spark: SparkSession, directory: str, fmt: str = "text",
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     if fmt == "text":
-        lines = r.format("text").load(directory)
-        parsed = rd.parse_reading(lines.withColumn("seq", F.element_at(F.split("value", ","), 4).cast("bigint")))
+        lines = r.format("text").load(directory).select(
+            "value", F.unix_seconds("_metadata.file_modification_time").alias("second"),
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        lines = lines.mapInArrow(_line_numbers, "value string, place bigint")
+        field = F.try_element_at(F.split("value", ","), F.lit(4)).cast("bigint")
+        parsed = rd.parse_reading(lines.select("value", F.coalesce(field, "place").alias("seq")))
     else:
         parsed = r.schema(schema or rd.SEQ_READING_SCHEMA).format(fmt).load(directory)
     out = rd.as_readings(parsed, unit=unit)
@@ -81,12 +116,13 @@ def sliding_count_stream(df: DataFrame, size: str, slide: str, delay: str, laten
             .select(key, (F.unix_micros(F.col("w.start")) / MS).cast("bigint").alias("window_start_ms"), "cnt"))
 
 
-def session_stream(df: DataFrame, gap: str, delay: str, key: str = "id") -> DataFrame:
-    """Session windows on a stream (append or complete mode)."""
-    return (df.withWatermark("ts", delay).groupBy(key, F.session_window("ts", gap).alias("s"))
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .select(key, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("s.end").cast("timestamp_ntz").alias("session_end"), "cnt"))
+def session_stream(df: DataFrame, gap_s: int, delay: str, key: str = "id") -> DataFrame:
+    """Session windows on a stream with the table form's rule (touching windows
+    merge; Spark's ``session_window`` would split at exactly the gap)."""
+    out = stateful.apply(df.withWatermark("ts", delay).select(key, "ts"), key, stateful.Sessions(gap_s),
+                         stateful.Sessions.SCHEMA, "append", "EventTime")
+    ntz = lambda c: F.timestamp_add("MILLISECOND", F.col(c), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return out.select(F.col("id").alias(key), ntz("session_start_ms").alias("session_start"), ntz("session_end_ms").alias("session_end"), "cnt")
 
 
 def running_count_stream(df: DataFrame, key: str = "id", name: str = "count") -> DataFrame:
@@ -98,7 +134,7 @@ def running_count_stream(df: DataFrame, key: str = "id", name: str = "count") ->
 def reduce_stream(df: DataFrame, key: str = "id") -> DataFrame:
     """The keyed reduce (max timestamp, min temp) on a stream, update mode:
     one refined row per changed key and micro-batch."""
-    return df.groupBy(key).agg(F.max("timestamp").alias("timestamp"), F.min("temp").alias("temp"))
+    return df.groupBy(key).agg(F.max("timestamp").alias("timestamp"), nan_min("temp").alias("temp"))
 
 
 def min_by_stream(df: DataFrame, key: str = "id") -> DataFrame:

@@ -3,7 +3,9 @@
 Spark hands each processor one key's rows of a micro-batch (Arrow batches
 as pandas frames) and its state; the stream is shuffled by key, state lives
 in the RocksDB store and is checkpointed with the query. Row order inside a
-micro-batch is not guaranteed, so every processor sorts by ``(ts, seq)``.
+micro-batch is not guaranteed, so every processor sorts: by arrival number
+(``seq``) where the reference sees rows as they come, so the answer does not
+depend on where batches are cut, and by ``(ts, seq)`` in event time.
 
 Each processor has a table twin in ``tidemark.operators`` (same output for
 the same rows once the stream is flushed); tests check the pairs agree.
@@ -13,7 +15,6 @@ Use ``apply(stream, key, processor)`` to run one.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -24,10 +25,11 @@ from tidemark.functions.udfs import DOUBLE_MIN
 from tidemark.operators.alerts import ALARM_PREFIX, ALARM_SUFFIX
 
 US = 1_000_000
-_Q = Decimal("1e-10")
+ARRIVAL = ("seq",)
+EVENT_TIME = ("ts", "seq")
 
 
-def _sorted(rows: Iterator[pd.DataFrame], by=("ts", "seq")) -> pd.DataFrame:
+def _sorted(rows: Iterator[pd.DataFrame], by=ARRIVAL) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
     return pdf.sort_values(list(by), kind="stable", ignore_index=True)
 
@@ -40,11 +42,6 @@ def _micros(ts: pd.Series) -> np.ndarray:
     return s.astype("datetime64[us]").astype("int64").to_numpy()
 
 
-def _dec(x: float) -> Decimal:
-    """A double as DECIMAL(38,10), the way the table forms sum it."""
-    return Decimal(repr(float(x))).quantize(_Q, rounding=ROUND_HALF_UP)
-
-
 def apply(stream: DataFrame, key: str, processor: StatefulProcessor, output_schema: str,
           output_mode: str = "append", time_mode: str = "None",
           event_time_col: str | None = None) -> DataFrame:
@@ -101,8 +98,8 @@ class TempJump(StatefulProcessor):
 
 class LastRows(StatefulProcessor):
     """Rows-based frames on a stream: for each row, the key's last ``n`` rows
-    (the row included). Emits count, average temp (exact decimal sum), max
-    timestamp and min temp: OVER ``n-1`` PRECEDING and the count window
+    (the row included). Emits count, average temp, max timestamp and
+    min temp (NaN if any is): OVER ``n-1`` PRECEDING and the count window
     with the reduce function. List state holds at most ``n-1`` rows."""
 
     SCHEMA = "id string, seq bigint, cnt bigint, avg_temp double, max_timestamp bigint, min_temp double"
@@ -119,21 +116,20 @@ class LastRows(StatefulProcessor):
         temps = [t for t, _ in tail] + pdf["temp"].tolist()
         stamps = [s for _, s in tail] + pdf["timestamp"].tolist()
         k, n = len(tail), self.n
-        # exact DECIMAL(38,10) sums as scaled integers, then the double cast
-        scaled = np.array([int(_dec(x).scaleb(10)) for x in temps], dtype=object)
-        csum = np.concatenate([[0], np.cumsum(scaled)])
         idx = np.arange(k, len(temps))
-        lo = np.maximum(0, idx - n + 1)
-        cnt = idx - lo + 1
-        sums = csum[idx + 1] - csum[lo]
-        avg = np.array([float(Decimal(int(x)).scaleb(-10)) for x in sums]) / cnt
-        roll_t = pd.Series(temps, dtype="float64").rolling(n, min_periods=1)
+        cnt = np.minimum(idx + 1, n)
+        # one column a place in the frame: at most n additions, each frame on its own
+        padded = np.concatenate([np.full(n - 1, np.nan), np.asarray(temps, dtype="float64")])
+        frames = np.lib.stride_tricks.sliding_window_view(padded, n)[k:]
+        inside = np.arange(n)[None, :] >= n - cnt[:, None]
+        avg = np.where(inside, frames, 0.0).sum(axis=1) / cnt
+        low = np.where(inside, frames, np.inf).min(axis=1)  # NaN wins, as in the table form
         roll_s = pd.Series(stamps, dtype="int64").rolling(n, min_periods=1)
         keep = max(0, len(temps) - (n - 1))
         self.buf.put(list(zip(temps[keep:], stamps[keep:])))
         yield pd.DataFrame({"id": key[0], "seq": pdf["seq"].to_numpy(), "cnt": cnt.astype("int64"),
                             "avg_temp": avg, "max_timestamp": roll_s.max().to_numpy()[k:].astype("int64"),
-                            "min_temp": roll_t.min().to_numpy()[k:]})
+                            "min_temp": low})
 
     def close(self) -> None:
         pass
@@ -145,8 +141,8 @@ class Sessions(StatefulProcessor):
     """Event-time session windows with the reference's merge rule: each row
     opens ``[t, t + gap)`` and sessions whose windows touch are merged (Spark's
     ``session_window`` splits at exactly the gap). Open sessions of a key are
-    kept in list state; they are disjoint, so a row's window merges in one
-    pass with every session it touches. A session is emitted when the
+    kept in list state; a batch's times and the open sessions merge in one sorted
+    pass, and state and timers are written once a batch. A session is emitted when the
     watermark passes its last instant (``end - 1 ms``); a row whose own window
     already closed is dropped, as the reference drops it without lateness.
     Output (id, session_start_ms, session_end_ms, cnt), end exclusive.
@@ -162,22 +158,28 @@ class Sessions(StatefulProcessor):
         self.open = handle.getListState("open", "start bigint, last bigint, cnt bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
+        times = np.sort(np.concatenate([_micros(pdf["ts"]) // 1000 for pdf in rows]))
         wm = timerValues.getCurrentWatermarkInMs()
-        sessions = [tuple(x) for x in self.open.get()] if self.open.exists() else []
-        for t in (_micros(pdf["ts"]) // 1000).tolist():
-            if wm is not None and wm > 0 and t + self.gap - 1 <= wm:
-                continue  # its window closed already
-            start, last, cnt, keep = t, t, 1, []
-            for s0, l0, c0 in sessions:
-                if s0 <= t + self.gap and l0 + self.gap >= t:  # touching windows merge
-                    self.handle.deleteTimer(l0 + self.gap - 1)
-                    start, last, cnt = min(start, s0), max(last, l0), cnt + c0
-                else:
-                    keep.append((s0, l0, c0))
+        if wm is not None and wm > 0:
+            times = times[times + self.gap - 1 > wm]  # the rest's windows closed already
+        before = [tuple(x) for x in self.open.get()] if self.open.exists() else []
+        # runs of the batch's times that touch, then runs of those and the open sessions
+        heads = np.flatnonzero(np.append(True, np.diff(times) > self.gap)) if len(times) else np.array([], dtype=int)
+        ends = np.append(heads[1:], len(times))
+        merged: list[tuple] = []
+        for start, last, cnt in sorted(before + [(int(times[i]), int(times[j - 1]), int(j - i)) for i, j in zip(heads, ends) if j > i]):
+            if merged and start <= merged[-1][1] + self.gap:
+                s0, l0, c0 = merged[-1]
+                merged[-1] = (s0, max(l0, last), c0 + cnt)
+            else:
+                merged.append((start, last, cnt))
+        old, new = {x[1] for x in before}, {x[1] for x in merged}
+        for last in old - new:
+            self.handle.deleteTimer(last + self.gap - 1)
+        for last in new - old:
             self.handle.registerTimer(last + self.gap - 1)
-            sessions = keep + [(start, last, cnt)]
-        self.open.put(sessions)
+        if merged:
+            self.open.put(merged)
         yield pd.DataFrame({"id": pd.Series([], dtype="object"), "session_start_ms": pd.Series([], dtype="int64"),
                             "session_end_ms": pd.Series([], dtype="int64"), "cnt": pd.Series([], dtype="int64")})
 
@@ -224,7 +226,7 @@ class RisingAlarm(StatefulProcessor):
         self.timer = handle.getValueState("timer", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
+        pdf = _sorted(rows, EVENT_TIME)
         last = self.last.get()[0] if self.last.exists() else 0.0
         timer = self.timer.get()[0] if self.timer.exists() else None
         fired = []
@@ -279,22 +281,23 @@ class StateTour(StatefulProcessor):
         self.value = handle.getValueState("last", "temp double")
         self.items = handle.getListState("items", "item string")
         self.by_ts = handle.getMapState("by_ts", "ts string", "temp double")
-        self.reduced = handle.getValueState("reduced", "max_timestamp bigint, min_temp double")
+        self.reduced = handle.getValueState("reduced", "max_timestamp bigint, min_temp double, list_len bigint, map_size bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
-        mx, mn = self.reduced.get() if self.reduced.exists() else (None, None)
-        for ts, temp in zip(pdf["timestamp"].tolist(), pdf["temp"].tolist()):
-            self.value.update((float(temp),))
-            self.items.appendValue((self.LIST_ENTRY,))
-            self.by_ts.updateValue((str(ts),), (float(temp),))
-            mx = ts if mx is None else max(mx, ts)
-            mn = temp if mn is None else min(mn, temp)
-        self.reduced.update((int(mx), float(mn)))
-        n_items = sum(1 for _ in self.items.get())
-        n_map = sum(1 for _ in self.by_ts.keys())
-        yield pd.DataFrame({"id": [key[0]], "last_temp": [self.value.get()[0]], "list_len": [n_items],
-                            "map_size": [n_map], "max_timestamp": [int(mx)], "min_temp": [float(mn)]})
+        temps, stamps = pdf["temp"].to_numpy(dtype="float64"), pdf["timestamp"].to_numpy()
+        mx, mn, n_items, n_map = self.reduced.get() if self.reduced.exists() else (None, None, 0, 0)
+        self.value.update((float(temps[-1]),))
+        self.items.appendList([(self.LIST_ENTRY,)] * len(pdf))  # one call a batch
+        for ts, temp in dict(zip(stamps.tolist(), temps.tolist())).items():  # the last temp of each time
+            n_map += not self.by_ts.containsKey((str(ts),))
+            self.by_ts.updateValue((str(ts),), (temp,))
+        mx = int(stamps.max()) if mx is None else max(mx, int(stamps.max()))
+        mn = float(temps.min()) if mn is None else float(np.minimum(mn, temps.min()))
+        n_items += len(pdf)
+        self.reduced.update((mx, mn, n_items, n_map))
+        yield pd.DataFrame({"id": [key[0]], "last_temp": [float(temps[-1])], "list_len": [n_items],
+                            "map_size": [n_map], "max_timestamp": [mx], "min_temp": [mn]})
 
     def close(self) -> None:
         pass
@@ -330,35 +333,28 @@ class Top2(StatefulProcessor):
 
 class RetractAvg(StatefulProcessor):
     """Retract changelog of the per-key running average, per record: state
-    (exact decimal sum, count); emits (false, old) and (true, new) pairs."""
+    (sum, count); emits (false, old) and (true, new) pairs."""
 
     SCHEMA = "id string, seq bigint, is_add boolean, change int, avg_temp double"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "s string, n bigint")
+        self.acc = handle.getValueState("acc", "s double, n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
-        if self.acc.exists():
-            s_txt, n = self.acc.get()
-            s = Decimal(s_txt)
-        else:
-            s, n = Decimal(0), 0
-        # running sums as exact scaled integers (DECIMAL(38,10)), then the double cast
-        base = int(s.scaleb(10))
-        scaled = np.array([int(_dec(t).scaleb(10)) for t in pdf["temp"].tolist()], dtype=object)
-        sums = base + np.cumsum(scaled) if len(scaled) else np.array([], dtype=object)
-        counts = n + np.arange(1, len(scaled) + 1)
-        new = np.array([float(Decimal(int(x)).scaleb(-10)) for x in sums]) / counts
-        old = np.concatenate([[float(s) / n if n else np.nan], new[:-1]])
-        first = np.isnan(old)
-        changed = ~first & (old != new)
+        s, n = self.acc.get() if self.acc.exists() else (0.0, 0)
+        sums = np.cumsum(np.concatenate([[s], pdf["temp"].to_numpy(dtype="float64")]))
+        counts = n + np.arange(len(sums))
+        with np.errstate(invalid="ignore"):
+            avg = sums / counts  # before the first row: 0 / 0
+        old, new = avg[:-1], avg[1:]
+        first = counts[:-1] == 0
+        changed = ~first & ~(np.abs(old - new) <= np.abs(new) * 1e-12)
         seq = pdf["seq"].to_numpy()
         adds = pd.DataFrame({"seq": seq[first | changed], "is_add": True, "change": 1,
                              "avg_temp": new[first | changed]})
         retracts = pd.DataFrame({"seq": seq[changed], "is_add": False, "change": 0, "avg_temp": old[changed]})
-        if len(scaled):
-            self.acc.update((str(Decimal(int(sums[-1])).scaleb(-10)), int(counts[-1])))
+        self.acc.update((float(sums[-1]), int(counts[-1])))
         out = pd.concat([retracts, adds], ignore_index=True)
         out.insert(0, "id", key[0])
         yield out
