@@ -1,0 +1,148 @@
+"""Language, toxicity and personal data: held-out accuracy, grammar rules, base patterns."""
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import langid, pii, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = langid.language_query(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert 0.2 < len(held) / len(rows) < 0.5 and all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held)
+
+
+def test_language_steps():
+    """Close relatives by their own machine: the model has one between families and one within each."""
+    model = langid.fit(["der die und das ist"] * 9 + ["the and of that is"] * 9 + ["le la et les est"] * 9 + ["el los y que es"] * 9,
+                       ["de"] * 9 + ["en"] * 9 + ["fr"] * 9 + ["es"] * 9)
+    assert sorted(model["machines"]) == [("family", "germanic", "romance"), ("language", "de", "en"), ("language", "es", "fr")]
+    out = langid.predict(model, langid.Grams(), ["und das ist die", "that is of the", "les et la", "los que es el", "", "123 ...", "\U0001f600"])
+    assert [x for x, _ in out] == ["de", "en", "fr", "es", "und", "und", "und"]
+
+
+def test_language_odd_rows(odd, empty):
+    got = {(r.doc_id, r.lang_pred, r.score) for r in langid.language_query(odd).collect()}
+    assert {(2, "und", 0.0), (3, "und", 0.0), (4, "und", 0.0), (9, "und", 0.0)} <= got and langid.language_query(odd).count() == odd.count()
+    assert langid.language_query(empty).count() == 0
+    out = langid.identify(odd, langid.train(odd))
+    assert set(out.columns) == set(odd.columns)
+    alone = langid.language_query(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert all(r.lang_pred == "und" for r in alone)
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity_query(docs, labels).join(labels, "doc_id").where("held_out and toxic is not null").collect()
+    toxic, clean = ([r.score for r in rows if r.toxic == k] for k in (1, 0))
+    auc = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean) / (len(toxic) * len(clean))
+    assert auc >= 0.93 and sum(r.predicted == r.toxic for r in rows) >= 0.97 * len(rows)
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_toxicity_grammar():
+    g = toxicity.Grammar({"idiot": 1.0}, {"moro": 0.5})
+    at = lambda t: {c for c, v in zip(toxicity.CONTEXTS, g.features(t)) if v > 0}
+    assert at("what an idiot") == {"I"} and at("you are an idiot") == {"I@"}
+    assert at("this is not an idiot") == {"I-"} and at("they said: that idiot") == {"I"}  # the colon ends the clause
+    assert at("they said that idiot went") == {'I"'} and at('he wrote "idiot"') == {'I"'}
+    assert at("they will kill you") == {"H@"} and at("kill it") == {"H"}
+    assert at("not now. an idiot") == {"I"} and at("you left. idiot") == {"I"} and at("morons") == {"I"} and at("clean words") == set()
+    assert at("not in any of these ways an idiot") == {"I"}  # out of the negation's reach
+
+
+def test_near_copies_give_no_insults():
+    rnd = random.Random(8)
+    some = lambda n: " ".join("".join(rnd.choices("bcdfghjklm", k=9)) for _ in range(n))
+    text = some(60)
+    toxic = [f"{text} nasty {some(1)}" for _ in range(40)] + [f"{some(3)} nasty {some(2)}" for _ in range(40)]
+    words, _ = toxicity.lexicon(toxic, [some(6) for _ in range(90)])
+    assert set(words) == {"nasty"}
+
+
+def test_toxicity_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (None, 1), (6, None), (10, 0), (11, 1)], "doc_id long, toxic int")
+    rows = toxicity.toxicity_query(odd, labels).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    none = labels.where("false")
+    assert {r.predicted for r in toxicity.toxicity_query(odd, none).collect()} == {0}
+    assert toxicity.toxicity_query(empty, labels).count() == 0
+
+
+def plain(t):
+    out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m.group())
+        if 14 <= len(d) <= 19 and pii.luhn(d):
+            out.append((m.start(), m.end(), "card"))
+    out += [(m.start(), m.end(), "phone") for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+    return pii.ordered(out)
+
+
+def test_base_patterns():
+    rnd = random.Random(5)
+    for _ in range(20_000):
+        t = "".join(rnd.choice("a@.1 2+5-()a.b@0 9\né") for _ in range(rnd.randint(0, 40)))
+        assert pii.ordered(pii.base_spans(t)) == plain(t), t
+    for t in ("4111 1111 1111 1111", "4111-1111-1111-1111 x", "٣@x.y 1.2.3.٤", "0001.2.3.4", "a@b.c@d.e", "+1 (909) 555-2931"):
+        assert pii.ordered(pii.base_spans(t)) == plain(t), t
+
+
+@pytest.mark.parametrize("text", ["x" * 100_000, "1" * 100_000, "@" * 50_000, "1." * 50_000, "a@" * 30_000, "1 " * 30_000])
+def test_long_runs_end_soon(text):
+    field = pii.Field({})
+    assert field.spans(text, pii.base_spans(text)) is not None
+
+
+def test_field_adds_and_keeps(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    keys = [(10**6 + i, f"some words and password={'%018x' % (7919 ** 5 * (i + 3))} more of version {i}.0 here") for i in range(300)]
+    field = pii.Field(pii.train(docs.select("doc_id", "text").union(spark.createDataFrame(keys, "doc_id long, text string"))))
+    t = 'mail a.b@c.example then token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and password=ddf1e956c916cc9e1a here, version 4.0.'
+    spans = field.spans(t, pii.base_spans(t))
+    assert set(pii.base_spans(t)) <= set(spans) and sum(k == "secret" for _, _, k in spans) == 2
+    clean = "It was version 4.0 of the text, licensed under CC BY-NC 4.0, in 1999, with 25 pages."
+    assert field.spans(clean, pii.base_spans(clean)) == []
+
+
+def test_marginals_sum_over_all_segmentations():
+    """Forward and backward sums against the enumeration of every segmentation."""
+    rnd = random.Random(6)
+    score = {(i, j, k): rnd.uniform(-1, 1) for i in range(4) for j in range(i + 1, min(4, i + 2) + 1) for k in ("p", "q")}
+    paths = []
+
+    def walk(at, path):
+        if at == 4:
+            paths.append(path)
+            return
+        walk(at + 1, path)
+        for s in score:
+            if s[0] == at:
+                walk(s[1], [*path, s])
+
+    walk(0, [])
+    weight = [math.exp(sum(score[s] for s in p)) for p in paths]
+    for s, p in pii.Field.marginals(4, score).items():
+        assert p == pytest.approx(sum(w for w, q in zip(weight, paths) if s in q) / sum(weight))
+    assert sorted(pii.Field().best(4, score)) == sorted(max(paths, key=lambda q: sum(score[s] for s in q)))
+
+
+def test_pii_odd_rows(odd, empty):
+    rows = pii.pii_query(odd).collect()
+    assert len(rows) == odd.count() and all(r.n_email == r.n_ip == r.n_card == r.n_phone == 0 for r in rows)
+    assert pii.pii_query(empty).count() == 0
+    masked = pii.masked(pii.find(odd, {}))
+    assert set(masked.columns) == set(odd.columns) - {"pii"} and masked.count() == odd.count()
+
+
+def test_masks(spark):
+    df = spark.createDataFrame([(1, "to a@b.cd, +1 (909) 555-2931 é."), (2, None)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.masked(pii.find(df, {})).collect()} == {1: "to <EMAIL>, <PHONE> é.", 2: None}

@@ -148,7 +148,7 @@ def features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -> list[s
         out.append(f"octets{all(len(p) < 4 and int(p) < 256 for p in parts)}")
     key = re.match(r"([A-Za-z_]+)\s?[=:]", s)
     if key:
-        out.append(f"key={key[1].lower()}")
+        out += [f"key={key[1].lower()}", f"keyword{key[1].lower() in KEYWORDS}"]
     if s[:1] == "+":
         out.append("plus")
     if re.fullmatch(r"[A-Z0-9]{16,}", s) and digits != s:

@@ -48,7 +48,7 @@ class Vocabulary:
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.get_piece_size()
         self.byte_id, self.surface, normal, score = {}, [], {}, {}
-        self.stripped = np.zeros(n, bool)
+        self.spaced = np.zeros(n, bool)  # pieces whose space is dropped in front of a text
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -60,6 +60,7 @@ class Vocabulary:
                 self.surface.append(" ⁇ ".encode())
             else:
                 normal[piece], score[i] = i, sp.get_score(i)
+                self.spaced[i] = piece.startswith(SPACE)
                 self.surface.append(piece.replace(SPACE, " ").encode())
         self.single = {p: i for p, i in normal.items() if len(p) == 1}
         rank = {i: r for r, i in enumerate(sorted(score, key=lambda i: (-score[i], i)))}
@@ -245,7 +246,12 @@ def decoder(model: bytes):
                 data = gather(vocabulary.surface_bytes, at[ids], size[ids])
                 ends = np.concatenate([[0], np.cumsum(size[ids])])[np.concatenate([[0], np.cumsum(counts)])]
                 data, ends = data.tobytes(), ends.tolist()
-                texts = [data[i:j].removeprefix(b" ").decode("utf-8", "each_bad_byte") for i, j in zip(ends, ends[1:])]
+                # the space in front goes if it belongs to the first piece that shows
+                shown = np.flatnonzero(size[ids] > 0)
+                bounds = np.concatenate([[0], np.cumsum(counts)])
+                first = np.searchsorted(shown, bounds)
+                drop = [int(k < m and vocabulary.spaced[ids[shown[k]]]) for k, m in zip(first, first[1:])]
+                texts = [data[i + d:j].decode("utf-8", "each_bad_byte") for i, j, d in zip(ends, ends[1:], drop)]
                 rows = batch.slice(start, 500)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 

@@ -55,8 +55,10 @@ def negation() -> Transducer:
 
 def reported() -> Transducer:
     """Insults after a reporting word, or inside quotation marks, to the clause's end."""
-    return {(0, "rep"): (1, "o"), (0, "quote"): (1, "o"), (1, "quote"): (0, "o"), (1, "rep"): (1, "o"),
-            (1, "I"): (1, "I\""), (1, "I-"): (1, "I\""), (1, "end"): (0, "end")}
+    arcs = {(0, "rep"): (1, "o"), (0, "quote"): (2, "o"), (1, "quote"): (2, "o"), (2, "quote"): (0, "o")}
+    for s in (1, 2):  # after a reporting word, inside quotation marks
+        arcs |= {(s, "rep"): (s, "o"), (s, "I"): (s, "I\""), (s, "I-"): (s, "I\""), (s, "end"): (0, "end")}
+    return arcs
 
 
 def aimed(symbol: str) -> Transducer:
