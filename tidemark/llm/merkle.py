@@ -45,23 +45,24 @@ def with_tree(df: DataFrame, text_col: str, prefix: str) -> DataFrame:
     return df.withColumn(f"{prefix}root", F.md5(F.array_join(sec, "").cast("binary"))).drop(end)
 
 
-def likeness(a: str, b: str) -> Column:
-    """0 to 1 for two trees by prefix: 1 at equal roots, else twice the shared distinct paragraphs over both counts.
+def likeness(a: str, b: str, equal: Column) -> Column:
+    """0 to 1 for two trees by prefix: 1 where ``equal``, else twice the shared distinct paragraphs over both counts.
 
-    Only two empty texts have no paragraph, and their roots are equal.
+    Only two empty texts have no paragraph, and they are equal.
     """
     shared = F.size(F.array_intersect(f"{a}paragraphs", f"{b}paragraphs"))
     both = F.size(F.array_distinct(f"{a}paragraphs")) + F.size(F.array_distinct(f"{b}paragraphs"))
-    return F.when(F.col(f"{a}root") == F.col(f"{b}root"), 1.0).otherwise(2.0 * shared / both)
+    return F.when(equal, 1.0).otherwise(2.0 * shared / both)
 
 
 def edits(a: str, b: str) -> Column:
-    """Where tree ``a`` differs from ``b``: places (from 1) of its paragraphs that ``b`` lacks, found below differing roots only."""
-    lacking = F.array_except(f"{a}paragraphs", f"{b}paragraphs")
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(f"{a}paragraphs"), F.lit(1))),
-                      lambda i: F.array_contains(lacking, F.element_at(f"{a}paragraphs", i)))
-    return F.when((F.col(f"{a}root") == F.col(f"{b}root")) | (F.size(f"{a}paragraphs") == 0),
-                  F.array().cast("array<int>")).otherwise(places)
+    """Where tree ``a`` differs from ``b``: places (from 1) of the sections of ``a`` that ``b`` lacks, none below equal roots.
+
+    The paragraphs of those sections, and no others, hold the edits.
+    """
+    lacking = F.array_except(f"{a}sections", f"{b}sections")
+    places = F.transform(lacking, lambda s: F.array_position(F.col(f"{a}sections"), s).cast("int"))
+    return F.when(F.col(f"{a}root") == F.col(f"{b}root"), F.array().cast("array<int>")).otherwise(places)
 
 
 def trees(docs: DataFrame) -> DataFrame:
@@ -107,17 +108,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text is the text with its last half replaced by as much of the
     next document's beginning. ``first_edit`` is the place (from 1) of the
-    first paragraph of the edited text that the text lacks, null if none.
+    first section of the edited text that the text lacks, null if none.
     """
     half = F.floor(F.col("n_chars") / 2).cast("int")
     df = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
     df = df.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")),
                                           F.substring("next", F.lit(1), half)))
-    for col, prefix in (("text", ""), ("edited", "edited_"), ("next", "next_")):
-        df = with_tree(df, col, prefix)
+    df = with_tree(with_tree(df, "text", ""), "edited", "edited_").withColumn("next_paragraphs", paragraphs(F.col("next")))
     return df.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                      F.col("root").alias("fingerprint"), F.col("edited_root").alias("edited_fingerprint"),
-                     likeness("", "edited_").alias("near_edited"), likeness("", "next_").alias("near_next"),
+                     likeness("", "edited_", F.col("root") == F.col("edited_root")).alias("near_edited"),
+                     likeness("", "next_", F.col("text") == F.col("next")).alias("near_next"),
                      F.get(edits("edited_", ""), F.lit(0)).alias("first_edit"))
 
 
@@ -138,5 +139,5 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, troot AS fingerprint, uroot AS edited_fingerprint,
        CASE WHEN troot = uroot THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(tp, up)) / (len(list_distinct(tp)) + len(list_distinct(up))) END AS near_edited,
        CASE WHEN troot = vroot THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(tp, vp)) / (len(list_distinct(tp)) + len(list_distinct(vp))) END AS near_next,
-       CASE WHEN troot = uroot THEN NULL ELSE CAST(list_filter(range(1, len(up) + 1), lambda i: NOT list_contains(tp, up[i]))[1] AS INTEGER) END AS first_edit
+       CASE WHEN troot = uroot THEN NULL ELSE CAST(list_filter(range(1, len(us) + 1), lambda i: NOT list_contains(ts, us[i]))[1] AS INTEGER) END AS first_edit
 FROM v_tree"""
