@@ -27,7 +27,7 @@ from tidemark.session import checkpoint_dir
 
 THRESHOLD = 0.9
 TREES, LEAF = 10, 256
-#: The tops are fitted on at most this many vectors, those with the least hash of their id.
+#: The tops are fitted on at most this many vectors, drawn by the hash of their id.
 SAMPLE = 16_384
 #: Vectors of a bucket, about; the tops split until a bucket expects so many, as far as the sample can tell.
 BUCKET, LEAST_SAMPLED = 4_096, 32
@@ -198,8 +198,9 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD, trees: in
     near = None
     for size, total in [tuple(r) for r in classes.groupBy(F.size("v").alias("size")).count().orderBy("size").collect()]:
         of = classes.where(F.size("v") == size)
-        sample = of.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow().column(0)
-        tops = fit_tops(unit(pa.chunked_array(sample).combine_chunks(), size), total, trees, threshold)
+        draw = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0
+        sample = of.where(draw < SAMPLE / total).select("id", "v").toArrow().sort_by("id").slice(0, SAMPLE).column("v")
+        tops = fit_tops(unit(sample.combine_chunks(), size), total, trees, threshold)
         placed = of.mapInArrow(assigner(tops, size), f"bucket long, id long, mult long, v {kind}")
         found = placed.groupBy("bucket").applyInArrow(comparer(size, threshold, leaf), "id long, near array<struct<id:long,mult:long>>, root long")
         near = found if near is None else near.union(found)

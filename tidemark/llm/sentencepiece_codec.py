@@ -30,7 +30,7 @@ from tidemark.llm.common import chunks
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
 #: Distinct words that a task remembers; at this number it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 def read_model(path: str) -> bytes:
@@ -81,7 +81,7 @@ class Vocabulary:
         code = np.full(0x110000, -1, np.int32)  # the piece of each character
         for c, i in self.single.items():
             code[ord(c)] = i
-        self.code = np.where(code < 0, -1 - np.arange(0x110000), code)
+        self.code = np.where(code < 0, -1 - np.arange(0x110000, dtype=np.int32), code)
         self.cut = re.compile(self._cuts(normal))
         sizes = np.array([len(x) for x in self.surface], np.int64)
         self.surface_at = np.concatenate([[0], np.cumsum(sizes)])
@@ -277,9 +277,23 @@ def decode(tokens: DataFrame, model: bytes) -> DataFrame:
     return tokens.mapInArrow(decoder(model), schema)
 
 
+def round_trip(docs: DataFrame, model: bytes) -> DataFrame:
+    """``docs`` (..., text) with ``ids`` and ``decoded`` in place of text: encode, then decode, in one
+    Python worker, so ids don't travel in between and a task needs one process."""
+    docs = docs.drop("ids", "decoded").withColumn("text", F.col("text").cast("string"))
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        untexted = (b.drop_columns(["text"]) for b in encoder(model)(batches))
+        yield from decoder(model)(untexted)
+
+    return docs.mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
-    tokens = decode(encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).drop("text"), model)
+    tokens = round_trip(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
     return tokens.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -313,10 +313,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     folder = f"{checkpoint_dir(spark)}/substrings-{uuid.uuid4().hex}"
     table = spark.sparkContext.broadcast(repeated_anchors(texts))
-    texts.mapInArrow(cut_blocks(table), "id long, ver int, start int, n int, anchor long, content long, inside boolean").write.parquet(folder)
-    blocks = spark.read.parquet(folder)
+    texts.mapInArrow(cut_blocks(table), "id long, ver int, start int, n int, anchor long, content long, inside boolean").write.parquet(f"{folder}/blocks")
+    blocks = spark.read.parquet(f"{folder}/blocks")
     place = F.struct("id", "start", "ver")
     first = blocks.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.max("inside").alias("inside"), F.first("n").alias("n"))
+    # written, so that the join below shuffles both its sides afresh and a block with very many places can be split
+    first.write.parquet(f"{folder}/first")
+    first = spark.read.parquet(f"{folder}/first")
     # every later place of an equal block is repeated whole
     known = first.where("times > 1").select(F.col("anchor").alias("a"), F.col("content").alias("c"), "first")
     copies = blocks.join(known, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c"))).where(
