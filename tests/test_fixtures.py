@@ -224,6 +224,20 @@ def test_user_bodies(sensor):
     assert got.columns == ["id", "window_start", "hi", "n"] and got.count() > 0
     assert dict(rows(rolling.reduce_final(sensor, body=[F.sum("temp").alias("s")])))["sensor1"] == pytest.approx(85.09)
 
+    def spread(key, start, pdf):
+        return pdf.iloc[:1][["id"]].assign(spread=pdf["temp"].max() - pdf["temp"].min())
+
+    whole = windows.window_process(sensor, spread, "id string, spread double", "1 day")
+    assert {i: round(v, 2) for i, v in rows(whole)} == {"sensor1": 77.71, "sensor4": 63.4}
+
+
+def test_csv_payload_is_strict(spark):
+    df = spark.createDataFrame([("a,1.5",), ("b,notanumber",)], "v string")
+    lenient = df.select(writers.parse_csv_payload("v", "id STRING, temp DOUBLE", strict=False).alias("p"))
+    assert [r.p.temp for r in lenient.collect()] == [1.5, None]
+    with pytest.raises(Exception):
+        df.select(writers.parse_csv_payload("v", "id STRING, temp DOUBLE").alias("p")).collect()
+
 
 def test_window_firings(spark):
     """Counts of one window by hand: on time with two rows, then once for each late row within the lateness."""

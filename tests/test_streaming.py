@@ -270,6 +270,17 @@ def test_streaming_word_count_drops_empty_words(spark):
     assert got["hello"] == 3 and got["ha"] == 3 and got["a"] == 1 and "" not in got
 
 
+def test_console_and_line_streams(spark, stream_dir):
+    q = writers.console_stream(runner.readings_stream(spark, stream_dir).select("id", "temp"), "result")
+    try:
+        q.processAllAvailable()
+        assert q.exception() is None and q.lastProgress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
+    finally:
+        q.stop()
+    lines = rd.read_lines_stream(spark, stream_dir, 1)
+    assert _drain(spark, lines, "lines_s").count() == len(SENSOR_LINES)
+
+
 def test_labeled_lines(sensor):
     first = writers.labeled(sensor.select("id", "temp").where("seq = 0"), "result").first().line
     assert first == "result> sensor1,0.89"

@@ -46,6 +46,19 @@ def window_aggregate(df: DataFrame, body: Sequence[Column], size: str, slide: st
             .select(key, F.col("w.start").alias("window_start"), *_names(df, body)))
 
 
+def window_process(df: DataFrame, body, schema: str, size: str, slide: str | None = None,
+                   key: str = "id", ts: str = "ts") -> DataFrame:
+    """A user's function over the whole rows of each window: ``body(key, window_start, rows)``
+    gets a pandas frame and returns one of ``schema``.
+
+    The rows of one (key, window) meet in one task, so prefer
+    ``window_aggregate`` where an aggregate can say it.
+    """
+    w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    rows = df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")).drop("_w")
+    return rows.groupBy(key, "window_start").applyInPandas(lambda k, pdf: body(k[0], k[1], pdf), schema)
+
+
 def _names(df: DataFrame, body: Sequence[Column]) -> list[str]:
     return df.limit(0).agg(*body).columns
 
@@ -136,5 +149,5 @@ def over_rows_sql(spark: SparkSession, view: str, preceding: int = 2) -> DataFra
         WHERE {ordered.CTX} = 0""")
 
 
-__all__ = ["tumble", "tumble_sql", "window_aggregate", "sliding_count", "window_reduce", "session_count",
+__all__ = ["tumble", "tumble_sql", "window_aggregate", "window_process", "sliding_count", "window_reduce", "session_count",
            "processing_time_tumble", "count_window", "over_rows", "over_rows_sql"]

@@ -39,10 +39,14 @@ def csv_payload(*cols: str) -> Column:
     return F.to_csv(F.struct(*[F.col(c) for c in cols]))
 
 
-def parse_csv_payload(value: Column | str, schema: str) -> Column:
-    """Decode a CSV message value (e.g. a Kafka ``value``) into a struct."""
+def parse_csv_payload(value: Column | str, schema: str, strict: bool = True) -> Column:
+    """Decode a CSV message value (e.g. a Kafka ``value``) into a struct.
+
+    A value that does not fit the schema fails the job, or with ``strict``
+    off gives NULL fields.
+    """
     v = F.col(value) if isinstance(value, str) else value
-    return F.from_csv(v.cast("string"), schema)
+    return F.from_csv(v.cast("string"), schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
 
 
 def write_kafka_stream(df: DataFrame, brokers: str, topic: str, checkpoint: str):
