@@ -48,8 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digest of what they decode to."""
     model = piece_model()
-    ids = sentencepiece_codec.encode(docs.select("doc_id", "text", "lang", "source"), model).drop("text")
-    return sentencepiece_codec.decode(ids, model).select(
+    return sentencepiece_codec.round_trip(docs.select("doc_id", "text", "lang", "source"), model).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
 
