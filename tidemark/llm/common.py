@@ -29,7 +29,7 @@ def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
-def chunks(batches: Iterator[pa.RecordBatch], size: int = 2_000_000, name: str = "text") -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], size: int = 1_000_000, name: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``size`` bytes of text.
 
     Whole rows stay together: a longer text makes a chunk of its own.

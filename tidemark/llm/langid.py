@@ -174,7 +174,7 @@ def fold(id_col: str, folds: int):
 def scorer(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for batch in chunks(batches, 1_000_000):
+        for batch in chunks(batches, 500_000):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             out = predict(model, grams, [t or "" for t in texts])
             found = [pa.array([x for x, _ in out], pa.string()), pa.array([p for _, p in out], pa.float64())]

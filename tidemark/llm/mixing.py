@@ -25,7 +25,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 17
 #: Documents that share a key bucket, about, if they were all of one source.
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 #: A line for each source is broadcast up to this many sources (100 bytes each).
 BROADCAST_SOURCES = 50_000
 

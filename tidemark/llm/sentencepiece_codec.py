@@ -30,7 +30,7 @@ from tidemark.llm.common import chunks
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
 #: Distinct words that a task remembers; at this number it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def read_model(path: str) -> bytes:
