@@ -212,3 +212,18 @@ def test_embeddings_odd_rows(spark):
     exp = [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), *[(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10)], (None, 0, None, False)]
     assert out == sorted(exp, key=repr)
     assert embedding_dedup.embedding_groups(df.where("false")).count() == 0
+
+@pytest.mark.parametrize("others", [500, 2_500])
+def test_embeddings_hot_group(spark, others):
+    """A group of distinct near-copies well above BUCKET loses next to none of its links, alone or among others."""
+    rng = np.random.default_rng(8)
+    hot = rng.standard_normal(32) + 0.22 * rng.standard_normal((6_000, 32))
+    x = np.concatenate([hot, rng.standard_normal((others, 32))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    rows = {r.vec_id: r for r in embedding_dedup.embedding_groups(df).collect()}
+    y = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    true = ((y @ y.T) >= embedding_dedup.THRESHOLD).sum(axis=1) - 1
+    got = np.array([rows[i].n_links for i in range(len(x))])
+    print("recall", got.sum() / true.sum(), got.sum(), true.sum())
+    assert true.sum() > 10_000_000 and (got <= true).all() and got.sum() >= 0.97 * true.sum()
+    assert len({rows[i].component_id for i in range(6_000) if true[i]}) == 1
