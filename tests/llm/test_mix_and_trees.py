@@ -89,6 +89,21 @@ def test_roots_and_edits(spark):
     assert not rows[2].same and 1 <= len(rows[2].at) <= 2 < rows[2].n and 0.9 < rows[2].near < 1.0
 
 
+def test_edits_by_place(spark):
+    """Edits are places of paragraphs, also where they are repeated, moved or removed."""
+    lines = [f"Line {i} says {i * i}\n" for i in range(60)]
+    swapped = [*lines[:10], lines[40], *lines[11:40], lines[10], *lines[41:]]
+    cases = [(["New here\n" if i in (7, 50) else x for i, x in enumerate(lines)], lines, [8, 51]),  # two edits far apart, one text
+             (lines[:30] + lines[3:5] + lines[30:], lines, [31, 32]),  # repeated
+             (swapped, lines, [11, 41]),  # moved
+             (lines[:20] + lines[25:], lines, [21]), (lines[:-1], lines, [60]), ([], lines, [1]),  # removed
+             (lines, [], list(range(1, 61))), (lines[:1] * 3, lines[:1] * 2, [3]), (lines, lines, [])]
+    df = spark.createDataFrame([(i, "".join(a), "".join(b)) for i, (a, b, _) in enumerate(cases)], "doc_id long, a string, b string")
+    t = merkle.with_tree(merkle.with_tree(df, "a", "a_"), "b", "b_").select("doc_id", merkle.edits("a_", "b_").alias("at"))
+    got = {r.doc_id: r.at for r in t.collect()}
+    assert [got[i] for i in range(len(cases))] == [at for *_, at in cases]
+
+
 def test_trees_odd_rows(odd, empty):
     out = merkle.fingerprints(odd).collect()
     assert len(out) == odd.count() and merkle.fingerprints(empty).count() == 0

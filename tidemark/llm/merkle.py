@@ -10,6 +10,8 @@ sections, then differing paragraphs, need a look.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,14 +57,75 @@ def likeness(a: str, b: str, equal: Column) -> Column:
     return F.when(equal, 1.0).otherwise(2.0 * shared / both)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _shared(a: Column, b: Column) -> Column:
+    """(before, after) of two differing arrays: how many leading, then trailing elements they share."""
+    places = F.sequence(F.lit(1), F.greatest(F.size(a), F.size(b), F.lit(1)))
+    before = F.get(F.filter(places, lambda i: ~F.get(a, i - 1).eqNullSafe(F.get(b, i - 1))), F.lit(0)) - 1
+    after = F.get(F.filter(places, lambda i: ~F.get(a, F.size(a) - i).eqNullSafe(F.get(b, F.size(b) - i))), F.lit(0)) - 1
+    return _let(before, lambda n: F.struct(n.alias("before"), F.least(after, F.least(F.size(a), F.size(b)) - n).alias("after")))
+
+
+def _inside(a: Column, b: Column, body: Callable[[Column, Column, Column], Column]) -> Column:
+    """``body`` of how many leading elements two differing arrays share and of what lies between the shared ends of each."""
+    def cut(x: Column, ends: Column) -> Column:
+        return F.slice(x, ends["before"] + 1, F.size(x) - ends["before"] - ends["after"])
+
+    return _let(_shared(a, b), lambda ends: _let(F.struct(ends["before"].alias("n"), cut(a, ends).alias("a"), cut(b, ends).alias("b")),
+                                                 lambda s: body(s["n"], s["a"], s["b"])))
+
+
+def _sections(prefix: str) -> Column:
+    """A tree's sections as structs (node, paragraphs)."""
+    return _let(F.struct(F.col(f"{prefix}paragraphs").alias("p"), F.col(f"{prefix}sections").alias("s")), lambda t: _let(
+        F.filter(F.sequence(F.lit(1), F.greatest(F.size(t["p"]), F.lit(1))),
+                 lambda i: (i == F.size(t["p"])) | F.substring(F.get(t["p"], i - 1), 1, 1).isin(*CLOSING)),
+        lambda ends: F.transform(t["s"], lambda node, k: F.struct(node.alias("node"), F.slice(
+            t["p"], F.coalesce(F.get(ends, k - 1), F.lit(0)) + 1, F.get(ends, k) - F.coalesce(F.get(ends, k - 1), F.lit(0))).alias("p")))))
+
+
 def edits(a: str, b: str) -> Column:
-    """Where tree ``a`` differs from ``b``: places (from 1) of the sections of ``a`` that ``b`` lacks, none below equal roots.
+    """Where tree ``a`` differs from ``b``: places (from 1) of paragraphs of ``a``, none below equal roots.
 
-    The paragraphs of those sections, and no others, hold the edits.
+    Sections that both share at their beginning and end are skipped, then such paragraphs. Of those between, the
+    places are of each that ``b`` has fewer times up to there. If there is none (paragraphs were moved,
+    removed or less often repeated), they are of each that ``b`` has not at the same place; if nothing is
+    between, the place that follows the shared beginning, where ``b`` has more.
     """
+    def places(n: Column, x: Column, y: Column) -> Column:
+        every = F.sequence(F.lit(1), F.greatest(F.size(x), F.lit(1)))
+
+        def times(of: Column, p: Column) -> Column:
+            return F.size(F.filter(of, lambda q: q == p))
+
+        lacking = F.filter(every, lambda i: _let(F.get(x, i - 1), lambda p: times(F.slice(x, F.lit(1), i), p) > times(y, p)))
+        moved = F.filter(every, lambda i: ~F.get(x, i - 1).eqNullSafe(F.get(y, i - 1)))
+        found = F.when(F.size(x) == 0, F.array(F.lit(1))).otherwise(_let(lacking, lambda at: F.when(F.size(at) > 0, at).otherwise(moved)))
+        return F.transform(found, lambda i: (i + n).cast("int"))
+
+    def flat(sections: Column) -> Column:
+        return F.flatten(F.transform(sections, lambda s: s["p"]))
+
+    def below(n: Column, x: Column, y: Column) -> Column:
+        return _let(F.struct(flat(x).alias("x"), flat(y).alias("y")), lambda s: _inside(
+            s["x"], s["y"], lambda more, u, v: places(n + more, u, v)))
+
+    def paragraphs_before(sections: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(sections, F.lit(1), n), F.lit(0), lambda total, s: total + F.size(s["p"]))
+
+    differing = _let(F.struct(_sections(a).alias("x"), _sections(b).alias("y")), lambda t: _inside(
+        t["x"], t["y"], lambda n, x, y: below(paragraphs_before(t["x"], n), x, y)))
+    return F.when(F.col(f"{a}root") == F.col(f"{b}root"), F.array().cast("array<int>")).otherwise(differing)
+
+
+def first_section(a: str, b: str) -> Column:
+    """Place (from 1) of the first section of tree ``a`` that ``b`` lacks, null if none."""
     lacking = F.array_except(f"{a}sections", f"{b}sections")
-    places = F.transform(lacking, lambda s: F.array_position(F.col(f"{a}sections"), s).cast("int"))
-    return F.when(F.col(f"{a}root") == F.col(f"{b}root"), F.array().cast("array<int>")).otherwise(places)
+    return F.when(F.col(f"{a}root") != F.col(f"{b}root"), F.array_position(F.col(f"{a}sections"), F.get(lacking, F.lit(0))).cast("int"))
 
 
 def trees(docs: DataFrame) -> DataFrame:
@@ -114,12 +177,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     df = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
     df = df.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")),
                                           F.substring("next", F.lit(1), half)))
-    df = with_tree(with_tree(df, "text", ""), "edited", "edited_").withColumn("next_paragraphs", paragraphs(F.col("next")))
+    for col, prefix in (("text", ""), ("edited", "edited_"), ("next", "next_")):
+        df = with_tree(df, col, prefix)
     return df.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                      F.col("root").alias("fingerprint"), F.col("edited_root").alias("edited_fingerprint"),
                      likeness("", "edited_", F.col("root") == F.col("edited_root")).alias("near_edited"),
-                     likeness("", "next_", F.col("text") == F.col("next")).alias("near_next"),
-                     F.get(edits("edited_", ""), F.lit(0)).alias("first_edit"))
+                     likeness("", "next_", F.col("root") == F.col("next_root")).alias("near_next"),
+                     first_section("edited_", "").alias("first_edit"))
 
 
 _SQL_TREE = """
