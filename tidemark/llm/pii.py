@@ -1,7 +1,7 @@
 """Personal data by fixed patterns and a semi-Markov conditional random field.
 
 Four base patterns (email, ip, card, phone) always hold. Around every token
-with a digit or an @ the field then scores whole candidate spans of up to
+with a digit, an @, a key word and separator or a known key prefix the field then scores whole candidate spans of up to
 four tokens: their shape, length, checksum and the word before. Dynamic programming over bounded spans picks
 boundaries and kinds together; what it finds clear of the base spans
 is added. It is fitted by likelihood on a bounded sample of texts marked by the
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -29,7 +29,7 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
 #: Tokens of a candidate span, at most, and of context on both sides of an island.
 LONGEST, CONTEXT = 4, 3
-#: Texts to fit on: at most this many with a digit or @, those with the least hash of their id.
+#: Texts to fit on: at most this many with a signal, those with the least hash of their id.
 FIT_ROWS, EPOCHS, RATE, RIDGE = 400, 12, 0.3, 1e-4
 #: A span is added if this likely given its island.
 SURE = 0.5
@@ -42,7 +42,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A key word, a separator and the value; or a well-known key prefix. Used to mark the fitting sample only.
 SECRET = re.compile(r"(?i:\b(?:password|passwd|token|secret|api_?key)\b)\x20?[=:]\x20?\"?[A-Za-z0-9_-]{8,}\"?|\b(?:AKIA|ASIA)[A-Z0-9]{12,}")
 KEYWORDS = frozenset("password passwd token secret key apikey api_key email mail ip card phone tel version license".split())
-SIGNAL = re.compile(r"[0-9@]")
+#: What makes a span a candidate whatever else it holds; SECRET marks nothing without one.
+KEYED = re.compile(r"(?i:\b(?:password|passwd|token|secret|api_?key)\b)\x20?[=:]|\b(?:AKIA|ASIA)[A-Z0-9]{12,}")
+SIGNAL = re.compile(KEYED.pattern + "|[0-9@]")
 #: A token never spans this many characters; longer ones are cut, so a text without spaces stays bounded in work.
 TOKEN = re.compile(r"\S{1,200}")
 EDGES = ".,;:!?\"'()[]{}<>|*#%&$"
@@ -91,19 +93,30 @@ def listed(spans: list[Span]) -> str:
 
 
 def islands(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of tokens (start, end) around those with a digit or @, with CONTEXT tokens before and after."""
-    hits = [m.start() for m in SIGNAL.finditer(text)]
+    """Runs of tokens (start, end) around those with a signal, with CONTEXT tokens before and after.
+
+    No token is cut at an end of its run; of a word without spaces longer than tokens are, up to CONTEXT more tokens belong to it.
+    """
+    hits = [m.span() for m in SIGNAL.finditer(text)]
+    ends = [b for _, b in hits]
     reach, done = 0, 0
     while reach < len(hits):
-        first = last = hits[reach]
+        first = last = hits[reach][0]
         left = max(text.rfind("\n", done, first) + 1, first - 60, done)
-        while reach < len(hits) and hits[reach] - last <= 60 and last - first < 2_000:
-            last = hits[reach]
-            reach += 1
-        tokens = [m.span() for m in TOKEN.finditer(text, left, min(len(text), last + 60))]
-        if left and left > done and not text[left - 1].isspace() and tokens:
-            tokens = tokens[1:] if tokens[0][1] <= first else tokens  # a cut word
-        inside = [i for i, (a, b) in enumerate(tokens) if SIGNAL.search(text, a, b)]
+        head = text[max(done, left - 200 * CONTEXT):left]
+        left -= len(re.search(r"\S*\Z", head).group())
+        tokens, more = [], 0
+        for m in TOKEN.finditer(text, left):
+            a, b = m.span()
+            while reach < len(hits) and last - first < 2_000 and (hits[reach][0] < b or hits[reach][0] - last <= 60):
+                last = hits[reach][1] - 1
+                reach += 1
+            if a >= last + 60:
+                more += 1
+                if not tokens or tokens[-1][1] != a or more > CONTEXT:
+                    break
+            tokens.append((a, b))
+        inside = [i for i, (a, b) in enumerate(tokens) if (k := bisect_right(ends, a)) < len(hits) and hits[k][0] < b]
         if inside:
             tokens = tokens[max(0, inside[0] - CONTEXT):inside[-1] + 1 + CONTEXT]
             done = tokens[-1][0]
@@ -118,10 +131,15 @@ def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start + left, max(start + right, start + left)
 
 
+def covers(text: str, tokens: list[tuple[int, int]], i: int, j: int, a: int, b: int) -> bool:
+    """Whether tokens i to j are just those that a to b lies in: a key's value may go on in its last token."""
+    return tokens[i][0] <= a < tokens[i][1] and tokens[j - 1][0] < b <= tokens[j - 1][1]
+
+
 def likely(s: str) -> bool:
-    """Whether a span holds enough to be of any kind: an @, six digits, points between digits, or a digit in a long token or beside a key."""
+    """Whether a span holds enough to be of any kind: an @, six digits, points between digits, a key word and separator, or a digit in a long token or beside a key."""
     digits = sum(map(s.count, "0123456789"))
-    return "@" in s or digits >= 6 or digits > 0 and ("=" in s or s.count(".") >= 3 or max(map(len, s.split())) >= 16)
+    return "@" in s or digits >= 6 or digits > 0 and ("=" in s or s.count(".") >= 3 or max(map(len, s.split())) >= 16) or KEYED.search(s) is not None
 
 
 def shape(s: str) -> str:
@@ -223,7 +241,7 @@ class Field:
                 true = set()
                 for i, j in feats:
                     span = trimmed(text, tokens[i][0], tokens[j - 1][1])
-                    true |= {(i, j, k) for a, b, k in gold if (a, b) == span or (k in ("phone", "card") and trimmed(text, a, b) == span)}
+                    true |= {(i, j, k) for a, b, k in gold if (k == "secret" and covers(text, tokens, i, j, a, b)) or (a, b) == span or (k in ("phone", "card") and trimmed(text, a, b) == span)}
                 cases.append((len(tokens), feats, true))
         for epoch in range(EPOCHS):
             rate = RATE / (1 + epoch / 4)
@@ -239,18 +257,19 @@ class Field:
     def spans(self, text: str, base: list[Span]) -> list[Span]:
         """Base spans and those that the field adds clear of them."""
         out = list(base)
-        taken = sorted((a, b) for a, b, _ in base)
+        taken, done = sorted((a, b) for a, b, _ in base), 0
         for tokens in islands(text):
             _, score = self.lattice(text, tokens)
             found = self.best(len(tokens), score)
             if not found:
                 continue
             chance = self.marginals(len(tokens), score)
-            for i, j, k in found:
+            for i, j, k in sorted(found):
                 a, b = trimmed(text, tokens[i][0], tokens[j - 1][1])
                 near = [s for s in taken if s[0] < b and a < s[1]] if len(taken) < 50 else overlapping(taken, a, b)
-                if b > a and not near and chance[i, j, k] >= SURE:
+                if b > a >= done and not near and chance[i, j, k] >= SURE:  # an island's last tokens may begin the next one
                     out.append((a, b, k))
+                    done = b
         return out
 
 
@@ -261,11 +280,11 @@ def overlapping(taken: list[tuple[int, int]], a: int, b: int) -> list[tuple[int,
 
 
 def train(docs: DataFrame) -> dict[tuple[str, str], float]:
-    """Weights of the field, from about FIT_ROWS whole texts with a digit or @, drawn by the hash of their id; no labels.
+    """Weights of the field, from about FIT_ROWS whole texts with a signal, drawn by the hash of their id; no labels.
 
     The draw is a share of the ids, so a task sends its share only; what exceeds FIT_ROWS is left.
     """
-    rows = id_text(docs).where(F.col("text").rlike("[0-9@]"))
+    rows = id_text(docs).where(F.col("text").rlike(SIGNAL.pattern))
     share = FIT_ROWS / max(rows.count(), 1)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     got = sorted((r["draw"], r["text"]) for r in rows.where(draw < share).select(draw.alias("draw"), "text").collect())
