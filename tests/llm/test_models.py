@@ -58,6 +58,15 @@ def test_toxicity_grammar():
     assert at("not in any of these ways an idiot") == {"I"}  # out of the negation's reach
 
 
+def test_toxicity_long_clause():
+    """What stands more than 200 tokens before an insult in its clause still counts."""
+    g, filler = toxicity.Grammar({"idiot": 1.0}, {}), "word " * 500
+    at = lambda t: {c for c, v in zip(toxicity.CONTEXTS, g.features(t)) if v > 0}
+    assert at(f"you {filler} idiot") == {"I@"} and at(f'" {filler} idiot') == {"I\""} == at(f"said {filler} idiot")
+    assert at(f'" a " {filler} idiot') == {"I"} == at(f"you. {filler} idiot")
+    assert at(f"you {filler} kill") == {"H@"}
+
+
 def test_near_copies_give_no_insults():
     rnd = random.Random(8)
     some = lambda n: " ".join("".join(rnd.choices("bcdfghjklm", k=9)) for _ in range(n))
@@ -113,15 +122,6 @@ def test_field_adds_and_keeps(spark):
     assert field.spans(clean, pii.base_spans(clean)) == []
 
 
-def test_marginals_sum_over_all_segmentations():
-    """Forward and backward sums against the enumeration of every segmentation."""
-    rnd = random.Random(6)
-    score = {(i, j, k): rnd.uniform(-1, 1) for i in range(4) for j in range(i + 1, min(4, i + 2) + 1) for k in ("p", "q")}
-    paths = []
-
-    def walk(at, path):
-        if at == 4:
-            paths.append(path)
 def test_every_secret_is_a_candidate():
     """Each span that SECRET marks lies whole in a scored span, which training marks."""
     tail = "".join(random.Random(4).choice("abcdefgh") for _ in range(150))
@@ -140,6 +140,15 @@ def test_every_secret_is_a_candidate():
     assert len(found) == len(set(found)) and "password: hunterabc" in [text[a:b] for a, b, _ in found]
 
 
+def test_marginals_sum_over_all_segmentations():
+    """Forward and backward sums against the enumeration of every segmentation."""
+    rnd = random.Random(6)
+    score = {(i, j, k): rnd.uniform(-1, 1) for i in range(4) for j in range(i + 1, min(4, i + 2) + 1) for k in ("p", "q")}
+    paths = []
+
+    def walk(at, path):
+        if at == 4:
+            paths.append(path)
             return
         walk(at + 1, path)
         for s in score:

@@ -119,7 +119,7 @@ class Grammar:
             if i <= done:
                 continue  # its clause was scored
             start = i
-            while start > 0 and symbols[start - 1][0] != "end" and i - start < 200:
+            while start > 0 and symbols[start - 1][0] != "end":
                 start -= 1
             state, clause, at = 0, 0.0, start
             while at < len(symbols) and (symbols[at][0] != "end" or at < i):
