@@ -5,25 +5,11 @@ import tempfile
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from fixture_rows import SENSOR_LINES  # noqa: E402
 from tidemark.session import get_spark  # noqa: E402
 
-# The reference's two text fixtures and its in-code collection.
-SENSOR_LINES = [
-    "sensor1,1547718199,0.89",
-    "sensor1,1547719099,5.6",
-    "sensor1,1547729799,78.6",
-    "sensor4,1547740199,35.6",
-    "sensor4,1547740199,88",
-    "sensor4,1547740199,99",
-    "sensor4,1547740199,66",
-    "sensor4,1547740199,55",
-]
-HELLO_LINES = ["hello flink", "hello java", "hello scala", "my name", "how are you", "ha ha ha"]
-COLLECTION = [("sensor1", 1547718199, 55.5), ("sensor2", 1547719099, 5.6),
-              ("sensor3", 1547729799, 78.6), ("sensor4", 1547740199, 35.6)]
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("local[4]", 4, extra={
@@ -40,8 +26,3 @@ def sensor(spark):
     from tidemark.sources import readings as rd
     lines = spark.createDataFrame([(l, i) for i, l in enumerate(SENSOR_LINES)], "value string, seq bigint")
     return rd.as_readings(rd.parse_reading(lines))
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

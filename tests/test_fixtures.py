@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import COLLECTION, HELLO_LINES, rows
+from fixture_rows import COLLECTION, HELLO_LINES, rows
 from tidemark.functions import udfs
 from tidemark.operators import alerts, rolling, routing, text, watermark, windows
 from tidemark.sinks import writers

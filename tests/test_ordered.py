@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixture_rows import rows
 from tidemark.operators import alerts, ordered, rolling, windows
 from tidemark.sources.readings import events_readings
 

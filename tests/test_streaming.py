@@ -11,7 +11,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SENSOR_LINES, rows
+from fixture_rows import SENSOR_LINES, rows
 from tidemark.operators import alerts, rolling, windows
 from tidemark.functions import udfs
 from tidemark.sinks import writers
