@@ -14,6 +14,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sinks.runs import KeyedTable
 
 # Fixed value: the record text of the reference's Kafka producer.
 RECORD_NAME = "SensorReading"
@@ -77,25 +78,22 @@ def keyed_latest(df: DataFrame, key: Column | str, value: Column | str,
     return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select("key", "value")
 
 
-def upsert_to_path(batch: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Add a batch of rows, one per key, to the keyed table at ``path``.
+def upsert_to_path(batch: DataFrame, path: str, batch_id: int, key: str = "key") -> None:
+    """Add a batch of rows, one per key, to the keyed table at ``path`` (levelled runs, see ``runs``).
 
-    Each batch is a folder of its own that a replay overwrites with the same
-    rows; nothing that is already there is read or rewritten, so a crash
-    leaves either the batch or its former state. ``read_upserted`` takes the
-    last batch of each key.
+    The batch is written as a run; full levels are merged, so a read touches a
+    bounded number of runs however many batches there were. A batch id
+    that was applied is skipped, so a replay changes nothing.
     """
-    batch.write.format(fmt).mode("overwrite").save(f"{path}/batch={batch_id}")
+    KeyedTable(batch.sparkSession, path, key).upsert(batch, batch_id)
 
 
-def read_upserted(spark, path: str, key: str = "key", fmt: str = "parquet") -> DataFrame:
-    """The current content of a keyed table: each key's row of the last batch that has it.
-
-    A NULL key is a key. Each task keeps one row per key before the shuffle.
-    """
-    rows = spark.read.format(fmt).load(path)
-    w = Window.partitionBy(key).orderBy(F.col("batch").desc())
-    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r", "batch")
+def read_upserted(spark, path: str, key: str = "key") -> DataFrame:
+    """The current content of a keyed table: each key's row of the last batch that has it. A NULL key is a key."""
+    rows = KeyedTable(spark, path, key).read()
+    if rows is None:
+        raise FileNotFoundError(f"no keyed table at {path}")
+    return rows
 
 
 def foreach_batch_upsert(path: str, key_col: str, value_col: Column | str, order: Sequence[str] = ("seq",)):
