@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, langid, merkle, mixing, pii, sentencepiece_codec, simhash, substring_dedup, token_counts, toxicity
+from tidemark.llm import (
+    embedding_dedup, filter_audit, langid, lexical_search, line_dedup, merkle, mixing, pii, sentencepiece_codec, simhash, substring_dedup,
+    token_counts, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +64,21 @@ def op10_fingerprints(spark, sf):
     return merkle.fingerprints(_table(spark, sf, "documents"))
 
 
+def op11_lexical_search(spark, sf):
+    return lexical_search.search_query(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op12_line_dedup(spark, sf):
+    return line_dedup.line_query(_table(spark, sf, "documents"))
+
+
+def op13_filter_audit(spark, sf):
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_token_counts, op3_substring_dedup, op4_simhash, op5_toxicity, op6_language, op7_pii, op8_mixing, op9_embedding_dedup, op10_fingerprints)}
+    op1_sentencepiece, op2_token_counts, op3_substring_dedup, op4_simhash, op5_toxicity, op6_language, op7_pii, op8_mixing, op9_embedding_dedup, op10_fingerprints,
+    op11_lexical_search, op12_line_dedup, op13_filter_audit)}
 
-ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_fingerprints": merkle.ORACLE}
+ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE, "op10_fingerprints": merkle.ORACLE, "op11_lexical_search": lexical_search.ORACLE,
+                          "op12_line_dedup": line_dedup.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
