@@ -26,18 +26,18 @@ def _expected(n):
 
 
 def test_many_batches_leave_few_runs(spark):
-    """66 batches: every key's last row, and never more than (fanout - 1) runs a level."""
-    path, n = _path(), 66
-    table = KeyedTable(spark, path, fanout=4)
+    """30 batches: every key's last row, and never more than (fanout - 1) runs a level."""
+    path, n = _path(), 30
+    table = KeyedTable(spark, path, fanout=3)
     for i in range(n):
         assert table.upsert(_batch(spark, i), i)
     live = table.runs.live()
     levels = [r.level for r in live]
-    assert max(levels) == 3 and all(levels.count(x) <= 3 for x in set(levels))
+    assert max(levels) == 3 and all(levels.count(x) <= 2 for x in set(levels))
     assert sorted((r.first, r.last) for r in live)[0][0] == 0 and max(r.last for r in live) == n - 1
     read = {os.path.dirname(f).rsplit("/", 1)[-1] for f in table.read().inputFiles()}
     assert read == {r.name for r in live}  # a read touches live runs only
-    assert len(os.listdir(f"{path}/runs")) <= len(live) + 3 * 4 and len([f for f in os.listdir(f"{path}/manifest") if f.endswith(".json")]) == 3
+    assert len(os.listdir(f"{path}/runs")) <= len(live) + 3 * 3 and len([f for f in os.listdir(f"{path}/manifest") if f.endswith(".json")]) == 3
     assert {r.key: r.value for r in table.read().collect()} == _expected(n)
 
 
