@@ -134,3 +134,39 @@ def test_top2_retract_follows_arrival(spark):
     assert got == [(1, 1, 1, 5.0), (1, 1, 2, low), (2, 0, 1, 5.0), (2, 0, 2, low), (2, 1, 1, 5.0), (2, 1, 2, 3.0),
                    (3, 0, 1, 5.0), (3, 0, 2, 3.0), (3, 1, 1, 5.0), (3, 1, 2, 4.0),
                    (5, 0, 1, 5.0), (5, 0, 2, 4.0), (5, 1, 1, 5.0), (5, 1, 2, 5.0)]
+
+
+def _sizes(df, order, n):
+    """Rows per bucket; buckets must follow the order."""
+    by = ordered.buckets(df, order, n)
+    held = [r._bk for r in df.select(by.column.alias("_bk"), *order).orderBy(*order).select("_bk").collect()]
+    assert held == sorted(held)
+    return [held.count(b) for b in range(by.count)]
+
+
+def test_buckets_are_even_whatever_the_order_values(spark):
+    """One row in the year 9999, one time in two thirds of the rows, one time in all rows, magnitudes of any size."""
+    ts = lambda text: F.expr(f"TIMESTAMP_NTZ'{text} 00:00:00'")
+    base = spark.range(20_000).select(F.timestamp_add("SECOND", (F.col("id") * 13 % 2_592_000).cast("int"), ts("2024-01-01")).alias("ts"), F.col("id").alias("seq"))
+    far = spark.range(1).select(ts("9999-12-31").alias("ts"), F.lit(10**9).alias("seq"))
+    tied = base.withColumn("ts", F.when(F.col("seq") % 3 > 0, ts("2024-01-05")).otherwise(F.col("ts")))
+    for df in (base, base.union(far), tied.union(far), base.withColumn("ts", ts("2024-01-05"))):
+        sizes = _sizes(df, ["ts", "seq"], 16)
+        assert max(sizes) <= 2 * sum(sizes) / 16
+    wide = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, F.lit(float("nan"))).when(F.col("id") % 101 == 0, F.lit(float("-inf")))
+                                      .otherwise(F.exp(F.rand(3) * 300)).alias("x"), F.col("id").alias("s")).cache()
+    assert max(_sizes(wide, ["x", "s"], 16)) <= 2 * 20_000 / 16
+    assert len(set(_sizes(base, ["seq"], 9_000))) <= 6  # more buckets than the least number of cells
+
+
+def test_large_longs_that_are_equal_as_doubles_keep_their_order(spark):
+    big = 2**60
+    df = spark.createDataFrame([(big + i // 50, 50 - i % 50) for i in range(2_000)], "a long, b long")
+    assert max(_sizes(df, ["a", "b"], 8)) <= 2_000
+
+
+def test_an_order_value_outside_the_range_does_not_overflow(spark):
+    df = spark.range(1_000).select(F.lit("k").alias("k"), F.col("id").alias("seq"))
+    by = ordered.buckets(df, ["seq"], 4)
+    out = spark.createDataFrame([(-10**18,), (10**18,)], "seq long").select(by.column.alias("b")).collect()
+    assert [r.b for r in out] == [0, 3]

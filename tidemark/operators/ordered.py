@@ -7,8 +7,11 @@ operator works in *buckets* of the order, at every input size:
 
 1. A row's bucket follows from the row alone: its place between the least
    and the greatest first order column, looked up in a fixed table of cells.
-   The table comes from two aggregates over that one column (its range, then
-   a count per cell), so buckets hold about equal numbers of rows, nothing
+   The table comes from aggregates over that column (its range, then
+   a count per cell). Cells that hold more than half a bucket's share are cut
+   again, into cells of their own range, and where one value of the
+   column fills a cell, by the next order column; so buckets hold about equal
+   numbers of rows whatever the values are (one row in the year 9999), nothing
    is sampled, and every branch and every retry of a plan agrees.
 2. A small table describes what each (key, bucket) needs from the buckets
    before it: a summary of each earlier bucket for running aggregates, or
@@ -21,8 +24,9 @@ A NULL key is a key of its own throughout. Rows whose first order column is
 NULL form a bucket before all others. The first order column must be a
 number, a date or a timestamp; ``order`` must be unique within a key.
 
-Cost: two aggregates over one column, one hash exchange of the data for the
-windows, and the small tables. One ``Buckets`` can be shared by all passes
+Cost: two aggregates over the order columns (one more for each time that cells
+are cut again), one hash exchange of the data for the windows, and the small
+tables. One ``Buckets`` can be shared by all passes
 of an operator over the same order.
 """
 
@@ -43,8 +47,10 @@ BUCKET = "_b"
 CTX = "_ctx"
 ROWS_PER_BUCKET_CONF = "spark.tidemark.ordered.rowsPerBucket"
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
-#: Resolution of the cell table; buckets are runs of cells.
+#: Cells of the whole range, at least (eight a bucket at least); buckets are runs of cells.
 CELLS = 8_192
+#: Cells that a full cell is cut into (fewer where very many cells are full), and how often cells are cut.
+SUB_CELLS, MOST_SUB_CELLS, ROUNDS = 1_024, 1 << 20, 12
 
 # running aggregate kinds: name -> (bucket summary, prefix over buckets, in-bucket window)
 _KINDS = {
@@ -68,7 +74,10 @@ class Buckets:
 
 
 def _place(df: DataFrame, name: str) -> Column:
-    """The order column as a double (monotone, so equal places are all that can be lost)."""
+    """The order column as a double (monotone, so equal places are all that can be lost).
+
+    Fractions are placed by magnitude (so infinities have a place too), and NaN, which Spark orders last, after all.
+    """
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         return epoch_micros(name).cast("double")
@@ -76,35 +85,152 @@ def _place(df: DataFrame, name: str) -> Column:
         return F.unix_micros(name).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(name).cast("double")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        c = F.col(name).cast("double")
+        return F.when(F.isnan(c), F.lit(1e3)).otherwise(F.signum(c) * F.log1p(F.least(F.abs(c), F.lit(4e307))))
     if isinstance(kind, T.NumericType):
         return F.col(name).cast("double")
-    raise TypeError(f"first order column {name!r} must be a number, date or timestamp, not {kind.simpleString()}")
+    raise TypeError(f"order column {name!r} must be a number, date or timestamp, not {kind.simpleString()}")
+
+
+@dataclass
+class _Node:
+    """A range of one order column (by its place in the order) in cells of equal width; ``first`` is its first cell's row in the table."""
+
+    column: int
+    lo: float
+    width: float
+    cells: int
+    first: int
+
+
+class _Cells:
+    """A tree of cells: one node for the whole range, and one below each cell that was cut again."""
+
+    def __init__(self, places: list[Column], root: _Node):
+        self.places, self.nodes = places, [root]
+        self.below: dict[int, int] = {}  # cell -> node below it
+
+    def size(self) -> int:
+        return self.nodes[-1].first + self.nodes[-1].cells
+
+    def add(self, cell: int, node: _Node) -> None:
+        self.below[cell] = len(self.nodes)
+        self.nodes.append(node)
+
+    def in_order(self) -> list[int]:
+        """The cells that are not cut, in the order of their rows."""
+        out: list[int] = []
+        stack = [iter(range(self.nodes[0].first, self.nodes[0].first + self.nodes[0].cells))]
+        while stack:
+            cell = next(stack[-1], None)
+            if cell is None:
+                stack.pop()
+            elif cell in self.below:
+                node = self.nodes[self.below[cell]]
+                stack.append(iter(range(node.first, node.first + node.cells)))
+            else:
+                out.append(cell)
+        return out
+
+    def depth(self) -> int:
+        own = {0: 1}
+        at = {c: n for n, node in enumerate(self.nodes) for c in range(node.first, node.first + node.cells) if c in self.below}
+        for cell, node in self.below.items():  # a node is added after the one above it
+            own[node] = own[at[cell]] + 1
+        return max(own.values())
+
+    def column(self) -> Column:
+        """The cell of a row: the root's, then that of the node below, until a cell is not cut."""
+        def inside(column: Column, lo: Column, width: Column, cells: Column, first: Column) -> Column:
+            at = F.floor((column - lo) / width)  # clamped before the cast: a row outside the range must not overflow
+            return (first + F.greatest(F.least(F.coalesce(at, F.lit(0)), cells - 1), F.lit(0))).cast("int")
+
+        root = self.nodes[0]
+        out = inside(self.places[0], F.lit(root.lo), F.lit(root.width), F.lit(root.cells), F.lit(0))
+        if not self.below:
+            return out
+        numbers = _literal([self.below.get(c, 0) for c in range(self.size())], "int")
+        lo, width = (_literal([getattr(n, f) for n in self.nodes], "double") for f in ("lo", "width"))
+        cells, first, which = (_literal([getattr(n, f) for n in self.nodes], "int") for f in ("cells", "first", "column"))
+        places = F.array(*self.places)
+
+        def step(cell: Column, _: Column) -> Column:
+            node = F.get(numbers, cell)
+            return F.when(node == 0, cell).otherwise(inside(F.get(places, F.get(which, node)), F.get(lo, node), F.get(width, node),
+                                                            F.get(cells, node), F.get(first, node)))
+
+        return F.aggregate(F.array_repeat(F.lit(0), self.depth() - 1), out, step)
+
+
+def _literal(values: Sequence, kind: str) -> Column:
+    """An array literal of any length (folded to one value by the optimizer)."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def _one_value(name: str) -> Column:
+    return F.min(name) == F.max(name)
+
+
+def _orderable(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
 def buckets(df: DataFrame, order: Sequence[str], n: int | None = None) -> Buckets:
-    """Cut the range of ``order[0]`` into buckets of about equal row counts.
+    """Cut the rows into buckets of about equal counts along ``order``.
 
     ``n`` buckets, by default one for each ``rowsPerBucket`` rows and at least
-    the session's shuffle partitions. What reaches the driver is one count per
-    cell (at most ``CELLS``).
+    the session's shuffle partitions. What reaches the driver is one row per
+    cell that holds rows (at most eight a bucket or ``CELLS``, and ``MOST_SUB_CELLS`` of cut cells).
+    Rows that are equal in all order columns that are numbers or times stay together.
     """
-    place = _place(df, order[0])
-    ends = df.agg(F.min(place).alias("lo"), F.max(place).alias("hi")).first()
-    lo, hi = ends["lo"], ends["hi"]
-    if lo is None or not hi > lo:
-        return Buckets(F.when(place.isNull(), F.lit(-1)).otherwise(F.lit(0)), 1)
-    cell = F.least(F.floor((place - F.lit(lo)) / F.lit((hi - lo) / CELLS)).cast("int"), F.lit(CELLS - 1))
-    counts = {r["cell"]: r["n"] for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
+    names = [order[0], *[o for o in order[1:2] if _orderable(df, o)]]
+    places = [_place(df, o) for o in names]
     spark = df.sparkSession
+    ends = df.agg(F.min(places[0]).alias("lo"), F.max(places[0]).alias("hi"), F.count(places[0]).alias("n"),
+                  F.min(places[-1]).alias("lo2"), F.max(places[-1]).alias("hi2"), _one_value(names[0]).alias("one")).first()
+    total = ends["n"]
+    if not total:
+        return Buckets(F.when(places[0].isNull(), F.lit(-1)).otherwise(F.lit(0)), 1)
     per = int(spark.conf.get(ROWS_PER_BUCKET_CONF, str(DEFAULT_ROWS_PER_BUCKET)))
     n = n or max(shuffle_partitions(spark), -(-total // max(per, 1)))
-    ids, before = [], 0
-    for i in range(CELLS):
-        ids.append(min(n - 1, before * n // total))
-        before += counts.get(i, 0)
-    table = F.split(F.lit(",".join(map(str, ids))), ",").cast("array<int>")  # folded to one literal
-    return Buckets(F.when(place.isNull(), F.lit(-1)).otherwise(F.element_at(table, cell + 1)), n)
+
+    def node(ranges: list[tuple], one: bool, column: int, cells: int, first: int) -> _Node | None:
+        # the second column tells rows apart only where the first has one value (equal doubles are not enough)
+        for i in range(column, len(places) if one or column else 1):
+            lo, hi = ranges[i]
+            if lo is not None and hi > lo and (hi - lo) / cells > 0:
+                return _Node(i, lo, (hi - lo) / cells, cells, first)
+        return None
+
+    root = node([(ends["lo"], ends["hi"]), (ends["lo2"], ends["hi2"])], ends["one"], 0, max(CELLS, 8 * n), 0)
+    if root is None:
+        return Buckets(F.when(places[0].isNull(), F.lit(-1)).otherwise(F.lit(0)), 1)
+    if root.column:  # one value in the first column: the second tells rows apart
+        root = _Node(0, ends["lo"], 1.0, 1, 0)
+    tree, counts, known = _Cells(places, root), {}, 0
+    for _ in range(ROUNDS):
+        rows = df.where(places[0].isNotNull()).select(tree.column().alias("cell"), F.col(names[0]).alias("v"), *[p.alias(f"p{i}") for i, p in enumerate(places)])
+        if known:
+            rows = rows.where(F.col("cell") >= known)
+        found = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), _one_value("v").alias("one"), *[f(f"p{i}").alias(f"{w}{i}") for i in range(len(places))
+                                                                          for f, w in ((F.min, "lo"), (F.max, "hi"))]).collect()
+        counts |= {r["cell"]: r["n"] for r in found}
+        known = tree.size()
+        full = [r for r in found if 2 * r["n"] * n > total]
+        cells = max(16, min(SUB_CELLS, MOST_SUB_CELLS // max(1, len(full))))
+        owner = {c: x for x in tree.nodes for c in range(x.first, x.first + x.cells)} if full else {}
+        for r in sorted(full, key=lambda r: r["cell"]):
+            below = node([(r[f"lo{i}"], r[f"hi{i}"]) for i in range(len(places))], r["one"], owner[r["cell"]].column, cells, tree.size())
+            if below:
+                tree.add(r["cell"], below)
+        if tree.size() == known:
+            break
+    ids, before = [0] * tree.size(), 0
+    for cell in tree.in_order():
+        ids[cell] = min(n - 1, before * n // total)
+        before += counts.get(cell, 0)
+    return Buckets(F.when(places[0].isNull(), F.lit(-1)).otherwise(F.get(_literal(ids, "int"), tree.column())), n)
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import udfs
+from tidemark.functions import aggregates, udfs
 from tidemark.functions.columns import epoch_micros, steady
 from tidemark.operators import alerts, rolling, routing, text, watermark, windows
 from tidemark.sinks import writers
@@ -297,6 +297,22 @@ def q_top2(spark, sf):
     return udfs.top2(o)
 
 
+def q_user_aggregate(spark, sf):
+    out = aggregates.aggregate(_ev(spark, sf), ["id"], aggregates.AvgTemp(), ["temp"])
+    return out.withColumn("avg_temp", steady("avg_temp"))
+
+
+def q_user_table_aggregate(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("temp"))
+    return aggregates.aggregate(o, ["id"], aggregates.Top2Temp(), ["temp"])
+
+
+def q_user_running_reduce(spark, sf):
+    fold = aggregates.Reduce(aggregates.reduce_reading, "id string, timestamp bigint, temp double")
+    out = aggregates.running(_arrivals(spark, sf), ["id"], ARRIVAL, fold, ["id", "timestamp", "temp"], keep=["arrival", "seq"])
+    return out.select("id", "arrival", "seq", "timestamp", "temp")
+
+
 # ------------------------------------------------------------ sinks
 
 def q_keyed_latest(spark, sf):
@@ -376,6 +392,9 @@ QUERIES: dict[str, Query] = {
     "udtf_split_sql": q_udtf_split_sql,
     "split_edges": q_split_edges,
     "top2": q_top2,
+    "user_aggregate": q_user_aggregate,
+    "user_table_aggregate": q_user_table_aggregate,
+    "user_running_reduce": q_user_running_reduce,
     "keyed_latest": q_keyed_latest,
     "document_json": q_document_json,
     "csv_payload": q_csv_payload,

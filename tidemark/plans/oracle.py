@@ -270,6 +270,14 @@ ORACLE: dict[str, str] = {
                   CROSS JOIN (SELECT CAST(unnest([1, 2]) AS INTEGER) AS rank) r)
         SELECT s.id, coalesce(ranked.temp, {DOUBLE_MIN!r}) AS temp, s.rank
         FROM slots s LEFT JOIN ranked ON ranked.id = s.id AND ranked.rank = s.rank AND ranked.rank <= 2""",
+    "user_aggregate": R + f"SELECT id, {_AVG} AS avg_temp FROM readings GROUP BY id",
+    "user_table_aggregate": f"""WITH e AS (SELECT o_custkey AS id, o_totalprice AS temp FROM orders),
+        best AS (SELECT id, max(temp, 2) AS m FROM e GROUP BY id)
+        SELECT id, coalesce(m[r], {DOUBLE_MIN!r}) AS temp, r AS rank
+        FROM best, (SELECT CAST(unnest([1, 2]) AS INTEGER) AS r)""",
+    "user_running_reduce": RA + f"""SELECT id, arrival, seq,
+            max(timestamp) OVER w AS timestamp, min(temp) OVER w AS temp
+        FROM arrivals WINDOW w AS {_BY_ARRIVAL}""",
     "keyed_latest": RA + """SELECT key, value FROM (
             SELECT CAST(temp AS VARCHAR) AS key, id AS value,
                    row_number() OVER (PARTITION BY CAST(temp AS VARCHAR) ORDER BY arrival DESC, seq DESC) AS rn
