@@ -77,8 +77,8 @@ def retract_avg(df: DataFrame, key: str = "id", value: str = "temp",
     """Retract changelog of the per-key running average, in one ordered pass.
 
     The old average comes from the sum and count before the row. Averages of
-    doubles: NaN stays NaN, and an unchanged average is recognised to a
-    relative 1e-12, since sums before and after differ in rounding.
+    doubles: NaN stays NaN (equal to itself, as infinities are), and an unchanged average is recognised
+    to a relative 1e-12, since sums before and after differ in rounding.
     """
     out = ordered.running(df.select(key, value, *order), [key], order,
                           {"_s": ("sum", value, True), "_c": ("count", None, True),
@@ -86,7 +86,9 @@ def retract_avg(df: DataFrame, key: str = "id", value: str = "temp",
     avg = (out.withColumn(name, F.col("_s") / F.col("_c"))
            .withColumn("_prev", F.when(F.col("_pc") > 0, F.col("_ps") / F.col("_pc")))
            .drop("_s", "_c", "_ps", "_pc", value))
-    near = F.abs(F.col("_prev") - F.col(name)) <= F.abs(F.col(name)) * F.lit(1e-12)
+    # only of finite averages: in Spark NaN <= NaN holds, and inf <= inf
+    finite = F.abs(F.col("_prev") - F.col(name)) < F.lit(float("inf"))
+    near = finite & (F.abs(F.col("_prev") - F.col(name)) <= F.abs(F.col(name)) * F.lit(1e-12))
     return _changelog(avg, name, key, order, unchanged=near | (F.col("_prev") == F.col(name)))
 
 

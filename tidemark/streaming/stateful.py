@@ -347,9 +347,11 @@ class RetractAvg(StatefulProcessor):
         counts = n + np.arange(len(sums))
         with np.errstate(invalid="ignore"):
             avg = sums / counts  # before the first row: 0 / 0
-        old, new = avg[:-1], avg[1:]
+            old, new = avg[:-1], avg[1:]
+            near = np.isfinite(old - new) & (np.abs(old - new) <= np.abs(new) * 1e-12)
         first = counts[:-1] == 0
-        changed = ~first & ~(np.abs(old - new) <= np.abs(new) * 1e-12)
+        same = near | (old == new) | (np.isnan(old) & np.isnan(new))
+        changed = ~first & ~same
         seq = pdf["seq"].to_numpy()
         adds = pd.DataFrame({"seq": seq[first | changed], "is_add": True, "change": 1,
                              "avg_temp": new[first | changed]})
