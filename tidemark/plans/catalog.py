@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import aggregates, udfs
-from tidemark.functions.columns import epoch_micros, steady
-from tidemark.operators import alerts, rolling, routing, text, watermark, windows
+from tidemark.functions.columns import above, epoch_micros, steady
+from tidemark.operators import alerts, outputs, rolling, routing, text, watermark, windows
 from tidemark.sinks import writers
 from tidemark.sources import readings as rd
 
@@ -149,6 +149,21 @@ def q_side_output_low(spark, sf):
     return low
 
 
+def q_outputs_once(spark, sf):
+    rows = _ev(spark, sf).select("seq", "id", "temp")
+    high = above("temp", SPLIT_T)
+    out = outputs.split_once(rows, {"high": high, "low": ~high, "side": F.col("temp") < SIDE_T})
+    counts = [df.select(F.lit(name).alias("output"), "seq", "id", "temp") for name, df in out.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def q_mixed_elements(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    rows = ev.select(F.col("event_id").alias("seq"), F.posexplode(rd.mixed("user_id", "value", "event_type")).alias("pos", "v"))
+    return rows.select("seq", "pos", F.coalesce(rd.typed("v", "bigint"), F.lit(-1)).alias("as_bigint"),
+                       rd.typed("v", "double").alias("as_double"), rd.typed("v", "string").alias("as_string"))
+
+
 def q_split_connect(spark, sf):
     return routing.split_connect(_ev(spark, sf).select("id", "temp", "seq"), SPLIT_T)
 
@@ -363,6 +378,8 @@ QUERIES: dict[str, Query] = {
     "side_output_main": q_side_output_main,
     "side_output_low": q_side_output_low,
     "split_connect": q_split_connect,
+    "outputs_once": q_outputs_once,
+    "mixed_elements": q_mixed_elements,
     "tumble_table": q_tumble_table,
     "tumble_sql": q_tumble_sql,
     "sliding_count": q_sliding_count,

@@ -270,6 +270,14 @@ ORACLE: dict[str, str] = {
                   CROSS JOIN (SELECT CAST(unnest([1, 2]) AS INTEGER) AS rank) r)
         SELECT s.id, coalesce(ranked.temp, {DOUBLE_MIN!r}) AS temp, s.rank
         FROM slots s LEFT JOIN ranked ON ranked.id = s.id AND ranked.rank = s.rank AND ranked.rank <= 2""",
+    "outputs_once": R + f"""SELECT output, seq, id, temp FROM (
+            SELECT 'high' AS output, * FROM readings WHERE temp > {c.SPLIT_T} AND NOT isnan(temp)
+            UNION ALL SELECT 'low', * FROM readings WHERE NOT (temp > {c.SPLIT_T} AND NOT isnan(temp))
+            UNION ALL SELECT 'side', * FROM readings WHERE temp < {c.SIDE_T})""",
+    "mixed_elements": """SELECT event_id AS seq, CAST(pos AS INTEGER) AS pos,
+            CASE pos WHEN 0 THEN CAST(user_id AS BIGINT) ELSE -1 END AS as_bigint, CASE pos WHEN 1 THEN value END AS as_double,
+            CASE pos WHEN 2 THEN event_type END AS as_string
+        FROM events, (SELECT unnest([0, 1, 2]) AS pos)""",
     "user_aggregate": R + f"SELECT id, {_AVG} AS avg_temp FROM readings GROUP BY id",
     "user_table_aggregate": f"""WITH e AS (SELECT o_custkey AS id, o_totalprice AS temp FROM orders),
         best AS (SELECT id, max(temp, 2) AS m FROM e GROUP BY id)

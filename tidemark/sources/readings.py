@@ -7,8 +7,11 @@ timestamp and every ordered operator orders by ``(ts, seq)``.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,10 +55,45 @@ def from_rows(spark: SparkSession, rows: Iterable[tuple], with_seq: bool = True)
 
 
 def from_mixed(spark: SparkSession, values: Iterable) -> DataFrame:
-    """Elements of mixed type: no common Spark type, so each becomes text."""
+    """Elements of mixed type as text (``from_elements`` keeps their types)."""
     return spark.createDataFrame([(None if v is None else str(v),) for v in values], "value string")
 
 
+def from_elements(spark: SparkSession, values: Iterable) -> DataFrame:
+    """Elements of mixed type as ``value variant`` (with ``seq``, their position): each keeps its own type.
+
+    Python values of JSON types, None, dates, times and decimals.
+    """
+    def sql(v) -> Column:
+        if v is None or isinstance(v, (bool, int, float, str, bytes, Decimal, date, datetime)):
+            return F.to_variant_object(F.array(F.lit(v))) if v is not None else F.parse_json(F.lit("[null]"))
+        return F.parse_json(F.lit(json.dumps([v])))
+
+    values = list(values)
+    if not values:
+        return spark.createDataFrame([], "seq long").select("seq", F.parse_json(F.lit("null")).alias("value"))
+    one = spark.range(1).select(F.posexplode(F.array(*[F.variant_get(sql(v), "$[0]", "variant") for v in values])).alias("seq", "value"))
+    return one.select(F.col("seq").cast("long").alias("seq"), "value")
+
+
+def mixed(*columns: str) -> Column:
+    """Columns of different types as one array of variants, in order: NULLs stay out of it."""
+    return F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.variant_get(F.to_variant_object(F.array(F.col(c))), "$[0]", "variant")) for c in columns]))
+
+
+def typed(value: Column | str, kind: str) -> Column:
+    """The variant as ``kind`` if it is one (integers of any width count as ``bigint``), else NULL: no cast between kinds.
+
+    ``kind`` is bigint, double, decimal, string, boolean, date or timestamp.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    own = F.regexp_replace(F.schema_of_variant(v), r"\(.*\)", "")
+    if kind in ("double", "decimal"):  # a fraction in text (JSON) is a decimal
+        return F.when(own.isin("DOUBLE", "FLOAT", "DECIMAL"), F.try_variant_get(v, "$", "double" if kind == "double" else "decimal(38,18)"))
+    names = {"bigint": ["BIGINT"], "string": ["STRING"], "boolean": ["BOOLEAN"], "date": ["DATE"], "timestamp": ["TIMESTAMP", "TIMESTAMP_NTZ"]}[kind]
+    return F.when(own.isin(*names), F.try_variant_get(v, "$", kind))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text file(s), one string per line; ``seq`` numbers the lines in file
     order: by file path, then position. Spark packs file pieces into tasks by
