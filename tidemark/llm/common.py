@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Word separators of every contract here: space and U+0009 to U+000D.
@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch that Spark hands to a Python worker, where the session has no bound of its own.
+BATCH_BYTES = 4_000_000
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches (Spark counts rows only, and 10,000 long texts are one batch), unless the session does."""
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text (null: 0), on the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

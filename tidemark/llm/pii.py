@@ -322,25 +322,32 @@ def find(docs: DataFrame, weights: dict) -> DataFrame:
     return docs.mapInArrow(finder(weights), T.StructType([*docs.schema.fields, T.StructField("pii", T.ArrayType(span))]))
 
 
+def masker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with ``pii`` to rows without it, their spans masked."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        out = []
+        for text, spans in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("pii")).to_pylist()):
+            done, parts = 0, []
+            for s in sorted(spans or [], key=lambda s: (s["start"], -s["end"])):
+                if s["start"] >= done:
+                    parts += [text[done:s["start"]], f"<{s['kind'].upper()}>"]
+                    done = s["end"]
+            out.append(text if not parts else "".join(parts) + text[done:])
+        columns = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "pii"]
+        yield pa.RecordBatch.from_arrays(columns, names=[n for n in batch.schema.names if n != "pii"])
+
+
 def masked(found: DataFrame) -> DataFrame:
     """``found`` with every span of its text replaced by its kind in angle brackets; of overlapping spans the first, then the longest stays."""
-    schema = found.drop("pii").schema
+    return found.mapInArrow(masker, found.drop("pii").schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            out = []
-            for text, spans in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("pii")).to_pylist()):
-                done, parts = 0, []
-                for s in sorted(spans or [], key=lambda s: (s["start"], -s["end"])):
-                    if s["start"] >= done:
-                        parts += [text[done:s["start"]], f"<{s['kind'].upper()}>"]
-                        done = s["end"]
-                out.append(text if not parts else "".join(parts) + text[done:])
-            columns = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "pii"]
-            yield pa.RecordBatch.from_arrays(columns, names=[n for n in batch.schema.names if n != "pii"])
-
-    return found.mapInArrow(run, schema)
+
+def redacted(docs: DataFrame, weights: dict) -> DataFrame:
+    """``masked(find(docs, weights))`` in one Python worker, so that spans don't travel and a task needs one process."""
+    docs = docs.drop("pii")
+    find_spans = finder(weights)
+    return docs.mapInArrow(lambda batches: masker(find_spans(batches)), docs.schema)
 
 
 def pii_query(docs: DataFrame) -> DataFrame:
