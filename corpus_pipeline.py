@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, mixing, pii, sentencepiece_codec, simhash
+from tidemark.llm.common import bound_batches
 from tidemark.llm.queries import piece_model
 from tidemark.session import checkpoint_dir
 
@@ -22,6 +23,7 @@ LEAST_SCORE = 0.2
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language stay; those without a letter or below the least score go. A null lang gets the predicted one."""
+    bound_batches(spark)
     found = langid.identify(docs, langid.train(docs))
     found = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
@@ -29,12 +31,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of SimHash near-duplicates the document with the least id stays."""
+    bound_batches(spark)
     return simhash.one_of_each(docs, simhash.simhash_groups(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; spans of personal data become their kind in angle brackets, and n_chars follows."""
-    out = pii.masked(pii.find(docs, pii.train(docs)))
+    bound_batches(spark)
+    out = pii.redacted(docs, pii.train(docs))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -47,6 +51,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digest of what they decode to."""
+    bound_batches(spark)
     model = piece_model()
     return sentencepiece_codec.round_trip(docs.select("doc_id", "text", "lang", "source"), model).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
