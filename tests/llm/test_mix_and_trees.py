@@ -72,7 +72,7 @@ def test_trees_equal_sql(documents):
 
 
 def test_trees_of_few_and_sparse_ids(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "IDS_PER_GROUP", 2)
+    monkeypatch.setattr(merkle, "DOCS_PER_GROUP", 2)
     rows = [(10**15, "One. Two. Three."), (-4, "One. Two. Four."), (7, ""), (8, "é" * 101), (9, "One. Two. Three."), (50, "x\ny\nz")]
     for part in (rows, rows[:1], rows[:2]):
         df = spark.createDataFrame(part, "doc_id long, text string")
@@ -104,6 +104,25 @@ def test_edits_by_place(spark):
     assert [got[i] for i in range(len(cases))] == [at for *_, at in cases]
 
 
+def test_the_first_edit_is_a_paragraph(spark):
+    """The first paragraph that differs, whatever the sections: changed, moved, repeated, removed, put in front or behind."""
+    lines = [f"Line {i} says {i * i}\n" for i in range(60)]
+    cases = [(lines[:33] + ["New\n"] + lines[34:], lines), (lines[:10] + lines[11:12] + lines[10:11] + lines[12:], lines), (lines[:5] + lines[4:], lines),
+             (lines[:20] + lines[25:], lines), (lines[:-1], lines), (lines + ["More\n"], lines), (["New\n"] + lines, lines), ([], lines), (lines, []), (lines, lines)]
+    want = [next((i + 1 for i in range(max(len(a), len(b))) if a[i:i + 1] != b[i:i + 1]), None) for a, b in cases]
+    df = spark.createDataFrame([(i, "".join(a), "".join(b)) for i, (a, b) in enumerate(cases)], "doc_id long, a string, b string")
+    got = dict(merkle.with_tree(merkle.with_tree(df, "a", "a_"), "b", "b_").select("doc_id", merkle.first_edit("a_", "b_")).collect())
+    assert [got[i] for i in range(len(cases))] == want
+
+
+def test_groups_of_neighbours_are_even_with_an_outlying_id(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "DOCS_PER_GROUP", 50)
+    df = spark.range(2_000).union(spark.createDataFrame([(10**15,)], "id long")).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    by = merkle.groups_of(df)
+    sizes = [r["count"] for r in df.groupBy(by.alias("g")).count().collect()]
+    assert max(sizes) <= 100 and len(sizes) == 40
+
+
 def test_trees_odd_rows(odd, empty):
     out = merkle.fingerprints(odd).collect()
     assert len(out) == odd.count() and merkle.fingerprints(empty).count() == 0

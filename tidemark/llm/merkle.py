@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text
+from tidemark.operators import ordered
 
 PARAGRAPH = r"[^\n.!?]{1,48}[\n.!?]{0,200}|[\n.!?]{1,200}"
 #: A paragraph closes its section if its hash begins with one of these.
 CLOSING = ("0", "8")
-#: Consecutive ids that share a task, and the most groups of them (the broadcast table of group ends has as many rows).
-IDS_PER_GROUP, MAX_GROUPS = 250, 1_000_000
+#: Consecutive documents that share a group, about, and the most groups (the broadcast table of group ends has as many rows).
+DOCS_PER_GROUP, MAX_GROUPS = 250, 50_000
 
 
 def paragraphs(text: Column) -> Column:
@@ -31,7 +32,7 @@ def paragraphs(text: Column) -> Column:
 
 
 def with_tree(df: DataFrame, text_col: str, prefix: str) -> DataFrame:
-    """Adds ``{prefix}paragraphs``, ``{prefix}sections`` (arrays of nodes) and ``{prefix}root``."""
+    """Adds ``{prefix}paragraphs``, ``{prefix}sections`` (arrays of nodes), ``{prefix}ends`` (each section's last paragraph, from 1) and ``{prefix}root``."""
     par, end, sec = f"{prefix}paragraphs", f"{prefix}ends", f"{prefix}sections"
     df = df.withColumn(par, paragraphs(F.col(text_col)))
     n = F.size(par)
@@ -44,7 +45,7 @@ def with_tree(df: DataFrame, text_col: str, prefix: str) -> DataFrame:
         return F.md5(F.array_join(F.slice(par, before + 1, e - before), "").cast("binary"))
 
     df = df.withColumn(sec, F.transform(end, section))
-    return df.withColumn(f"{prefix}root", F.md5(F.array_join(sec, "").cast("binary"))).drop(end)
+    return df.withColumn(f"{prefix}root", F.md5(F.array_join(sec, "").cast("binary")))
 
 
 def likeness(a: str, b: str, equal: Column) -> Column:
@@ -122,10 +123,21 @@ def edits(a: str, b: str) -> Column:
     return F.when(F.col(f"{a}root") == F.col(f"{b}root"), F.array().cast("array<int>")).otherwise(differing)
 
 
-def first_section(a: str, b: str) -> Column:
-    """Place (from 1) of the first section of tree ``a`` that ``b`` lacks, null if none."""
-    lacking = F.array_except(f"{a}sections", f"{b}sections")
-    return F.when(F.col(f"{a}root") != F.col(f"{b}root"), F.array_position(F.col(f"{a}sections"), F.get(lacking, F.lit(0))).cast("int"))
+def first_edit(a: str, b: str) -> Column:
+    """Place (from 1) of the first paragraph at which tree ``a`` differs from ``b``, null below equal roots.
+
+    Equal sections at the beginning are passed by their nodes; then only the paragraphs of the first differing
+    section are compared (both trees' begin at the same place). Where ``b`` goes on after the end of ``a``, it is the place behind it.
+    """
+    x, y = F.col(f"{a}sections"), F.col(f"{b}sections")
+    differing = F.get(F.filter(F.sequence(F.lit(0), F.size(x)), lambda i: ~F.get(x, i).eqNullSafe(F.get(y, i))), F.lit(0))
+
+    def inside(k: Column) -> Column:
+        start = F.when(k == 0, F.lit(0)).otherwise(F.get(f"{a}ends", k - 1))
+        stop = F.coalesce(F.get(f"{a}ends", k), F.size(f"{a}paragraphs"))
+        return F.get(F.filter(F.sequence(start + 1, stop + 1), lambda i: ~F.get(f"{a}paragraphs", i - 1).eqNullSafe(F.get(f"{b}paragraphs", i - 1))), F.lit(0))
+
+    return F.when(F.col(f"{a}root") != F.col(f"{b}root"), _let(differing, inside)).cast("int")
 
 
 def trees(docs: DataFrame) -> DataFrame:
@@ -138,21 +150,23 @@ def trees(docs: DataFrame) -> DataFrame:
                       "paragraphs", "sections", "root")
 
 
+def groups_of(docs: DataFrame) -> Column:
+    """The group of neighbouring ids that a row belongs to; rows without an id are a group before all others."""
+    groups = max(1, min(docs.count() // DOCS_PER_GROUP, MAX_GROUPS))
+    return ordered.buckets(docs.select("doc_id"), ["doc_id"], groups).column.cast("long")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Adds ``next``: the text of the next document by descending doc_id, the last's being the first's.
 
-    Ids go in groups of about 250 neighbours (equal widths between the least
-    and the greatest id), one shuffle of the texts. The next of a group's last
+    Documents go in groups of about 250 neighbours (by counts, so an outlying id
+    changes nothing), one shuffle of the texts. The next of a group's last
     document is the greatest of the group below: at most MAX_GROUPS ids, so
     those are broadcast. Rows that share an id or lack one (after all others)
-    follow one another by text.
+    follow one another by text, in one group.
     """
     docs = id_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    groups = max(1, min(n // IDS_PER_GROUP, MAX_GROUPS))
-    width = 1 if lo is None else max(1, -(-(hi - lo + 1) // groups))
-    low = 0 if lo is None else lo
-    grouped = docs.withColumn("grp", F.coalesce(F.expr(f"cast((doc_id - {low}) div {width} as long)"), F.lit(-1)))
+    grouped = docs.withColumn("grp", groups_of(docs))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
     # the greatest id of each group and, for the group above it (the first group follows the last), that group
     tops = grouped.groupBy("grp").agg(F.max("doc_id").alias("top"))
@@ -171,7 +185,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text is the text with its last half replaced by as much of the
     next document's beginning. ``first_edit`` is the place (from 1) of the
-    first section of the edited text that the text lacks, null if none.
+    first paragraph of the edited text that differs from the text's, null if the texts are equal.
     """
     half = F.floor(F.col("n_chars") / 2).cast("int")
     df = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
@@ -183,7 +197,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                      F.col("root").alias("fingerprint"), F.col("edited_root").alias("edited_fingerprint"),
                      likeness("", "edited_", F.col("root") == F.col("edited_root")).alias("near_edited"),
                      likeness("", "next_", F.col("root") == F.col("next_root")).alias("near_next"),
-                     first_section("edited_", "").alias("first_edit"))
+                     first_edit("edited_", "").alias("first_edit"))
 
 
 _SQL_TREE = """
@@ -203,5 +217,5 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, troot AS fingerprint, uroot AS edited_fingerprint,
        CASE WHEN troot = uroot THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(tp, up)) / (len(list_distinct(tp)) + len(list_distinct(up))) END AS near_edited,
        CASE WHEN troot = vroot THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(tp, vp)) / (len(list_distinct(tp)) + len(list_distinct(vp))) END AS near_next,
-       CASE WHEN troot = uroot THEN NULL ELSE CAST(list_filter(range(1, len(us) + 1), lambda i: NOT list_contains(ts, us[i]))[1] AS INTEGER) END AS first_edit
+       CASE WHEN troot = uroot THEN NULL ELSE CAST(list_filter(range(1, len(up) + 2), lambda i: up[i] IS DISTINCT FROM tp[i])[1] AS INTEGER) END AS first_edit
 FROM v_tree"""
