@@ -256,7 +256,7 @@ def test_processing_time_alarm_fires(spark):
 
 def test_streaming_word_count_drops_empty_words(spark):
     from tidemark.operators import text as tx
-    from conftest import HELLO_LINES
+    from fixture_rows import HELLO_LINES
     d = tempfile.mkdtemp(prefix="tidemark-words-")
     for i, chunk in enumerate([HELLO_LINES[:3], HELLO_LINES[3:] + ["a  b "]]):
         p = os.path.join(d, f"w{i}.txt")

@@ -13,12 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import nan_min
+from tidemark.sinks.runs import Files
 from tidemark.sources import readings as rd
 from tidemark.streaming import stateful
 
@@ -189,10 +189,9 @@ class LateRouter:
     def _max_before(self, spark: SparkSession, batch_id: int):
         if batch_id == 0:
             return None
-        try:
-            row = spark.read.parquet(f"{self.state_dir}/batch={batch_id - 1}").first()
-        except AnalysisException:  # nothing seen yet
+        if f"batch={batch_id - 1}" not in Files(spark, self.state_dir).names(""):  # nothing seen yet; damage is an error
             return None
+        row = spark.read.schema("max_us bigint").parquet(f"{self.state_dir}/batch={batch_id - 1}").first()
         return None if row is None else row.max_us
 
     def _watermark(self, spark: SparkSession, batch_id: int):
