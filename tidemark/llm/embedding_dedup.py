@@ -224,7 +224,8 @@ def comparer(size: int, threshold: float, leaf: int, whole: frozenset[int]):
             one = np.flatnonzero(block == first)
             links, part = blockwise(x, mult, other, one, one if first == second else np.flatnonzero(block == second), threshold)
             some = np.flatnonzero(links)
-            return pa.table({"id": pa.array(ids[some]), "near": pa.array([[]] * len(some), kind), "links": pa.array(links[some]), "root": pa.array(ids[part[some]])})
+            return pa.table({"id": pa.array(ids[some]), "near": pa.array([[]] * len(some), pa.list_(pa.int64())), "copied": pa.array([[]] * len(some), kind),
+                             "links": pa.array(links[some]), "root": pa.array(ids[part[some]])})
         own, lists, ends, roots = [], [], [0], []
         for rows in grow(x, np.arange(len(ids)), leaf, np.random.default_rng([SEED, bucket >> 32, bucket & 0xFFFFFFFF, 1]), threshold):
             rows = np.sort(rows)
@@ -246,10 +247,14 @@ def comparer(size: int, threshold: float, leaf: int, whole: frozenset[int]):
                 part = parts(len(rows), np.concatenate([k[0] for k in links]), np.concatenate([k[1] for k in links]))
                 roots.append(ids[rows[part[np.concatenate([k[2] for k in links])]]])
         flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        values = pa.StructArray.from_arrays([pa.array(ids[flat]), pa.array(mult[flat])], names=["id", "mult"])
-        near = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        ends = np.array(ends, np.int64)
+        near = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids[flat]))
+        twice = np.concatenate([[0], np.cumsum(mult[flat] > 1)])
+        copies = flat[mult[flat] > 1]
+        values = pa.StructArray.from_arrays([pa.array(ids[copies]), pa.array(mult[copies])], names=["id", "mult"])
+        copied = pa.ListArray.from_arrays(pa.array(twice[ends].astype(np.int32)), values)
         none = [np.zeros(0, np.int64)]
-        return pa.table({"id": pa.array(np.concatenate(own or none)), "near": near.cast(kind), "links": pa.array(np.zeros(len(near), np.int64)),
+        return pa.table({"id": pa.array(np.concatenate(own or none)), "near": near, "copied": copied.cast(kind), "links": pa.array(np.zeros(len(near), np.int64)),
                          "root": pa.array(np.concatenate(roots or none))})
 
     return run
@@ -281,14 +286,16 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD, trees: in
         whole = frozenset(tree * 2**32 + at for tree, nodes in enumerate(tops) for at, node in enumerate(nodes) if isinstance(node, int))
         placed = of.mapInArrow(assigner(tops, size), f"bucket long, first int, second int, block int, whole array<long>, id long, mult long, v {kind}")
         found = placed.groupBy("bucket", "first", "second").applyInArrow(
-            comparer(size, threshold, leaf, whole), "id long, near array<struct<id:long,mult:long>>, links long, root long")
+            comparer(size, threshold, leaf, whole), "id long, near array<long>, copied array<struct<id:long,mult:long>>, links long, root long")
         near = found if near is None else near.union(found)
     if near is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    merged = near.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.sum("links").alias("links"),
+    # ids are told apart by hash; only those of vectors with copies carry a number, as structs are compared pair by pair
+    distinct = lambda c: F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
+    merged = near.groupBy("id").agg(distinct("near"), distinct("copied"), F.sum("links").alias("links"),
                                  F.collect_set("root").alias("roots")).checkpoint()
     found = components(merged.select(F.col("id").alias("a"), F.explode("roots").alias("b")))
-    counted = merged.select(F.col("id").alias("own"), F.aggregate("near", F.col("links"), lambda s, n: s + n["mult"]).alias("others"))
+    counted = merged.select(F.col("id").alias("own"), F.aggregate("copied", F.col("links") + F.size("near"), lambda s, n: s + n["mult"] - 1).alias("others"))
     classes = classes.join(counted, classes["id"] == counted["own"], "left").join(found, classes["id"] == found["node"], "left").select(
         F.col("v").alias("cv"), (F.coalesce("others", F.lit(0)) + F.col("mult") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
     out = rows.join(classes, F.col("fine") & (F.col("v") == F.col("cv")), "left")
