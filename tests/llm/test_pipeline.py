@@ -17,8 +17,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_registered():
     names = list(entry.queries())
     assert [n for n in names if re.match(r"op\d+_", n)] == list(QUERIES) and "pipeline" in names
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
-    assert {"op8_mixing", "op10_fingerprints"} <= set(entry.oracle_sql()) and pipeline.ORACLE_SQL is None
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14))
+    assert {"op8_mixing", "op10_fingerprints", "op11_lexical_search", "op12_line_dedup", "op13_filter_audit"} <= set(entry.oracle_sql()) and pipeline.ORACLE_SQL is None
     assert [n for n, _ in pipeline.STAGES] == ["language", "near_copies", "personal_data", "mix", "tokens"]
 
 
