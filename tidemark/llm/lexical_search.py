@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, id_text
+from tidemark.llm.common import chunks, id_text, text_bytes
 from tidemark.session import checkpoint_dir
 
 #: Text of a shard, about; a longer text is a shard of its own.
@@ -57,8 +57,6 @@ def terms(texts: list[bytes | None]) -> tuple[np.ndarray, pa.Array]:
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to rows of the index: for each shard its documents (term null), then a row a term."""
-    from tidemark.llm.common import text_bytes
-
     shard = TaskContext.get().partitionId() << 32
     for part in chunks(batches, SHARD_BYTES):
         n_terms, values = terms(text_bytes(part))
@@ -172,8 +170,6 @@ def _search(queries: list[tuple[int, list[tuple[str, int]]]], n_docs: int, n_ter
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) of items to (qid, item_id, term, tf)."""
-    from tidemark.llm.common import text_bytes
-
     qid = TaskContext.get().partitionId() << 32
     for part in batches:
         n_terms, values = terms(text_bytes(part))
