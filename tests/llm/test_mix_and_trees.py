@@ -57,6 +57,14 @@ def test_mix_rules(spark, monkeypatch, rows):
         assert max(r.taken // r.size for r in own if r.size) - min(r.taken // r.size for r in own if r.size) <= 1  # complete epochs first
 
 
+def test_key_buckets_are_even_for_any_weights(spark):
+    """Most rows of one low weight, some of others: no bucket holds much more than its share."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("w").alias("text"), F.lit("hot").alias("source"))
+    weight = F.when(F.col("doc_id") % 9 < 7, 0.05).when(F.col("doc_id") % 9 == 7, 0.7).otherwise(1000.0)
+    sizes = [r["count"] for r in mixing.with_keys(docs, 200, 1, weight).groupBy("bucket").count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= 1.4 * 40_000 / 200
+
+
 def test_mix_odd_rows(odd, empty):
     out = mixing.mix(odd).collect()
     assert len(out) == odd.count() and all(r.taken <= 3 * r.size for r in out) and mixing.mix(empty).count() == 0
