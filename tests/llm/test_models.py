@@ -28,6 +28,60 @@ def test_language_steps():
     assert [x for x, _ in out] == ["de", "en", "fr", "es", "und", "und", "und"]
 
 
+def plain_margins(model, text):
+    """Every machine's margin for a text, gram by gram."""
+    c = "".join(x.lower()[0] if x.isalpha() else " " for x in f" {text} ")
+    c = [0 if x == " " else ord(x) for x in c]
+    c = [x + 1 for i, x in enumerate(c) if i == 0 or x or c[i - 1]]
+    full, counts = 2**64, {}
+    for i, x in enumerate(c):
+        y = c[i + 1] if i + 1 < len(c) else 0
+        z = c[i + 2] if i + 2 < len(c) else 0
+        two = (x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F) % full >> 17
+        three = (two * 0xFF51AFD7ED558CCD + z * 0x165667B19E3779F9) % full >> 19
+        for g in (two % langid.WIDTH, three % langid.WIDTH):
+            counts[g] = counts.get(g, 0) + 1
+    norm = math.sqrt(sum(counts.values()))
+    return {k: sum(math.sqrt(n) * float(w[g]) for g, n in counts.items()) / norm + b for k, (w, b) in model["machines"].items()}
+
+
+def test_language_equals_plain_duels(documents):
+    """Predictions of a whole table equal those of duels counted one by one: families first, then languages within the family."""
+    model = langid.train(documents)
+    rows = documents.select("doc_id", "text").where("length(text) < 3000").collect()[:120]
+    got = langid.predict(model, langid.Grams(), [r.text for r in rows])
+
+    def best(names, at, step):
+        won = {n: 0 for n in names}
+        for (s, a, b), m in at.items():
+            if s == step and a in won and b in won:
+                won[a if m > 0 else b] += 1
+        return {n for n in names if won[n] == max(won.values())}
+
+    for r, (lang, _) in zip(rows, got):
+        if lang == langid.UNDETERMINED:
+            assert not any(x.isalpha() for x in r.text)
+            continue
+        at = plain_margins(model, r.text)
+        fam = next(f for f, names in model["groups"].items() if lang in names)
+        assert fam in best(list(model["groups"]), at, "family") and lang in best(model["groups"][fam], at, "language")
+
+
+def test_training_draws_are_bounded(spark, monkeypatch):
+    """An id that very many rows repeat, and very many languages, send no more than the bound to the driver."""
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 30)
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 5)
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text a@b.cc "), F.col("id").cast("string")).alias("text"),
+        F.when(F.col("id") < 3000, "en").when(F.col("id") < 4500, "de").when(F.col("id") < 5500, "fr").otherwise(F.concat(F.lit("x"), F.col("id") % 90)).alias("lang"))
+    texts, langs = langid.sample(docs, 3, 1)
+    assert {"en", "de", "fr"} <= set(langs) and len(set(langs)) <= 5 and all(1 <= langs.count(x) <= 30 for x in set(langs))
+    assert (texts, langs) == langid.sample(docs.repartition(5), 3, 1)
+    monkeypatch.setattr(pii, "FIT_ROWS", 20)
+    monkeypatch.setattr(pii.Field, "fit", lambda self, texts: setattr(self, "w", {"n": len(texts)}) or self)
+    assert pii.train(docs)["n"] <= 20
+
+
 def test_language_odd_rows(odd, empty):
     got = {(r.doc_id, r.lang_pred, r.score) for r in langid.language_query(odd).collect()}
     assert {(2, "und", 0.0), (3, "und", 0.0), (4, "und", 0.0), (9, "und", 0.0)} <= got and langid.language_query(odd).count() == odd.count()

@@ -14,7 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ UNDETERMINED = "und"
 WIDTH = 8192
 #: Texts to fit on: at most this many a language and in all, those with the least hash of their id.
 PER_LANGUAGE, IN_ALL = 1_000, 4_000
+#: Languages that are learned: the most frequent ones, equal counts by name.
+MOST_LANGUAGES = 128
 EPOCHS, RIDGE = 120, 1e-4
 
 
@@ -147,24 +149,23 @@ def predict(model: dict, grams: Grams, texts: list[str]) -> list[tuple[str, floa
 
 
 def sample(docs: DataFrame, folds: int, held: int) -> tuple[list[str], list[str]]:
-    """At most PER_LANGUAGE texts of each language (fewer if there are many), outside the held-out fold."""
+    """At most PER_LANGUAGE texts of each learned language (fewer if there are many), outside the held-out fold.
+
+    A share drawn by the hash of the id is cut to the bound on Spark, so that
+    an id which many rows repeat sends no more than others to the driver.
+    """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", folds) != held))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    each = max(1, min(PER_LANGUAGE, IN_ALL // max(len(counts), 1)))
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    if not most:
+        return [], []
+    each = min(PER_LANGUAGE, IN_ALL // len(most))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    share = {k: each / n for k, n in counts.items()}
-    want = F.lit(0.0)
-    for k, v in share.items():
-        want = F.when(F.col("lang") == k, min(v, 1.0)).otherwise(want)
-    got = rows.where(draw <= want).select("lang", "text", draw.alias("draw")).collect() if counts else []
+    shares = F.create_map(*[F.lit(x) for r in most for x in (r["lang"], min(each / r["n"], 1.0))])
+    drawn = rows.select("lang", "text", draw.alias("draw")).where(F.col("draw") <= F.element_at(shares, F.col("lang")))
+    first = Window.partitionBy("lang").orderBy("draw", "text")
+    got = drawn.withColumn("place", F.row_number().over(first)).where(F.col("place") <= each).collect()
     got.sort(key=lambda r: (r["draw"], r["text"]))
-    texts, langs, taken = [], [], dict.fromkeys(counts, 0)
-    for r in got:
-        if taken[r["lang"]] < each:
-            taken[r["lang"]] += 1
-            texts.append(r["text"])
-            langs.append(r["lang"])
-    return texts, langs
+    return [r["text"] for r in got], [r["lang"] for r in got]
 
 
 def fold(id_col: str, folds: int):
@@ -186,8 +187,9 @@ def scorer(model: dict):
 def train(docs: DataFrame, folds: int = 3, held: int = 1) -> dict:
     """The model, from text and non-null lang of documents outside the held-out fold.
 
-    The sample is PER_LANGUAGE texts a language and IN_ALL in all at most; it is
-    all that reaches the driver. Without labelled rows no language is known.
+    The sample is PER_LANGUAGE texts a language and IN_ALL in all at most, of the
+    MOST_LANGUAGES most frequent languages; it is all that reaches the driver.
+    Without labelled rows no language is known.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     return fit(*sample(rows, folds, held))

@@ -282,13 +282,14 @@ def overlapping(taken: list[tuple[int, int]], a: int, b: int) -> list[tuple[int,
 def train(docs: DataFrame) -> dict[tuple[str, str], float]:
     """Weights of the field, from about FIT_ROWS whole texts with a signal, drawn by the hash of their id; no labels.
 
-    The draw is a share of the ids, so a task sends its share only; what exceeds FIT_ROWS is left.
+    The draw is a share of the ids, cut to the first FIT_ROWS on Spark: a task
+    sends no more, also where one id has very many rows.
     """
     rows = id_text(docs).where(F.col("text").rlike(SIGNAL.pattern))
     share = FIT_ROWS / max(rows.count(), 1)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    got = sorted((r["draw"], r["text"]) for r in rows.where(draw < share).select(draw.alias("draw"), "text").collect())
-    return dict(Field().fit([t for _, t in got[:FIT_ROWS]]).w)
+    got = rows.where(draw < share).select(draw.alias("draw"), "text").orderBy("draw", "text").limit(FIT_ROWS).collect()
+    return dict(Field().fit([r["text"] for r in got]).w)
 
 
 def finder(weights: dict):
