@@ -163,6 +163,31 @@ def test_large_groups_walk_like_pairs():
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_large_keys_are_dealt_anew(spark, monkeypatch):
+    """A key of very many fingerprints loses no link when its rows go on by further pieces, also where it runs over batches."""
+    monkeypatch.setattr(simhash, "LARGE_GROUP", 40)
+    rnd = np.random.default_rng(5)
+    hot = (rnd.integers(0, 2**63, 1200).astype(np.uint64) & ~np.uint64(2**21 - 1)) | np.uint64(12345)  # one segment is equal
+    near = hot[:300].copy()
+    for _ in range(4):
+        near ^= np.uint64(1) << rnd.integers(0, 64, 300).astype(np.uint64)
+    dense = hot[0] ^ (np.uint64(1) << rnd.integers(0, 64, 90).astype(np.uint64)) ^ (np.uint64(1) << rnd.integers(0, 64, 90).astype(np.uint64))
+    fps = np.unique(np.concatenate([hot, near, dense]))
+    part = linked(list(fps), lambda i: np.bitwise_count(fps ^ fps[i]) <= 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        links = simhash.near_fingerprints(spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long").repartition(3))
+        pairs = [(r.a, r.b) for r in links.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all((a ^ b).bit_count() <= 4 or ((a ^ b) & (2**64 - 1)).bit_count() <= 4 for a, b in pairs)
+    found = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    classes = {}
+    for f, p in zip(fps.view(np.int64).tolist(), part):
+        classes.setdefault(p, set()).add(found.get(f, f))
+    assert all(len(c) == 1 for c in classes.values()) and len(set.union(*classes.values())) == len(classes)
+
+
 def test_one_of_each_keeps_one(odd):
     kept = simhash.one_of_each(odd, simhash.simhash_groups(odd)).collect()
     ids = [r.doc_id for r in kept if r.doc_id is not None]

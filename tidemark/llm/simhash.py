@@ -8,13 +8,16 @@ key is verified on all 64 bits.
 
 Equal fingerprints are one node from the start, so a group of copies of any
 size costs one row. A key's nodes are never paired out: small groups are
-compared at shifted places of the sorted column, large ones are walked
-breadth first, which emits a spanning forest only.
+compared at shifted places of the sorted column, larger ones are walked
+breadth first, which emits a spanning forest only. No task holds a key of very
+many nodes: they are dealt anew by the bits outside the key's segment, cut
+into one piece more than bits may differ, so near nodes agree on one of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from tidemark.session import checkpoint_dir
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: Groups up to this size are compared pair by pair at shifted places; larger ones are walked.
 SMALL_GROUP = 16
+#: Larger groups are dealt anew by further pieces of their bits, at most this many times.
+LARGE_GROUP, REFINEMENTS = 4_096, 2
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -68,15 +73,36 @@ def signed(x: int) -> int:
 
 
 def variants(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(key, fp): one row for each bit, with the bit's segment less that bit as the key."""
+    """(key, fp): one row for each bit, with the bit's segment less that bit as the key. The key's last six bits name the bit."""
     keys = []
     for bits in segments(max_bits):
         for bit in bits:
             mask = signed(sum(1 << b for b in bits if b != bit))
-            keys.append(F.xxhash64(F.lit(bit), F.col("fp").bitwiseAND(F.lit(mask))))
+            keys.append(F.xxhash64(F.col("fp").bitwiseAND(F.lit(mask))).bitwiseAND(F.lit(-64)).bitwiseOR(F.lit(bit)))
     return fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
 
 
+def segment_of(key: np.ndarray, max_bits: int) -> np.ndarray:
+    """The bits (as a mask) of the segment that a key of ``variants`` is about."""
+    masks = np.zeros(64, np.uint64)
+    for bits in segments(max_bits):
+        masks[bits] = sum(1 << b for b in bits)
+    return masks.view(np.int64)[key & 63]
+
+
+def refined(key: np.ndarray, used: np.ndarray, fp: np.ndarray, max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of large groups, once for each piece of the bits not yet ``used``, under a key that tells the piece's value too."""
+    for mask in np.unique(used):
+        rows = used == mask
+        bits = [b for b in range(64) if not int(mask) >> b & 1]
+        for n, piece in enumerate(np.array_split(bits, max_bits + 1), 1):
+            own = np.int64(signed(sum(1 << int(b) for b in piece)))
+            x = key[rows].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n)  # equal keys of unlike rows cost a comparison only
+            x = (x ^ (x >> np.uint64(31)) ^ (fp[rows] & own).view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(29))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(fp[rows]), pa.array(np.full(len(x), mask | own))], names=["a", "b", "used"])
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64))  # of signed numbers it would count the absolute value's
 
@@ -96,15 +122,21 @@ def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return out
 
 
-def linker(max_bits: int):
-    """Rows (key, fp) in key order to verified links (a, b); a key may run over batches."""
+def linker(max_bits: int, level: int):
+    """Rows (key, fp[, used]) in key order to verified links (a, b, null), and those of large groups to ``refined`` rows.
 
-    def links(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+    A key may run over batches. Of a group that will be dealt anew no more than LARGE_GROUP rows and a batch are held.
+    """
+    most = LARGE_GROUP if level < REFINEMENTS else 1 << 62
+
+    def links(key: np.ndarray, used: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
-        large = np.repeat(sizes > SMALL_GROUP, sizes)
-        small_key, small_fp = key[~large], fp[~large]
+        each = np.repeat(sizes, sizes)
+        if (sizes > most).any():
+            yield from refined(key[each > most], used[each > most], fp[each > most], max_bits)
+        small_key, small_fp = key[each <= SMALL_GROUP], fp[each <= SMALL_GROUP]
         for shift in range(1, SMALL_GROUP):
             if len(small_key) <= shift:
                 break
@@ -115,39 +147,59 @@ def linker(max_bits: int):
             near = popcount(x ^ y) <= max_bits
             a.append(x[near])
             b.append(y[near])
-        for s, n in zip(starts[sizes > SMALL_GROUP], sizes[sizes > SMALL_GROUP]):
+        walked = (sizes > SMALL_GROUP) & (sizes <= most)
+        for s, n in zip(starts[walked], sizes[walked]):
             found = forest(fp[s:s + n], max_bits)
             a.append(np.array([x for x, _ in found], np.int64))
             b.append(np.array([y for _, y in found], np.int64))
         if a:
             pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], names=["a", "b", "used"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []  # the last key's rows so far
+        passing = None  # a large key whose rows go on as they come
+
+        def joined() -> list[np.ndarray]:
+            return [np.concatenate(x) for x in zip(*held)]
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
             key, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if key[-1] == key[0] and held and held[-1][0][-1] == key[0]:
-                held.append((key, fp))  # a long group goes on
+            part = (key, batch.column(2).to_numpy() if level else segment_of(key, max_bits), fp)
+            if passing is not None and len(key):
+                n = int(np.searchsorted(key, passing, "right"))
+                yield from refined(*(x[:n] for x in part), max_bits)
+                part = tuple(x[n:] for x in part)
+                key = part[0]
+            if not len(key):
                 continue
-            cut = len(key) - int(np.argmax(key[::-1] != key[-1])) if key[0] != key[-1] else 0
-            if cut or held and held[-1][0][-1] != key[0]:
-                held.append((key[:cut], fp[:cut]))
-                yield from links(np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held]))
+            passing = None
+            cut = int(np.searchsorted(key, key[-1]))  # rows of the last key may go on
+            if cut or held and held[-1][0][-1] != key[-1]:
+                held.append(tuple(x[:cut] for x in part))
+                yield from links(*joined())
                 held = []
-            held.append((key[cut:], fp[cut:]))
+            held.append(tuple(x[cut:] for x in part))
+            if sum(len(x[0]) for x in held) > most:
+                yield from refined(*joined(), max_bits)
+                held, passing = [], key[-1]
         if held:
-            yield from links(np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held]))
+            yield from links(*joined())
 
     return run
 
 
 def near_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Distinct ``fp`` to links (a, b) that connect all within ``max_bits`` bits."""
-    keyed = variants(fps, max_bits).repartition("key").sortWithinPartitions("key")
-    return keyed.mapInArrow(linker(max_bits), "a long, b long").distinct()
+    rows, found = variants(fps, max_bits), []
+    for level in range(REFINEMENTS + 1):
+        out = rows.repartition("key").sortWithinPartitions("key").mapInArrow(linker(max_bits, level), "a long, b long, used long").checkpoint()
+        found.append(out.where("used is null").select("a", "b"))
+        large = out.where("used is not null")
+        if large.isEmpty():
+            break
+        rows = large.select(F.col("a").alias("key"), F.col("b").alias("fp"), "used")
+    return reduce(DataFrame.union, found).distinct()
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
