@@ -115,8 +115,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     weight = quality(F.col("text")) if weight is None else weight
     buckets = max(1, math.ceil(docs.count() / ROWS_PER_BUCKET))
     keyed = with_keys(docs, buckets, seed, weight)
-    narrow = keyed.select("source", "bucket", "key", "tie", "size")
     checkpoint_dir(spark)
+    narrow = keyed.select("source", "bucket", "key", "tie", "size").checkpoint()  # texts are counted for the plan once
     lines = plan(narrow, weights, max_epochs).checkpoint()
     if lines.count() <= BROADCAST_SOURCES:
         lines = F.broadcast(lines)
