@@ -194,6 +194,45 @@ def test_every_secret_is_a_candidate():
     assert len(found) == len(set(found)) and "password: hunterabc" in [text[a:b] for a, b, _ in found]
 
 
+def test_planted_secrets_are_found(spark):
+    """Recall and precision over texts that were not fitted on, with values and surroundings of their own and decoys."""
+    def value(rnd):
+        return "".join(rnd.choices("abcdefghjkmnpqrstuvwxyz0123456789", k=rnd.randint(10, 40)))
+
+    def planted(rnd, i):
+        key = rnd.choice(["password", "token", "secret", "api_key", "Password", "passwd"])
+        secret = rnd.choice([f"{key}={value(rnd)}", f"{key}: {value(rnd)}", f'{key}="{value(rnd)}"', "AKIA" + "".join(rnd.choices("ABCDEFGHIJ0123456789", k=16))])
+        words = [rnd.choice("the note of a server page was read in 1999 by 12 people version 4.0 see https://a.example/p?q=17 at 10:45".split()) for _ in range(rnd.randint(8, 40))]
+        at = rnd.randint(0, len(words))
+        return " ".join([*words[:at], *([secret] if i % 2 else []), *words[at:]]), secret.strip('"') if i % 2 else None
+
+    fitted = [(10**6 + i, planted(random.Random(i), i)[0]) for i in range(300)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    field = pii.Field(pii.train(docs.union(spark.createDataFrame(fitted, "doc_id long, text string"))))
+    hits = found = wanted = 0
+    for i in range(1_000, 1_600):
+        text, secret = planted(random.Random(i), i)
+        got = [text[a:b] for a, b, k in field.spans(text, pii.base_spans(text)) if k == "secret"]
+        hits += secret is not None and any(secret in g for g in got)
+        found, wanted = found + len(got), wanted + (secret is not None)
+    assert wanted == 300 and hits >= 0.9 * wanted and hits >= 0.9 * found, (hits, found, wanted)
+
+
+def test_secrets_of_any_length_are_whole():
+    """Beyond the tokens' length the value goes on to its end, or to the next base span."""
+    rnd = random.Random(9)
+    field = pii.Field().fit([f"note {i} token={''.join(rnd.choices('abcdefgh0123', k=rnd.choice([20, 180, 300])))} and more" for i in range(60)] + ["nothing 12 here"] * 20)
+    for n in (150, 199, 201, 400, 805, 3_000, 50_000):
+        value = "token=" + "".join(rnd.choices("abcdefgh0123", k=n))
+        text = f"here 1 {value}, then 2 more"
+        assert [text[a:b] for a, b, k in field.spans(text, pii.base_spans(text)) if k == "secret"] == [value], n
+    text = "token=" + "ab1c" * 200 + "é" * 100
+    assert [text[a:b] for a, b, _ in field.spans(text, [])] == [text[:-100]]
+    text = "token=" + "ab1c" * 300 + " a@b.cd"
+    spans = field.spans(text, pii.base_spans(text))
+    assert [text[a:b] for a, b, _ in pii.ordered(spans)] == [text[:-7], "a@b.cd"]
+
+
 def test_marginals_sum_over_all_segmentations():
     """Forward and backward sums against the enumeration of every segmentation."""
     rnd = random.Random(6)

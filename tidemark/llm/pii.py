@@ -45,8 +45,11 @@ KEYWORDS = frozenset("password passwd token secret key apikey api_key email mail
 #: What makes a span a candidate whatever else it holds; SECRET marks nothing without one.
 KEYED = re.compile(r"(?i:\b(?:password|passwd|token|secret|api_?key)\b)\x20?[=:]|\b(?:AKIA|ASIA)[A-Z0-9]{12,}")
 SIGNAL = re.compile(KEYED.pattern + "|[0-9@]")
-#: A token never spans this many characters; longer ones are cut, so a text without spaces stays bounded in work.
-TOKEN = re.compile(r"\S{1,200}")
+#: A token never spans more characters; longer ones are cut, so a text without spaces stays bounded in work.
+TOKEN_CHARS = 200
+TOKEN = re.compile(r"\S{1,%d}" % TOKEN_CHARS)
+#: What a secret goes on with where its last token was cut.
+TAIL = re.compile(r"[A-Za-z0-9_.~+/=-]*+")
 EDGES = ".,;:!?\"'()[]{}<>|*#%&$"
 Span = tuple[int, int, str]
 
@@ -103,7 +106,7 @@ def islands(text: str) -> Iterator[list[tuple[int, int]]]:
     while reach < len(hits):
         first = last = hits[reach][0]
         left = max(text.rfind("\n", done, first) + 1, first - 60, done)
-        head = text[max(done, left - 200 * CONTEXT):left]
+        head = text[max(done, left - TOKEN_CHARS * CONTEXT):left]
         left -= len(re.search(r"\S*\Z", head).group())
         tokens, more = [], 0
         for m in TOKEN.finditer(text, left):
@@ -268,11 +271,20 @@ class Field:
                 a, b = trimmed(text, tokens[i][0], tokens[j - 1][1])
                 near = [s for s in taken if s[0] < b and a < s[1]] if len(taken) < 50 else overlapping(taken, a, b)
                 if b > a >= done and not near and chance[i, j, k] >= SURE:  # an island's last tokens may begin the next one
+                    if k == "secret" and b - tokens[j - 1][0] == TOKEN_CHARS:
+                        b = whole(text, a, b, taken)
                     out.append((a, b, k))
                     done = b
         return out
 
 
+def whole(text: str, a: int, b: int, taken: list[tuple[int, int]]) -> int:
+    """Where a secret ends whose last token was cut at ``b``: however long it is, but before the next base span."""
+    at = bisect_left(taken, (b, 0))
+    end = min([TAIL.match(text, b).end(), *(s[0] for s in taken[at:at + 1])])
+    return trimmed(text, b, end)[1] if end > b else b
+
+
 def overlapping(taken: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
     """Of sorted spans those that meet a to b. Spans of one kind are apart, so few reach over a."""
     at = bisect_left(taken, (b, 0))
@@ -352,7 +364,7 @@ def redacted(docs: DataFrame, weights: dict) -> DataFrame:
 
 
 def pii_query(docs: DataFrame) -> DataFrame:
-    """The contract's columns: counts of base spans by kind, their digest, and all spans."""
+    """The contract's columns (counts of base spans by kind, their digest, all spans), and how many secrets and spans there are."""
     found = find(id_text(docs), train(docs)).drop("text")
     base = F.filter("pii", lambda s: s["base"])
 
@@ -362,4 +374,5 @@ def pii_query(docs: DataFrame) -> DataFrame:
     def count(kind):
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(count, BASE), F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *map(count, BASE), F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("pii")).alias("spans"),
+                        F.size(F.filter("pii", lambda s: s["kind"] == "secret")).cast("long").alias("n_secret"), F.size("pii").cast("long").alias("n_spans"))
