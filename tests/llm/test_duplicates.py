@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -61,6 +62,26 @@ def test_substrings(spark, monkeypatch, blocks):
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == repeats(rows)
 
 
+def test_substrings_of_the_greatest_id(spark):
+    """It stays an id beside rows that have none."""
+    line = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, line), (2**63 - 1, f"a {line} b"), (None, f"c {line}"), (2**63 - 1, line), (None, line), (None, None)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == repeats(rows)
+
+
+def test_window_hashes_that_clash_are_told_apart(monkeypatch):
+    """Single windows of overfull anchors carry their anchor beside the hash."""
+    runs = sub.Windows.runs
+    monkeypatch.setattr(sub.Windows, "runs", lambda self, starts, size: np.full(len(starts), 7, np.uint64) if np.ndim(size) == 0 and size == sub.LENGTH else runs(self, starts, size))
+    words = [f"w{i}" for i in range(60)]
+    text = b" ".join(w.encode() for w in words)
+    blocks = [{"start": 0, "n": 1, "anchor": 11, "full": True}, {"start": 40, "n": 1, "anchor": 12, "full": True}]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64()), ("full", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0], pa.int32()), pa.array([text.decode()]), pa.array([blocks], kind)], names=["id", "ver", "text", "blocks"])
+    (out,) = sub.block_words(iter([batch]))
+    assert out.to_pydict() | {"words": None} == {"key": [7, 7], "anchor": [11, 12], "id": [1, 1], "ver": [0, 0], "start": [0, 40], "words": None}
+
+
 def test_substrings_of_documents(documents):
     assert got(documents) == repeats([(r.doc_id, r.text) for r in documents.collect()])
 

@@ -17,7 +17,7 @@ have equal anchors and only passages that share an anchor need to meet:
 A shard is dealt by anchor and not broadcast, because the reference grows with the corpus.
 An anchor with more distinct blocks than a shard takes (the edge of a passage that stands
 in very many surroundings) is cut into single windows, which combine
-before the shuffle as equal blocks do.
+before the shuffle as equal blocks do. Windows count as equal if anchor and hash, 64 bits each, are.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ TABLE_BITS = 27
 #: Distinct blocks of an anchor that go into one shard, at most, and words of a shard, about.
 SHARD_BLOCKS, SHARD_WORDS = 1_000, 60_000
 CACHE_WORDS = 400_000
-#: Stands for a missing doc_id, after all others.
+#: Orders rows without a doc_id after all others.
 NO_ID = 2**63 - 1
 U = np.uint64
 BASE, INVERSE = U(0x9E3779B97F4A7C15), U(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -185,23 +185,24 @@ def cut_blocks(table):
 def block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their blocks to the blocks' words; blocks of an overfull anchor to their single windows' hashes."""
     hashes = Hashes()
-    names = ["key", "id", "ver", "start", "words"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["key", "anchor", "id", "ver", "start", "words"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     for batch in chunks(batches):
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[] for _ in names]
         ids, vers = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for i, (text, blocks) in enumerate(zip(text_bytes(batch), batch.column(3).to_pylist())):
             words = split(text)
             whole = [b for b in blocks if not b["full"]]
-            single = sorted({s for b in blocks if b["full"] for s in range(b["start"], b["start"] + b["n"])})
+            single = {s: b["anchor"] for b in blocks if b["full"] for s in range(b["start"], b["start"] + b["n"])}
             keys = [b["anchor"] for b in whole]
+            anchors = keys + list(single.values())
             places = [b["start"] for b in whole]
             texts = [b" ".join(words[b["start"]:b["start"] + b["n"] + LENGTH - 1]) for b in whole]
             if single:
-                keys += Windows([words], hashes).runs(np.array(single), LENGTH).view(np.int64).tolist()
+                keys = keys + Windows([words], hashes).runs(np.array(list(single)), LENGTH).view(np.int64).tolist()
                 places += single
                 texts += [None] * len(single)
-            for column, values in zip(out, (keys, [ids[i]] * len(keys), [vers[i]] * len(keys), places, texts)):
+            for column, values in zip(out, (keys, anchors, [ids[i]] * len(keys), [vers[i]] * len(keys), places, texts)):
                 column += values
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
@@ -303,13 +304,13 @@ def match_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """id, ver, text: rows of one id and one text are one document, later texts of an id are versions of it."""
+    """id (never null), ver, text, doc_id: rows of one id and one text are one document, other texts of an id are versions of it."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("ver"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("ver"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """``keyed`` texts to id, ver, spans: arrays of (start, size) in words that windows starting earlier elsewhere cover."""
+    """``keyed`` texts (id, ver, text) to id, ver, spans: arrays of (start, size) in words that windows starting earlier elsewhere cover."""
     spark = texts.sparkSession
     folder = f"{checkpoint_dir(spark)}/substrings-{uuid.uuid4().hex}"
     table = spark.sparkContext.broadcast(repeated_anchors(texts))
@@ -330,12 +331,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     listed = first.join(several, F.col("anchor") == F.col("a")).groupBy(F.col("first.id").alias("bid"), F.col("first.ver").alias("bver")).agg(
         F.collect_list(F.struct(F.col("first.start").alias("start"), "n", "anchor", "full")).alias("blocks"))
     worded = texts.join(listed, (F.col("id") == F.col("bid")) & (F.col("ver") == F.col("bver"))).select("id", "ver", "text", "blocks")
-    parts = worded.mapInArrow(block_words, "key long, id long, ver int, start int, words binary")
-    matched = parts.where("words is not null").repartition("key").sortWithinPartitions("key", "id", "start", "ver").mapInArrow(
+    parts = worded.mapInArrow(block_words, "key long, anchor long, id long, ver int, start int, words binary")
+    matched = parts.where("words is not null").drop("anchor").repartition("key").sortWithinPartitions("key", "id", "start", "ver").mapInArrow(
         match_shards, "id long, ver int, start int, size int")
-    single = parts.where("words is null").select("key", "id", "ver", "start")
-    least = single.groupBy("key").agg(F.min(F.struct("id", "start")).alias("least"), F.count("*").alias("times")).where("times > 1").select(F.col("key").alias("k"), "least")
-    windows = single.join(least, F.col("key") == F.col("k")).where(F.struct("id", "start") > F.col("least")).select(
+    single = parts.where("words is null").select("key", "anchor", "id", "ver", "start")
+    least = single.groupBy("key", "anchor").agg(F.min(F.struct("id", "start")).alias("least"), F.count("*").alias("times")).where("times > 1").select(F.col("key").alias("k"), F.col("anchor").alias("a"), "least")
+    windows = single.join(least, (F.col("key") == F.col("k")) & (F.col("anchor") == F.col("a"))).where(F.struct("id", "start") > F.col("least")).select(
         "id", "ver", "start", F.lit(LENGTH).alias("size"))
     spans = copies.union(matched).union(windows)
     return spans.groupBy(F.col("id").alias("sid"), F.col("ver").alias("sver")).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
@@ -345,7 +346,7 @@ def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their spans to the kept words joined by one space."""
     for batch in chunks(batches):
         out: list[list] = [[], [], []]
-        for text, spans in zip(text_bytes(batch), batch.column(3).to_pylist()):
+        for text, spans in zip(text_bytes(batch), batch.column(2).to_pylist()):
             words = split(text)
             kept = words
             if spans:
@@ -366,15 +367,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A window is judged on the input: it goes if an equal one starts at a
     smaller doc_id, or earlier in the same document. Null and empty texts have no words.
-    Rows without a doc_id come after all others, as versions of one document. Rows
+    Rows without a doc_id come after all others, as versions of one document (that of the greatest long, if there is one). Rows
     with one doc_id and one text are one document, so neither is earlier,
     and repeat in the result. Other columns are left out. The texts move once.
     """
     texts = keyed(docs)
-    spans = repeated_spans(texts)
-    joined = texts.join(spans, (F.col("id") == F.col("sid")) & (F.col("ver") == F.col("sver")), "left").select("id", "ver", "text", "spans")
-    out = joined.mapInArrow(strip, "doc_id long, n_words long, n_removed long, kept string")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    spans = repeated_spans(texts.select("id", "ver", "text"))
+    joined = texts.join(spans, (F.col("id") == F.col("sid")) & (F.col("ver") == F.col("sver")), "left").select("doc_id", "text", "spans")
+    return joined.mapInArrow(strip, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def substring_query(docs: DataFrame) -> DataFrame:
