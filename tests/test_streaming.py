@@ -220,6 +220,30 @@ def test_lateness_counts_stream_match_table(spark):
                    1030000: 1, 1025000: 2}
 
 
+def test_lateness_counts_stay_few_files(spark):
+    """Twenty batches leave few live runs and two running maxima; a replayed batch counts once."""
+    base = tempfile.mkdtemp(prefix="tidemark-lruns-")
+    counter = runner.LatenessWindowCounts(f"{base}/state", f"{base}/counts", 15, 5, 5, 60)
+    assert counter.read_counts(spark).count() == 0
+    batches = [spark.createDataFrame([("k", 1000 + 3 * i), (None if i % 2 else "b", 1000)], "id string, t bigint")
+               .select("id", F.timestamp_seconds("t").alias("ts")) for i in range(20)]
+    for i, b in enumerate(batches):
+        counter(b, i)
+        if i in (0, 7, 19):
+            counter(b, i)
+    assert len(counter._runs(spark).live()) == 2 + 20 % 8
+    assert sorted(n for n in os.listdir(f"{base}/state") if n.startswith("batch=")) == ["batch=18", "batch=19"]
+    want, top = {}, None
+    for i in range(20):
+        for key, t in (("k", 1000 + 3 * i), (None if i % 2 else "b", 1000)):
+            for start in range(t - t % 5, t - t % 5 - 15, -5):
+                if top is None or (start + 15) * 1000 - 1 + 60_000 > (top - 5) * 1000:
+                    want[key, start * 1000] = want.get((key, start * 1000), 0) + 1
+        top = max(1000 + 3 * i, top or 0)
+    got = {(r.id, r.window_start_ms): r.cnt for r in counter.read_counts(spark).collect()}
+    assert got == want
+
+
 def test_processing_time_sources(spark):
     from tidemark.sources import readings as rd
     # mixed-type collection, text lines, table replay, processing-time window

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import nan_min
-from tidemark.sinks.runs import Files
+from tidemark.sinks.runs import Files, Runs
 from tidemark.sources import readings as rd
 from tidemark.streaming import stateful
 
@@ -163,7 +163,8 @@ class LateRouter:
     The watermark for a batch is ``max(event time of earlier batches) -
     delay``. After each batch the running max so far is written under
     ``state_dir/batch=<id>``, so a batch reads one small file (its
-    predecessor's) and a replayed batch sees the same watermark. A row is
+    predecessor's) and a replayed batch sees the same watermark; files before
+    the predecessor's are deleted, as no replay needs them. A row is
     late when even its last window closed: ``end - 1 ms + lateness <= watermark``. On-time and
     late rows go to their own parquet folders, one ``batch=<id>`` folder per
     micro-batch written with overwrite, so a replayed batch replaces itself.
@@ -206,6 +207,11 @@ class LateRouter:
         if vals:
             (spark.createDataFrame([(int(max(vals)),)], "max_us bigint")
              .write.mode("overwrite").parquet(f"{self.state_dir}/batch={batch_id}"))
+        files = Files(spark, self.state_dir)
+        for name in files.names(""):
+            number = name.removeprefix("batch=")
+            if number.isdigit() and int(number) < batch_id - 1:
+                files.delete(name)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -230,9 +236,10 @@ class LatenessWindowCounts(LateRouter):
     when the row itself is behind the watermark (Spark's own watermark drops
     such rows, so this runs in ``foreachBatch`` instead of ``withWatermark``).
 
-    Each batch's partial counts are written under ``counts_dir/batch=<id>``
-    (overwrite: a replayed batch replaces itself); ``read_counts`` sums them,
-    and every batch refines the windows it touched.
+    The counts are a table of levelled runs at ``counts_dir``: each batch adds
+    its partial counts, full levels are summed into one run, and a replayed
+    batch is skipped. So a read of many batches touches few files, and every
+    batch refines the windows it touched.
     """
 
     def __init__(self, state_dir: str, counts_dir: str, size_s: int, slide_s: int,
@@ -240,6 +247,12 @@ class LatenessWindowCounts(LateRouter):
         super().__init__(state_dir, "", "", size_s, slide_s, delay_s, lateness_s, key=key)
         self.counts_dir = counts_dir
 
+    def _runs(self, spark: SparkSession) -> Runs:
+        def summed(rows: DataFrame) -> DataFrame:
+            return rows.groupBy(self.key, "window_start_ms").agg(F.sum("cnt").alias("cnt"))
+
+        return Runs(spark, self.counts_dir, summed, [self.key, "window_start_ms"])
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         wm = self._watermark(spark, batch_id)
@@ -255,9 +268,12 @@ class LatenessWindowCounts(LateRouter):
                                 + F.lit(self.lateness_s * US) > F.lit(wm))
         counts = (pairs.groupBy(self.key, "_start").agg(F.count(F.lit(1)).alias("cnt"))
                   .select(self.key, (F.col("_start") / MS).cast("bigint").alias("window_start_ms"), "cnt"))
-        counts.write.mode("overwrite").parquet(f"{self.counts_dir}/batch={batch_id}")
+        self._runs(spark).add(counts, batch_id)
         self._save_max(spark, batch_id, batch.agg(F.max(self._advance(t)).alias("m")).first().m)
 
     def read_counts(self, spark: SparkSession) -> DataFrame:
-        return (spark.read.parquet(self.counts_dir).groupBy(self.key, "window_start_ms")
-                .agg(F.sum("cnt").cast("int").alias("cnt")))
+        """The counts so far; no rows before the first batch."""
+        counts = self._runs(spark).read()
+        if counts is None:
+            return spark.createDataFrame([], f"`{self.key}` string, window_start_ms bigint, cnt int")
+        return counts.withColumn("cnt", F.col("cnt").cast("int"))
