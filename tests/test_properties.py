@@ -1,6 +1,10 @@
 """Randomised checks against small pure-Python models of the reference's semantics."""
 import random
 import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
 
 import __spark_entry__ as E
 from tidemark.functions import udfs
@@ -70,3 +74,45 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     d = checkpoint_dir(spark)
     assert named.rstrip("/").split("/")[-1] in d  # Spark adds a per-application sub-folder
+
+
+def _rolled(lines, sep=" "):
+    """(id, pos, word, count) by the definition: ids in order (null first), equal ids by position."""
+    toks = sorted(((i is not None, i or 0, p), i, w) for i, t in lines if t is not None for p, w in enumerate(java_split(t, sep)) if w)
+    seen, out = Counter(), []
+    for (_, _, p), i, w in toks:
+        seen[w] += 1
+        out.append((i, p, w, seen[w]))
+    return out
+
+
+def test_rolling_word_count_moves_lines_and_not_tokens(spark):
+    """A token is neither exchanged nor sorted: 60,000 tokens in 300 lines pass the exchanges as lines and counts by bucket."""
+    lines = [(i, " ".join(random.Random(i).choices("abcdefgh", k=200))) for i in range(300)]
+    df = spark.createDataFrame(lines, "id long, t string").repartition(3)
+    got = text.rolling_word_count(df, "t", ["id"])
+    assert sorted(map(tuple, got.collect())) == sorted(_rolled(lines))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan, plan  # tokens are made after the last exchange only
+
+
+@pytest.mark.parametrize("sep", [" ", "ab", "."])
+def test_rolling_word_count_of_repeated_null_and_odd_lines(spark, sep):
+    rng = random.Random(5)
+    ids = [*range(40), None, None, None, *[7] * 30, 2**40]
+    lines = [(i, "".join(rng.choices(["x", "y", "é", " ", "a", "b", "ab", ".", "  "], k=rng.randint(0, 40)))) for i in ids]
+    lines += [(50, None), (51, ""), (52, " "), (53, "  x  "), (54, "xababab"), (7, None), (None, "x")]
+    rng.shuffle(lines)
+    df = spark.createDataFrame(lines, "id long, t string").repartition(3)
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    assert sorted(map(tuple, text.rolling_word_count(df, "t", ["id"], sep).collect()), key=key) == sorted(_rolled(lines, sep), key=key)
+
+
+def test_rolling_word_count_keeps_its_counts_between_parts_of_a_bucket(monkeypatch):
+    monkeypatch.setattr(text, "HELD_BYTES", 30)
+    rows_ = [(0, 1, None, None, "b", 4), (0, 1, None, None, "z", 9)] + [(0, 0, i, 0, "a b  a", None) for i in range(9)] + [(1, 0, 20, 3, "a", None), (2, 1, None, None, "a", 7), (2, 0, 30, 0, "a", None)]
+    schema = pa.schema([("_b", pa.int32()), ("_ctx", pa.int32()), ("id", pa.int64()), ("pos", pa.int32()), ("word", pa.string()), ("count", pa.int64())])
+    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows_], schema)
+    out = [tuple(r.values()) for b in text._counter(["id"], " ", "_b", "_ctx")(iter(table.to_batches(max_chunksize=4))) for r in b.to_pylist()]
+    want = [x for i in range(9) for x in ((i, 0, "a", 2 * i + 1), (i, 1, "b", 5 + i), (i, 3, "a", 2 * i + 2))]
+    assert out == [*want, (20, 3, "a", 1), (30, 0, "a", 8)]
