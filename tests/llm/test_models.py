@@ -2,6 +2,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -266,3 +267,15 @@ def test_pii_odd_rows(odd, empty):
 def test_masks(spark):
     df = spark.createDataFrame([(1, "to a@b.cd, +1 (909) 555-2931 é."), (2, None)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in pii.masked(pii.find(df, {})).collect()} == {1: "to <EMAIL>, <PHONE> é.", 2: None}
+
+
+def test_language_fit_holds_the_sample_spread_out_once():
+    """The driver fits beside its JVM: one dense copy of the sample at most, whatever the sample's size."""
+    texts = [f"{'der die das und' if i % 2 else 'el la los y de'} {i}" for i in range(1000)]
+    dense = len(texts) * langid.WIDTH * 4
+    tracemalloc.start()
+    model = langid.fit(texts, ["de" if i % 2 else "es" for i in range(1000)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x for x, _ in langid.predict(model, langid.Grams(), ["und das die", "la de los"])] == ["de", "es"]
+    assert peak < 2 * dense, (peak, dense)
